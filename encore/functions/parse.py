@@ -24,10 +24,19 @@ def _strings(*names: str) -> T.StructType:
     return T.StructType([T.StructField(n, T.StringType()) for n in names])
 
 
+def _once(df: DataFrame, value: str, *columns: Column) -> DataFrame:
+    """The line and its parsed columns.
+
+    Generated rather than projected: the optimizer copies a projected expression into
+    every later use and filter, and parsing is the expensive part of these jobs.
+    """
+    return df.select(F.col(value).alias("value"), F.inline(F.array(F.struct(*columns))))
+
+
 def _envelope(df: DataFrame, value: str, fields: T.StructType) -> DataFrame:
     """Open ``{"data": "<json text>", ...}``: the payload is JSON inside a JSON string."""
-    inner = F.get_json_object(F.col(value), "$.data")
-    return df.select(F.col(value).alias("value"), F.from_json(inner, fields).alias("d"))
+    payload = F.from_json(F.get_json_object(F.col(value), "$.data"), fields)
+    return _once(df, value, payload.alias("d"))
 
 
 def _first_error(**required: Column) -> Column:
@@ -107,8 +116,9 @@ def parse_heartbeat(df: DataFrame, stream_prefix: str, value: str = "value") ->
     url = F.regexp_extract(line, r"[?&]u=(.*?)\.flv", 1)
     # F.split takes a regular expression; \Q..\E keeps the prefix literal.
     path = F.get(F.split(url, rf"\Q{stream_prefix}\E"), F.lit(1))
-    rows = df.select(
-        line.alias("value"),
+    rows = _once(
+        df,
+        value,
         F.regexp_extract(line, r"\buid=([^& ]*)", 1).alias("uid"),
         F.get(F.split(path, "_"), F.lit(0)).alias("stream"),
         F.when(line.contains("GET /client_punch.gif?"), "c").otherwise("p").alias("flag"),
@@ -131,24 +141,23 @@ def parse_switch(df: DataFrame, tz: str = "UTC", value: str = "value") -> DataFr
     stamp = F.concat(F.get(cells, F.lit(5)), F.lit(" +0000"))
     wall = F.try_to_timestamp(stamp, F.lit("yyyy-MM-dd HH:mm:ss Z"))
     instant = wall if tz == "UTC" else F.to_utc_timestamp(wall, tz)
-    rows = df.select(
-        F.col(value).alias("value"),
+    rows = _once(
+        df,
+        value,
+        F.size(cells).alias("_cells"),
         F.get(cells, F.lit(0)).alias("room_id"),
         F.get(cells, F.lit(3)).alias("cate"),
         F.unix_seconds(instant).alias("time_u"),
     )
     return rows.withColumn(
-        "error",
-        F.when(F.size(F.split("value", "\t")) < 6, "fields").otherwise(
-            _first_error(time_u=F.col("time_u").isNotNull())
-        ),
-    )
+        "error", _first_error(fields=F.col("_cells") >= 6, time_u=F.col("time_u").isNotNull())
+    ).drop("_cells")
 
 
 def parse_clicks(df: DataFrame, value: str = "value") -> DataFrame:
     """Click JSON to (uid, event_time, os_type, click_count); counts arrive as doubles."""
     fields = _strings("uid", "event_time", "os_type", "click_count")
-    rows = df.select(F.col(value).alias("value"), F.from_json(value, fields).alias("d")).select(
+    rows = _once(df, value, F.from_json(value, fields).alias("d")).select(
         "value", "d.uid", "d.event_time", "d.os_type", _long(F.col("d.click_count")).cast("int").alias("click_count")
     )
     return rows.withColumn(

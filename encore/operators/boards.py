@@ -13,8 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from encore.functions.calendar import local_date, period_key
-from encore.operators.campaigns import BOARD_KEYS, board_bit, match_campaigns
+from encore.functions.calendar import ONE_PERIOD, local_date, period_key, period_start
+from encore.operators.campaigns import BOARD_KEYS, Span, board_bit, match_campaigns
 
 BOARD = ["project", "scope", "grp", "role", "owner", "period", "period_key", "gift_class"]
 SCORES = [*BOARD, "member", "score"]
@@ -62,10 +62,10 @@ def assign_groups(matched: DataFrame, host_group: DataFrame | None) -> DataFrame
     )
 
 
-def _weighted(gifts, campaigns, host_group, tz, periods, classes) -> DataFrame:
+def _weighted(gifts, campaigns, host_group, tz, periods, classes, span) -> DataFrame:
     wanted = _mask(periods, classes)
     campaigns = campaigns.withColumn("board_mask", F.col("board_mask").bitwiseAND(F.lit(wanted)))
-    matched = match_campaigns(gifts, campaigns.where(F.col("board_mask") != 0))
+    matched = match_campaigns(gifts, campaigns.where(F.col("board_mask") != 0), span=span)
     rows = weigh_gifts(assign_groups(matched, host_group))
     on_a_board = _any(F.col("board_mask"), _mask(PERIODS, ("all",))) | (
         F.col("special") & _any(F.col("board_mask"), _mask(PERIODS, ("special",)))
@@ -119,13 +119,18 @@ def _by_board(rows: DataFrame, periods, classes, scopes) -> DataFrame:
         "role",
         "owner",
         "period",
-        period_key(F.col("period"), F.col("date")).alias("period_key"),
+        period_start(F.col("period"), F.col("date")).alias("date"),
         "gift_class",
         "member",
         "score",
     )
 
 
+def _named(rows: DataFrame) -> DataFrame:
+    """The period's start date as its key."""
+    return rows.withColumn("period_key", period_key(F.col("period"), F.col("date"))).select(*SCORES)
+
+
 def board_rows(
     gifts: DataFrame,
     campaigns: DataFrame,
@@ -135,13 +140,14 @@ def board_rows(
     classes=CLASSES,
     roles=ROLES,
     scopes=SCOPES,
+    span: Span | None = None,
 ) -> DataFrame:
     """Every (board, member, score) a gift adds to, without aggregating: up to 40 per campaign.
 
     This is the form for a native streaming aggregate; a batch should call :func:`board_scores`.
     """
-    rows = _weighted(gifts, campaigns, host_group, tz, periods, classes)
-    return _by_board(_by_role(rows, roles), periods, classes, scopes)
+    rows = _weighted(gifts, campaigns, host_group, tz, periods, classes, span)
+    return _named(_by_board(_by_role(rows, roles), periods, classes, scopes))
 
 
 def _finest(mask: Column, date: Column) -> Column:
@@ -153,7 +159,7 @@ def _finest(mask: Column, date: Column) -> Column:
         F.when(day | (week & month), date)
         .when(week, F.trunc(date, "week"))
         .when(month, F.trunc(date, "month"))
-        .otherwise(F.lit("1970-01-01").cast("date"))
+        .otherwise(F.lit(ONE_PERIOD).cast("date"))
     )
 
 
@@ -166,6 +172,7 @@ def board_scores(
     classes=CLASSES,
     roles=ROLES,
     scopes=SCOPES,
+    span: Span | None = None,
 ) -> DataFrame:
     """Leaderboard scores: sum per board and member.
 
@@ -174,14 +181,16 @@ def board_scores(
     and campaign boards. A gift is thus expanded 3 times before the first (map-side
     combined) shuffle, not 40 times.
     """
-    rows = _weighted(gifts, campaigns, host_group, tz, periods, classes)
+    rows = _weighted(gifts, campaigns, host_group, tz, periods, classes, span)
     rows = rows.withColumn("date", _finest(F.col("board_mask"), F.col("date")))
     daily = (
         _by_role(rows, roles)
         .groupBy("project", "board_mask", "grp", "role", "owner", "member", "special", "date")
         .agg(F.sum("score").alias("score"))
     )
-    return _by_board(daily, periods, classes, scopes).groupBy(*SCORES[:-1]).agg(F.sum("score").alias("score"))
+    placed = _by_board(daily, periods, classes, scopes)
+    keys = [c for c in placed.columns if c != "score"]
+    return _named(placed.groupBy(*keys).agg(F.sum("score").alias("score")))
 
 
 def restrict_to_pool(scores: DataFrame, host_pool: DataFrame, campaigns: DataFrame | None = None) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -84,10 +86,20 @@ def parse_campaigns(df: DataFrame, kind: str = "gift", key: str = "name", value:
     return rows.where("start_u IS NOT NULL AND end_u IS NOT NULL AND flag IS NOT NULL AND extra_rate IS NOT NULL")
 
 
-def campaign_window(campaigns: DataFrame) -> tuple[int, int]:
-    """First start and last end of all campaigns, to filter the raw time column at the scan."""
-    row = campaigns.agg(F.min("start_u"), F.max("end_u")).first()
-    return (row[0], row[1]) if row[0] is not None else (0, -1)
+class Span(NamedTuple):
+    """First start and last end of a set of campaigns, and its size in 30-day buckets."""
+
+    first_u: int
+    last_u: int
+    buckets: int
+
+
+def campaign_span(campaigns: DataFrame) -> Span:
+    """Read once per job: the window filters the raw time column at the scan, the size picks the join."""
+    live = campaigns.where(F.col("start_u") <= F.col("end_u"))
+    buckets = F.sum(_bucket(F.col("end_u")) - _bucket(F.col("start_u")) + 1)
+    row = live.agg(F.min("start_u"), F.max("end_u"), buckets).first()
+    return Span(*row) if row[0] is not None else Span(0, -1, 0)
 
 
 def _bucket(time: Column) -> Column:
@@ -100,6 +112,7 @@ def match_campaigns(
     time_col: str = "time_u",
     cate_col: str = "cate",
     max_broadcast_rows: int = MAX_BROADCAST_ROWS,
+    span: Span | None = None,
 ) -> DataFrame:
     """Each event once per campaign it counts for, with the campaign's columns.
 
@@ -111,10 +124,11 @@ def match_campaigns(
     """
     live = campaigns.where(F.col("start_u") <= F.col("end_u"))
     spans = live.withColumn("_bucket", F.explode(F.sequence(_bucket(F.col("start_u")), _bucket(F.col("end_u")))))
-    load = live.agg(F.sum(_bucket(F.col("end_u")) - _bucket(F.col("start_u")) + 1)).first()[0] or 0
-    keyed = events.withColumn("_bucket", _bucket(F.col(time_col)))
+    span = span or campaign_span(campaigns)
+    inside = events.where(F.col(time_col).between(span.first_u, span.last_u))
+    keyed = inside.withColumn("_bucket", _bucket(F.col(time_col)))
     keys = ["_bucket"]
-    if load <= max_broadcast_rows:
+    if span.buckets <= max_broadcast_rows:
         spans = F.broadcast(spans)
     else:
         keys.append("_salt")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -38,15 +38,10 @@ def with_level(rows: DataFrame, levels: DataFrame, campaigns: DataFrame, member:
     return joined.withColumn("level", level).drop("_asked", "_level")
 
 
-def profile_json(room: str = "room_id"):
+def profile_json(room_id: Column) -> Column:
     """Profile as stored: rid, nickName, avatar, roomId (empty where unknown)."""
     return F.to_json(
-        F.struct(
-            "rid",
-            F.col("nick_name").alias("nickName"),
-            "avatar",
-            F.coalesce(F.col(room), F.lit("")).alias("roomId"),
-        )
+        F.struct("rid", F.col("nick_name").alias("nickName"), "avatar", F.coalesce(room_id, F.lit("")).alias("roomId"))
     )
 
 

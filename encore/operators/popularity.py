@@ -5,13 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from encore.functions.calendar import local_date, period_key
-from encore.operators.campaigns import POPULARITY_KEYS, match_campaigns
+from encore.functions.calendar import local_date, period_key, period_start
+from encore.operators.campaigns import POPULARITY_KEYS, Span, match_campaigns
 
 PERIODS = tuple(POPULARITY_KEYS)
 
 
-def host_day_peak(readings: DataFrame, campaigns: DataFrame, tz: str = "UTC") -> DataFrame:
+def host_day_peak(
+    readings: DataFrame, campaigns: DataFrame, tz: str = "UTC", span: Span | None = None
+) -> DataFrame:
     """Highest reading per (project, host_id, day).
 
     The day is that of the reading's own clock text ``time`` if the column is there,
@@ -22,7 +24,7 @@ def host_day_peak(readings: DataFrame, campaigns: DataFrame, tz: str = "UTC") ->
     else:
         day = local_date(F.col("time_u"), tz)
     return (
-        match_campaigns(readings, campaigns)
+        match_campaigns(readings, campaigns, span=span)
         .groupBy("project", "host_id", day.alias("day"))
         .agg(F.max("num").alias("peak"))
     )
@@ -41,12 +43,16 @@ def popularity_scores(peaks: DataFrame, campaigns: DataFrame, periods=PERIODS, t
         .join(switches, "project")
         .where(F.col("day") >= local_date(F.col("start_u"), tz))
         .select("project", "host_id", "day", "peak", F.inline(F.filter(listed, lambda p: p.on)))
-        .withColumn("period_key", period_key(F.col("period"), F.col("day")))
+        .withColumn("date", period_start(F.col("period"), F.col("day")))
     )
-    sums = rows.groupBy("project", "period", "period_key", F.col("host_id").alias("member")).agg(
+    sums = rows.groupBy("project", "period", "date", F.col("host_id").alias("member")).agg(
         F.sum(F.col("peak").cast("bigint")).alias("_sum"), F.count("*").alias("_days")
     )
     return sums.where(F.col("_sum") > 0).select(
-        "project", F.lit("all").alias("scope"), "period", "period_key", "member",
+        "project",
+        F.lit("all").alias("scope"),
+        "period",
+        period_key(F.col("period"), F.col("date")).alias("period_key"),
+        "member",
         F.expr("_sum div _days").alias("score"),
     )

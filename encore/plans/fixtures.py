@@ -8,11 +8,11 @@ from __future__ import annotations
 
 from calendar import timegm
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from encore.functions.calendar import epoch_seconds, ntz_literal
-from encore.operators.campaigns import campaign_window, parse_campaigns
+from encore.operators.campaigns import Span, parse_campaigns
 
 
 def utc(*moment: int) -> int:
@@ -57,11 +57,12 @@ def campaigns(spark: SparkSession, kind: str = "gift") -> DataFrame:
     return parse_campaigns(spark.sql(f"SELECT * FROM VALUES {rows} AS t(name, config)"), kind)
 
 
-def between(df: DataFrame, time: str, window: tuple[int, int] | None) -> DataFrame:
-    """Cut to a window on the raw time column, which the scan can use to skip row groups."""
-    if window is None:
+def within(df: DataFrame, time: str, span: Span | None) -> DataFrame:
+    """Cut to the campaigns' window on the raw time column, which the scan can use to skip row groups."""
+    if span is None:
         return df
-    return df.where(F.col(time).between(ntz_literal(window[0]), ntz_literal(window[1])))
+    # An event of the last second may carry a fraction.
+    return df.where((F.col(time) >= ntz_literal(span.first_u)) & (F.col(time) < ntz_literal(span.last_u + 1)))
 
 
 def gift_campaigns(spark: SparkSession) -> DataFrame:
@@ -86,11 +87,10 @@ def as_gifts(lines: DataFrame, spark: SparkSession, sf: str) -> DataFrame:
 LINE_COLUMNS = ["l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_shipdate"]
 
 
-def gifts(spark: SparkSession, sf: str, running: DataFrame | None = None) -> DataFrame:
-    """Gifts; with ``running`` campaigns only the lines their time window can match."""
+def gifts(spark: SparkSession, sf: str, span: Span | None = None) -> DataFrame:
+    """Gifts; with a span only those that running campaigns can match."""
     lines = read(spark, sf, "lineitem").select(*LINE_COLUMNS)
-    window = campaign_window(running) if running is not None else None
-    return as_gifts(between(lines, "l_shipdate", window), spark, sf)
+    return as_gifts(within(lines, "l_shipdate", span), spark, sf)
 
 
 def as_readings(events: DataFrame) -> DataFrame:
@@ -104,14 +104,11 @@ def as_readings(events: DataFrame) -> DataFrame:
     )
 
 
-def readings(spark: SparkSession, sf: str, running: DataFrame | None = None) -> DataFrame:
-    window = campaign_window(running) if running is not None else None
-    if window:  # an event of the last second may carry a fraction
-        window = (window[0], window[1] + 1)
-    return as_readings(between(read(spark, sf, "events"), "ts", window))
+def readings(spark: SparkSession, sf: str, span: Span | None = None) -> DataFrame:
+    return as_readings(within(read(spark, sf, "events"), "ts", span))
 
 
-def _k() -> F.Column:
+def _k() -> Column:
     return F.get_json_object("props", "$.k")
 
 
