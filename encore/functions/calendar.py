@@ -14,6 +14,17 @@ DAY = 86400
 EPOCH = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
 
 
+def _utc_session(df: DataFrame) -> bool:
+    return df.sparkSession.conf.get("spark.sql.session.timeZone") in ("UTC", "Etc/UTC", "GMT", "Z")
+
+
+def _instant(df: DataFrame, name: str) -> Column | None:
+    """The column as an instant, if that takes no more than a cast."""
+    if isinstance(df.schema[name].dataType, T.TimestampNTZType) and not _utc_session(df):
+        return None
+    return F.col(name).cast("timestamp")
+
+
 def _wall_minutes(ts: Column) -> Column:
     """Whole minutes since the epoch of a zone-less timestamp."""
     days = F.unix_date(ts.cast("date")).cast("bigint")
@@ -22,19 +33,19 @@ def _wall_minutes(ts: Column) -> Column:
 
 def epoch_seconds(df: DataFrame, name: str) -> Column:
     """Whole epoch seconds of a timestamp column, whichever timestamp type it has."""
-    if isinstance(df.schema[name].dataType, T.TimestampNTZType):
-        ts = F.col(name)
-        return _wall_minutes(ts) * 60 + F.second(ts)
-    return F.unix_seconds(F.col(name))
+    instant = _instant(df, name)
+    if instant is not None:
+        return F.unix_seconds(instant)
+    return _wall_minutes(F.col(name)) * 60 + F.second(F.col(name))
 
 
 def epoch_micros(df: DataFrame, name: str) -> Column:
     """Epoch microseconds of a timestamp column."""
-    if isinstance(df.schema[name].dataType, T.TimestampNTZType):
-        ts = F.col(name)
-        seconds = F.extract(F.lit("SECOND"), ts)
-        return _wall_minutes(ts) * 60_000_000 + (seconds * 1_000_000).cast("bigint")
-    return F.unix_micros(F.col(name))
+    instant = _instant(df, name)
+    if instant is not None:
+        return F.unix_micros(instant)
+    seconds = F.extract(F.lit("SECOND"), F.col(name))
+    return _wall_minutes(F.col(name)) * 60_000_000 + (seconds * 1_000_000).cast("bigint")
 
 
 def ntz_literal(epoch_s: int) -> Column:
@@ -60,11 +71,12 @@ def minute_floor(time_u: Column) -> Column:
 
 
 def day_key(date: Column) -> Column:
-    return F.date_format(date, "yyyyMMdd")
+    """yyyyMMdd; by arithmetic, which is several times cheaper than a formatter."""
+    return (F.year(date) * 10000 + F.month(date) * 100 + F.dayofmonth(date)).cast("string")
 
 
 def month_key(date: Column) -> Column:
-    return F.date_format(date, "yyyyMM")
+    return (F.year(date) * 100 + F.month(date)).cast("string")
 
 
 def week_key(date: Column) -> Column:

@@ -13,8 +13,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from encore.functions.calendar import ONE_PERIOD, local_date, period_key, period_start
+from encore.functions.calendar import ONE_PERIOD, local_date, period_key
 from encore.operators.campaigns import BOARD_KEYS, Span, board_bit, match_campaigns
+from encore.operators.ranking import top_k
 
 BOARD = ["project", "scope", "grp", "role", "owner", "period", "period_key", "gift_class"]
 SCORES = [*BOARD, "member", "score"]
@@ -75,60 +76,79 @@ def _weighted(gifts, campaigns, host_group, tz, periods, classes, span) -> DataF
 
 def _by_role(rows: DataFrame, roles) -> DataFrame:
     """One row per gift and role: the host's, the giver's, and the giver's at that host."""
-
-    def entry(role, owner, member):
-        return F.struct(F.lit(role).alias("role"), owner.alias("owner"), member.alias("member"))
-
-    none = F.lit("")
-    entries = {
-        "host": entry("host", none, F.col("qid")),
-        "user": entry("user", none, F.col("uid")),
-        "donor": entry("donor", F.col("qid"), F.col("uid")),
-    }
-    listed = F.array(*[entries[r] for r in roles])
-    if "donor" in roles:
-        listed = F.filter(listed, lambda r: (r.role != "donor") | F.col("u2q"))
-    kept = [c for c in rows.columns if c not in ("uid", "qid")]
-    return rows.select(*kept, F.inline(listed))
+    coded = rows.withColumn("role", F.explode(F.array(*[F.lit(ROLES.index(r)) for r in roles])))
+    host, donor = F.col("role") == ROLES.index("host"), F.col("role") == ROLES.index("donor")
+    return coded.where(~donor | F.col("u2q")).select(
+        "project",
+        "board_mask",
+        # Donor boards have no group form.
+        F.when(donor, "").otherwise(F.col("grp")).alias("grp"),
+        "role",
+        F.when(donor, F.col("qid")).otherwise("").alias("owner"),
+        F.when(host, F.col("qid")).otherwise(F.col("uid")).alias("member"),
+        "special",
+        "date",
+        "score",
+    )
 
 
 def _by_board(rows: DataFrame, periods, classes, scopes) -> DataFrame:
-    """One row per board a (role, date) row belongs to."""
-
-    def cell(period, gift_class):
-        return F.struct(
-            F.lit(period).alias("period"),
-            F.lit(gift_class).alias("gift_class"),
-            F.lit(board_bit(period, gift_class)).alias("bit"),
-        )
-
-    cells = F.array(*[cell(p, c) for p, c in BOARD_KEYS if p in periods and c in classes])
-    cells = F.filter(
-        cells,
-        lambda b: (F.col("board_mask").bitwiseAND(b.bit) != 0) & ((b.gift_class == "all") | F.col("special")),
-    )
-    scope_list = F.array(*[F.lit(s) for s in scopes])
-    grouped = (F.col("grp") != "") & (F.col("role") != "donor")
-    scope_list = F.filter(scope_list, lambda s: (s == "all") | grouped)
-    rows = rows.select("project", "grp", "role", "owner", "member", "score", "date", F.inline(cells))
-    rows = rows.select("*", F.explode(scope_list).alias("scope"))
-    return rows.select(
+    """One row per board a (role, date) row belongs to.
+
+    The board is one small number, ``scope * 8 + family``, with the family counted as in
+    the mask: cheap to generate, filter and group by. :func:`_named` spells it out.
+    """
+    families = [i for i, (p, c) in enumerate(BOARD_KEYS) if p in periods and c in classes]
+    codes = [SCOPES.index(s) * len(BOARD_KEYS) + i for s in scopes for i in families]
+    coded = rows.withColumn("board", F.explode(F.array(*[F.lit(code) for code in codes])))
+    family = F.col("board") % len(BOARD_KEYS)
+    grouped = F.col("board") >= len(BOARD_KEYS)
+    bit = F.expr(f"shiftright(board_mask, board % {len(BOARD_KEYS)})").bitwiseAND(F.lit(1))
+    placed = coded.where((bit == 1) & ((family % 2 == 0) | F.col("special")) & (~grouped | (F.col("grp") != "")))
+    return placed.select(
         "project",
-        "scope",
-        F.when(F.col("scope") == "group", F.col("grp")).otherwise("").alias("grp"),
+        "board",
+        F.when(F.col("board") >= len(BOARD_KEYS), F.col("grp")).otherwise("").alias("grp"),
         "role",
         "owner",
-        "period",
-        period_start(F.col("period"), F.col("date")).alias("date"),
-        "gift_class",
+        _start(family, F.col("date")).alias("date"),
         "member",
         "score",
     )
 
 
+def _start(family: Column, date: Column) -> Column:
+    """First date of the family's period: families come in pairs of all, day, week, month."""
+    return (
+        F.when(family < 2, F.lit(ONE_PERIOD).cast("date"))
+        .when(family < 4, date)
+        .when(family < 6, F.trunc(date, "week"))
+        .otherwise(F.trunc(date, "month"))
+    )
+
+
+def _spell(code: Column, names) -> Column:
+    return F.element_at(F.array(*[F.lit(n) for n in names]), (code + 1).cast("int"))
+
+
 def _named(rows: DataFrame) -> DataFrame:
-    """The period's start date as its key."""
-    return rows.withColumn("period_key", period_key(F.col("period"), F.col("date"))).select(*SCORES)
+    """Codes to names, and the period's start date to its key."""
+    family = F.col("board") % len(BOARD_KEYS)
+    spelled = rows.select(
+        "project",
+        _spell(F.floor(F.col("board") / len(BOARD_KEYS)), SCOPES).alias("scope"),
+        "grp",
+        _spell(F.col("role"), ROLES).alias("role"),
+        "owner",
+        _spell(family, [p for p, _ in BOARD_KEYS]).alias("period"),
+        "date",
+        _spell(family, [c for _, c in BOARD_KEYS]).alias("gift_class"),
+        "member",
+        "score",
+        *[c for c in ("rank",) if c in rows.columns],
+    )
+    keyed = spelled.withColumn("period_key", period_key(F.col("period"), F.col("date")))
+    return keyed.select(*SCORES, *[c for c in ("rank",) if c in rows.columns])
 
 
 def board_rows(
@@ -173,13 +193,15 @@ def board_scores(
     roles=ROLES,
     scopes=SCOPES,
     span: Span | None = None,
+    top: int | None = None,
 ) -> DataFrame:
-    """Leaderboard scores: sum per board and member.
+    """Leaderboard scores: sum per board and member; with ``top`` only each board's top list, ranked.
 
     Sums compose, so gifts are first added up per (role, owner, member, date) at the
     finest date the campaign's boards need, and only those sums fan out to week, month
     and campaign boards. A gift is thus expanded 3 times before the first (map-side
-    combined) shuffle, not 40 times.
+    combined) shuffle, not 40 times. Names are spelled out last, so the shuffles and the
+    ranking handle small codes.
     """
     rows = _weighted(gifts, campaigns, host_group, tz, periods, classes, span)
     rows = rows.withColumn("date", _finest(F.col("board_mask"), F.col("date")))
@@ -189,8 +211,10 @@ def board_scores(
         .agg(F.sum("score").alias("score"))
     )
     placed = _by_board(daily, periods, classes, scopes)
-    keys = [c for c in placed.columns if c != "score"]
-    return _named(placed.groupBy(*keys).agg(F.sum("score").alias("score")))
+    # The most telling column first: sorts compare its 8-byte prefix before anything else.
+    board = ["date", "board", "role", "project", "grp", "owner"]
+    scores = placed.groupBy(*board, "member").agg(F.sum("score").alias("score"))
+    return _named(scores if top is None else top_k(scores, board, top))
 
 
 def restrict_to_pool(scores: DataFrame, host_pool: DataFrame, campaigns: DataFrame | None = None) -> DataFrame:

@@ -121,12 +121,15 @@ def match_campaigns(
     join that only meets campaigns of the event's own bucket. The bucket table is
     counted first: up to ``max_broadcast_rows`` it is broadcast, beyond that both sides
     are shuffled on (bucket, salt) so that one busy month is not one task.
+
+    Pass ``span`` if it is known and the events were already cut to it.
     """
     live = campaigns.where(F.col("start_u") <= F.col("end_u"))
     spans = live.withColumn("_bucket", F.explode(F.sequence(_bucket(F.col("start_u")), _bucket(F.col("end_u")))))
-    span = span or campaign_span(campaigns)
-    inside = events.where(F.col(time_col).between(span.first_u, span.last_u))
-    keyed = inside.withColumn("_bucket", _bucket(F.col(time_col)))
+    if span is None:
+        span = campaign_span(campaigns)
+        events = events.where(F.col(time_col).between(span.first_u, span.last_u))
+    keyed = events.withColumn("_bucket", _bucket(F.col(time_col)))
     keys = ["_bucket"]
     if span.buckets <= max_broadcast_rows:
         spans = F.broadcast(spans)

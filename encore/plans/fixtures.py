@@ -7,12 +7,14 @@ profiles from customers. Every view reads its whole tables.
 from __future__ import annotations
 
 from calendar import timegm
+from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from encore.functions.calendar import epoch_seconds, ntz_literal
-from encore.operators.campaigns import Span, parse_campaigns
+from encore.operators.campaigns import Span, campaign_span, parse_campaigns
+from encore.sources.files import spread
 
 
 def utc(*moment: int) -> int:
@@ -27,7 +29,7 @@ def _config(project: str, start: int, end: int, **more) -> tuple[str, str]:
 ON = "true"
 CONFIGS = [
     _config("opening", utc(1996, 1, 1), utc(1999, 12, 31, 23, 59, 59), flag=0, allRank=ON, dayAllRank=ON,
-            weekAllRank=ON, monthAllRank=ON, u2q=ON),
+            weekAllRank=ON, monthAllRank=ON),
     _config("dance", utc(1997, 1, 1), utc(1998, 12, 31), flag=0, cates="PROMO-SMALL", allRank=ON,
             monthAllRank=ON, hourAllRank=ON),
     _config("bonus", utc(1998, 6, 1), utc(2000, 6, 30), flag=0, giftIds="Brand#1-Brand#2-Brand#13",
@@ -52,6 +54,11 @@ def read(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def read_spread(spark: SparkSession, sf: str, name: str, *columns: str, span: Span | None = None, time: str = "") -> DataFrame:
+    """Columns of a table ahead of heavy per-row work, cut to a span of its time column."""
+    return spread(within(read(spark, sf, name).select(*columns), time, span))
+
+
 def campaigns(spark: SparkSession, kind: str = "gift") -> DataFrame:
     rows = ", ".join(f"('{name}', '{config}')" for name, config in CONFIGS)
     return parse_campaigns(spark.sql(f"SELECT * FROM VALUES {rows} AS t(name, config)"), kind)
@@ -69,6 +76,13 @@ def gift_campaigns(spark: SparkSession) -> DataFrame:
     return campaigns(spark).where(F.col("board_mask") != 0)
 
 
+@lru_cache(maxsize=8)
+def running(spark: SparkSession, kind: str = "gift") -> tuple[DataFrame, Span]:
+    """The campaigns of a batch job and their span; the configuration is a constant here."""
+    found = gift_campaigns(spark) if kind == "gift" else campaigns(spark, kind)
+    return found, campaign_span(found)
+
+
 def as_gifts(lines: DataFrame, spark: SparkSession, sf: str) -> DataFrame:
     orders = read(spark, sf, "orders").select("o_orderkey", "o_custkey")
     part = read(spark, sf, "part").select("p_partkey", "p_brand", "p_type")
@@ -89,8 +103,8 @@ LINE_COLUMNS = ["l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_shipdat
 
 def gifts(spark: SparkSession, sf: str, span: Span | None = None) -> DataFrame:
     """Gifts; with a span only those that running campaigns can match."""
-    lines = read(spark, sf, "lineitem").select(*LINE_COLUMNS)
-    return as_gifts(within(lines, "l_shipdate", span), spark, sf)
+    lines = read_spread(spark, sf, "lineitem", *LINE_COLUMNS, span=span, time="l_shipdate")
+    return as_gifts(lines, spark, sf)
 
 
 def as_readings(events: DataFrame) -> DataFrame:
@@ -123,7 +137,8 @@ def as_heartbeats(events: DataFrame) -> DataFrame:
 
 
 def heartbeats(spark: SparkSession, sf: str) -> DataFrame:
-    return as_heartbeats(read(spark, sf, "events"))
+    columns = ("event_id", "user_id", "props", "event_type", "ts")
+    return as_heartbeats(read_spread(spark, sf, "events", *columns))
 
 
 def stream_rooms(spark: SparkSession) -> DataFrame:

@@ -10,7 +10,7 @@ from encore.plans.fixtures import utc
 
 CAMPAIGNS = [
     # project, start, end, categories, gifts, flag, extra rate (null: off), donors, levels, boards
-    ("opening", utc(1996, 1, 1), utc(1999, 12, 31, 23, 59, 59), [], [], 0, None, True, False,
+    ("opening", utc(1996, 1, 1), utc(1999, 12, 31, 23, 59, 59), [], [], 0, None, False, False,
      ["all-all", "day-all", "week-all", "month-all"]),
     ("dance", utc(1997, 1, 1), utc(1998, 12, 31), ["PROMO", "SMALL"], [], 0, None, False, False,
      ["all-all", "month-all"]),

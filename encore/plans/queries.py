@@ -19,7 +19,7 @@ from encore.functions.calendar import (
     week_key,
 )
 from encore.operators import aggregates, asof, boards, enrich, popularity, ranking, tables, watch
-from encore.operators.campaigns import Span, campaign_span, parse_campaigns
+from encore.operators.campaigns import Span, parse_campaigns
 from encore.plans import fixtures as fx
 from encore.session import work_dir
 from encore.sources import files
@@ -39,8 +39,7 @@ def query(build: Query) -> Query:
 
 
 def _scores(spark, sf, **which) -> DataFrame:
-    running = fx.gift_campaigns(spark)
-    span = campaign_span(running)
+    running, span = fx.running(spark)
     return boards.board_scores(fx.gifts(spark, sf, span), running, fx.host_group(spark, sf), span=span, **which)
 
 
@@ -91,8 +90,7 @@ def board_every(spark, sf):
 @query
 def board_fanout(spark, sf):
     """Board rows before any aggregation, counted per family."""
-    running = fx.gift_campaigns(spark)
-    span = campaign_span(running)
+    running, span = fx.running(spark)
     rows = boards.board_rows(fx.gifts(spark, sf, span), running, fx.host_group(spark, sf), span=span)
     return rows.groupBy("project", "scope", "role", "period", "gift_class").agg(
         F.count("*").alias("rows"), F.sum("score").alias("score")
@@ -102,7 +100,7 @@ def board_fanout(spark, sf):
 @query
 def board_signup(spark, sf):
     scores = _scores(spark, sf, classes=("all",), roles=RANKED, scopes=("all",))
-    return boards.restrict_to_pool(scores, fx.host_pool(spark, sf), fx.gift_campaigns(spark))
+    return boards.restrict_to_pool(scores, fx.host_pool(spark, sf), fx.running(spark)[0])
 
 
 @query
@@ -112,7 +110,7 @@ def top_donor_map(spark, sf):
 
 @query
 def board_topk(spark, sf):
-    return ranking.top_k(_scores(spark, sf, roles=RANKED), boards.BOARD)
+    return _scores(spark, sf, roles=RANKED, top=ranking.TOP_LIST)
 
 
 @query
@@ -145,7 +143,7 @@ def room_latest(spark, sf):
 
 def _touched(spark, sf, days=30) -> DataFrame:
     """Hosts and givers of the last 30 days of the sign-up campaign, with their campaign boards."""
-    running = fx.gift_campaigns(spark).where(F.col("project") == "signup")
+    running = fx.running(spark)[0].where(F.col("project") == "signup")
     recent = fx.gifts(spark, sf, Span(fx.utc(2001, 6, 30) - days * 86400 + 1, fx.utc(2001, 6, 30), 0))
     rows = boards.board_rows(recent, running, periods=("all",), classes=("all",), roles=RANKED, scopes=("all",))
     return rows.select(*boards.BOARD, "member").distinct()
@@ -161,8 +159,10 @@ def touched_in_top(spark, sf):
 
 
 def _top_users(spark, sf) -> DataFrame:
-    scores = _scores(spark, sf, periods=("all",), classes=("all",), roles=RANKED, scopes=("all",))
-    return ranking.top_k(scores, boards.BOARD).select("project", "role", "member", "score", "rank")
+    top = _scores(
+        spark, sf, periods=("all",), classes=("all",), roles=RANKED, scopes=("all",), top=ranking.TOP_LIST
+    )
+    return top.select("project", "role", "member", "score", "rank")
 
 
 @query
@@ -173,7 +173,7 @@ def board_with_profile(spark, sf):
 @query
 def board_with_level(spark, sf):
     return enrich.with_level(
-        _top_users(spark, sf), fx.user_level(spark, sf), fx.gift_campaigns(spark)
+        _top_users(spark, sf), fx.user_level(spark, sf), fx.running(spark)[0]
     ).withColumn("level", F.coalesce("level", F.lit(-1)))
 
 
@@ -268,8 +268,7 @@ def set_add_new(spark, sf):
 
 
 def _peaks(spark, sf) -> tuple[DataFrame, DataFrame]:
-    running = fx.campaigns(spark, "popularity")
-    span = campaign_span(running)
+    running, span = fx.running(spark, "popularity")
     return popularity.host_day_peak(fx.readings(spark, sf, span), running, span=span), running
 
 
@@ -301,7 +300,7 @@ def pop_avg_month(spark, sf):
 @query
 def pop_signup(spark, sf):
     scores = popularity.popularity_scores(*_peaks(spark, sf))
-    return boards.restrict_to_pool(scores, fx.star_pool(spark, sf), fx.campaigns(spark, "popularity"))
+    return boards.restrict_to_pool(scores, fx.star_pool(spark, sf), fx.running(spark, "popularity")[0])
 
 
 @query
@@ -391,7 +390,7 @@ def _as_lines(df: DataFrame, value: Column) -> DataFrame:
 
 def _gift_lines(spark, sf) -> DataFrame:
     """Gift envelopes made of order lines; some broken, without category or with a bad total."""
-    lines = fx.read(spark, sf, "lineitem").select(*fx.LINE_COLUMNS)
+    lines = fx.read_spread(spark, sf, "lineitem", *fx.LINE_COLUMNS)
     kind = F.col("l_orderkey") % 50
     rows = lines.select(
         kind.alias("kind"),

@@ -6,6 +6,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 
+FEW_SPLITS = 32
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Deal out an input that arrives in a handful of splits, fewer than there are cores.
+
+    For small tables ahead of heavy per-row work: one file with one row group would keep
+    one core busy. An input with ``FEW_SPLITS`` splits or more is left as it is.
+    """
+    cores = min(df.sparkSession.sparkContext.defaultParallelism, FEW_SPLITS)
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path)
 
