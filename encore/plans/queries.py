@@ -539,7 +539,7 @@ def calendar_keys_utc8(spark, sf):
 
 @query
 def word_count(spark, sf):
-    lines = parse.lines(fx.read(spark, sf, "documents"), "text")
+    lines = parse.lines(fx.read_spread(spark, sf, "documents", "text"), "text")
     return aggregates.word_count(parse.words(lines))
 
 
