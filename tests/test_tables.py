@@ -130,7 +130,7 @@ def test_puts_and_sets(spark):
 
 
 def test_user_aggregate_on_a_hot_key(spark):
-    """Median of means is no sum: here the product of signs, over many batches of one key."""
+    """User code over many Arrow batches and partitions of one key."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "100")
     try:
         df = spark.range(3000, numPartitions=6).selectExpr("IF(id % 3 = 0, 'hot', concat('k', id % 20)) AS k", "id AS v")
