@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 BUCKET = 3600
+DAY = 86400
 
 
 def latest_switch(switches: DataFrame) -> DataFrame:
@@ -13,14 +14,24 @@ def latest_switch(switches: DataFrame) -> DataFrame:
     return switches.groupBy("room_id", "cate").agg(F.max("time_u").alias("time_u"))
 
 
-def category_intervals(switches: DataFrame) -> DataFrame:
+def category_intervals(switches: DataFrame, bucket: int = DAY) -> DataFrame:
     """Validity of each switch: [time_u, until_u), open at the newest one.
 
     Switches of one room at the same second count as one, the highest category in text order.
+    The successor is looked for within the room's bucket; only the last switch of a bucket
+    needs the first one of the room's next bucket. So a room with very many switches is
+    sorted bucket by bucket, and per room only its buckets.
     """
-    single = switches.groupBy("room_id", "time_u").agg(F.max("cate").alias("cate"))
-    order = Window.partitionBy("room_id").orderBy("time_u")
-    return single.withColumn("until_u", F.lead("time_u").over(order))
+    slot = F.floor(F.col("time_u") / bucket)
+    single = switches.groupBy("room_id", "time_u").agg(F.max("cate").alias("cate")).withColumn("_slot", slot)
+    firsts = switches.groupBy("room_id", slot.alias("_slot")).agg(F.min("time_u").alias("_first"))
+    ahead = firsts.select(
+        "room_id", "_slot", F.lead("_first").over(Window.partitionBy("room_id").orderBy("_slot")).alias("_ahead")
+    )
+    order = Window.partitionBy("room_id", "_slot").orderBy("time_u")
+    inside = single.withColumn("_next", F.lead("time_u").over(order))
+    joined = inside.join(ahead, ["room_id", "_slot"])
+    return joined.select("room_id", "time_u", "cate", F.coalesce("_next", "_ahead").alias("until_u"))
 
 
 def asof_category(

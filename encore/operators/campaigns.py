@@ -22,7 +22,7 @@ POPULARITY_KEYS = {"all": "popularRank", "week": "weekPopularRank", "month": "mo
 REQUIRED_KEYS = ("project", "startTimeU", "endTimeU", "flag")
 
 BUCKET = 30 * 86400  # campaigns are matched through 30-day buckets
-MAX_BROADCAST_ROWS = 100_000  # campaign buckets; about 20 MB
+MAX_BROADCAST_BYTES = 64 << 20
 SALTS = 32
 
 
@@ -87,18 +87,21 @@ def parse_campaigns(df: DataFrame, kind: str = "gift", key: str = "name", value:
 
 
 class Span(NamedTuple):
-    """First start and last end of a set of campaigns, and its size in 30-day buckets."""
+    """First start and last end of a set of campaigns, and the size of their bucket table."""
 
     first_u: int
     last_u: int
-    buckets: int
+    table_bytes: int
 
 
 def campaign_span(campaigns: DataFrame) -> Span:
     """Read once per job: the window filters the raw time column at the scan, the size picks the join."""
     live = campaigns.where(F.col("start_u") <= F.col("end_u"))
-    buckets = F.sum(_bucket(F.col("end_u")) - _bucket(F.col("start_u")) + 1)
-    row = live.agg(F.min("start_u"), F.max("end_u"), buckets).first()
+    buckets = _bucket(F.col("end_u")) - _bucket(F.col("start_u")) + 1
+    row_bytes = F.lit(400)  # fixed-width columns, name and row overhead
+    for names in ("cates", "gift_ids"):
+        row_bytes = row_bytes + F.size(names) * 16 + F.octet_length(F.array_join(names, ""))
+    row = live.agg(F.min("start_u"), F.max("end_u"), F.sum(buckets * row_bytes)).first()
     return Span(*row) if row[0] is not None else Span(0, -1, 0)
 
 
@@ -111,7 +114,7 @@ def match_campaigns(
     campaigns: DataFrame,
     time_col: str = "time_u",
     cate_col: str = "cate",
-    max_broadcast_rows: int = MAX_BROADCAST_ROWS,
+    max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
     span: Span | None = None,
 ) -> DataFrame:
     """Each event once per campaign it counts for, with the campaign's columns.
@@ -119,7 +122,7 @@ def match_campaigns(
     An event counts when start <= time <= end and the category list is empty (all) or
     holds its category. Campaigns are laid out over 30-day buckets, so this is an equi
     join that only meets campaigns of the event's own bucket. The bucket table is
-    counted first: up to ``max_broadcast_rows`` it is broadcast, beyond that both sides
+    measured first: up to ``max_broadcast_bytes`` it is broadcast, beyond that both sides
     are shuffled on (bucket, salt) so that one busy month is not one task.
 
     Pass ``span`` if it is known and the events were already cut to it.
@@ -131,7 +134,7 @@ def match_campaigns(
         events = events.where(F.col(time_col).between(span.first_u, span.last_u))
     keyed = events.withColumn("_bucket", _bucket(F.col(time_col)))
     keys = ["_bucket"]
-    if span.buckets <= max_broadcast_rows:
+    if span.table_bytes <= max_broadcast_bytes:
         spans = F.broadcast(spans)
     else:
         keys.append("_salt")

@@ -205,6 +205,14 @@ ORACLE: dict[str, str] = {
           AND EXISTS (SELECT 1 FROM host_pool p WHERE p.project = r.project AND p.qid = r.owner)""",
         TOP,
     ),
+    "top_donor_with_level": _gift(
+        """SELECT project, period, period_key, gift_class, owner AS qid, member AS uid, score,
+          coalesce(floor(greatest(c_acctbal, 0) / 1000)::INT, -1) AS level
+        FROM ranked r LEFT JOIN customer ON c_custkey::VARCHAR = member
+        WHERE role = 'donor' AND rank = 1
+          AND EXISTS (SELECT 1 FROM host_pool p WHERE p.project = r.project AND p.qid = r.owner)""",
+        TOP,
+    ),
     "board_topk": _gift("SELECT * FROM ranked WHERE rank <= 101 AND role <> 'donor'", TOP),
     "board_lowest": _gift(
         f"""SELECT * FROM scores WHERE role <> 'donor'

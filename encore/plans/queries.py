@@ -177,6 +177,14 @@ def board_with_level(spark, sf):
     ).withColumn("level", F.coalesce("level", F.lit(-1)))
 
 
+@query
+def top_donor_with_level(spark, sf):
+    """Level of every best donor, whatever the campaign asks for."""
+    best = boards.top_donor(_scores(spark, sf, roles=("donor",)), fx.host_pool(spark, sf))
+    found = enrich.with_profile(best, fx.user_level(spark, sf), member="uid")
+    return found.withColumn("level", F.coalesce("level", F.lit(-1)))
+
+
 def _order_ids(spark, sf) -> DataFrame:
     return fx.read(spark, sf, "orders").select(F.col("o_custkey").cast("string").alias("rid"))
 

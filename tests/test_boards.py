@@ -85,7 +85,7 @@ def test_match_beyond_the_broadcast_bound(spark):
         spark, *[("u", str(i % 9), "g", i, "c", NOW + rng.randrange(90 * DAY)) for i in range(500)]
     )
     small = campaigns.match_campaigns(events, running)
-    large = campaigns.match_campaigns(events, running, max_broadcast_rows=0)
+    large = campaigns.match_campaigns(events, running, max_broadcast_bytes=0)
     assert "SortMergeJoin" in large._jdf.queryExecution().executedPlan().toString()
     key = ["project", "total", "time_u"]
     assert sorted(map(tuple, small.select(key).collect())) == sorted(map(tuple, large.select(key).collect()))

@@ -154,3 +154,16 @@ def test_sign_ins_count_up(spark):
         ("v", "20240101", 1, '{"uid":"v","days":1}'),
     ]
     assert [tuple(r) for r in watch.nth_signin_day(days, 2).collect()] == [("u", "20240102")]
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(switches=st.lists(st.tuples(rooms, st.sampled_from("xyz"), st.integers(T0, T0 + 300)), min_size=1, max_size=30))
+def test_intervals_do_not_depend_on_the_bucket(spark, switches):
+    df = spark.createDataFrame(switches, SWITCH)
+    expected = set()
+    for room in {r for r, _, _ in switches}:
+        times = sorted({t for r, _, t in switches if r == room})
+        for time, after in zip(times, [*times[1:], None]):
+            expected.add((room, time, max(c for r, c, t in switches if (r, t) == (room, time)), after))
+    got = asof.category_intervals(df, bucket=10).select("room_id", "time_u", "cate", "until_u")
+    assert {tuple(r) for r in got.collect()} == expected
