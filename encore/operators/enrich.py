@@ -21,12 +21,9 @@ def fill_missing(ids: DataFrame, cache: DataFrame, profiles: DataFrame, key: str
 def with_profile(rows: DataFrame, profiles: DataFrame, member: str = "member", key: str = "rid") -> DataFrame:
     """Profile columns of each row's member, null where there is no profile.
 
-    Profiles are cut to the asked members first: the cut needs the ids only, and the
-    rows then join a table no larger than themselves.
+    Meant for top lists, so that only their rows meet the profiles.
     """
-    ids = rows.select(F.col(member).alias(key))
-    needed = profiles.join(ids, key, "left_semi").withColumnRenamed(key, member)
-    return rows.join(needed, member, "left")
+    return rows.join(profiles.withColumnRenamed(key, member), member, "left")
 
 
 def with_level(rows: DataFrame, levels: DataFrame, campaigns: DataFrame, member: str = "member") -> DataFrame:
