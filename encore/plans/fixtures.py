@@ -11,6 +11,7 @@ from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from encore.functions.calendar import epoch_seconds, ntz_literal
 from encore.operators.campaigns import Span, campaign_span, parse_campaigns
@@ -50,8 +51,15 @@ SIGN_IN_CATES = ["cat0", "cat1", "cat2"]
 SIGN_IN_THRESHOLD = 3
 
 
+@lru_cache(maxsize=256)
+def _schema(spark: SparkSession, path: str) -> StructType:
+    """Read from the files once per session; inferring it again costs a job each time."""
+    return spark.read.parquet(path).schema
+
+
 def read(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    path = f"{sf}/{name}.parquet"
+    return spark.read.schema(_schema(spark, path)).parquet(path)
 
 
 def read_spread(spark: SparkSession, sf: str, name: str, *columns: str, span: Span | None = None, time: str = "") -> DataFrame:

@@ -13,10 +13,12 @@ def spread(df: DataFrame) -> DataFrame:
     """Deal out an input that arrives in a handful of splits, fewer than there are cores.
 
     For small tables ahead of heavy per-row work: one file with one row group would keep
-    one core busy. An input with ``FEW_SPLITS`` splits or more is left as it is.
+    one core busy. An input with ``FEW_SPLITS`` splits or more is left as it is. Rows go by
+    their hash: the same rows to the same place however often a task is repeated, and
+    without the sort that dealing them in turn would need.
     """
     cores = min(df.sparkSession.sparkContext.defaultParallelism, FEW_SPLITS)
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores, *df.columns) if df.rdd.getNumPartitions() < cores else df
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
