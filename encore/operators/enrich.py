@@ -87,6 +87,12 @@ def common_ids(left: DataFrame, right: DataFrame) -> DataFrame:
     return left.intersect(right)
 
 
+def store_profiles(current: DataFrame, hosts: DataFrame, users: DataFrame, key: str = "rid") -> DataFrame:
+    """The profile table after a lookup: a host's row (which knows the room) replaces what is
+    there, a user's row is only added where the id is new."""
+    return put_if_absent(put(current, hosts, key), users, key)
+
+
 def new_members(existing: DataFrame, rows: DataFrame, keys: list[str]) -> DataFrame:
     """Set add: the distinct keys that were not there before."""
     return rows.select(*keys).distinct().join(existing.select(*keys), keys, "left_anti")

@@ -266,6 +266,10 @@ ORACLE: dict[str, str] = {
     "put_replace": f"""WITH {TWO_TABLES}
         SELECT rid, max(label) AS label FROM put GROUP BY rid UNION ALL
         SELECT * FROM kept WHERE rid NOT IN (SELECT rid FROM put)""",
+    "store_profiles": """
+        SELECT c_custkey::VARCHAR AS rid, CASE WHEN c_custkey % 3 = 0 AND c_custkey % 10 <> 0 THEN 'old' ELSE c_name END
+          AS nick_name, CASE WHEN c_custkey % 10 = 0 THEN 'room' || c_custkey ELSE '' END AS room_id
+        FROM customer WHERE c_custkey % 3 = 0 OR c_custkey % 10 = 0 OR c_custkey IN (SELECT o_custkey FROM orders)""",
     "set_add_new": f"WITH {TWO_TABLES} SELECT DISTINCT rid FROM put WHERE rid NOT IN (SELECT rid FROM kept)",
     "pop_day_peak": f"""WITH {POP} SELECT project, host_id, strftime(day, '%Y%m%d') AS day, peak FROM peak""",
     **{f"pop_avg_{p}": f"WITH {POP} SELECT * FROM scores WHERE period = '{p}'" for p in ("all", "week", "month")},

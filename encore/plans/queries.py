@@ -266,6 +266,19 @@ def put_replace(spark, sf):
     return enrich.put(current, rows, "rid")
 
 
+@query
+def store_profiles(spark, sf):
+    """Profiles after a lookup of givers (added if new) and of every tenth customer as host (replaced)."""
+    everyone = fx.read(spark, sf, "customer").select(
+        F.col("c_custkey").cast("string").alias("rid"), F.col("c_name").alias("nick_name"), F.lit("").alias("room_id")
+    )
+    key = F.col("rid").cast("bigint")
+    current = everyone.where(key % 3 == 0).withColumn("nick_name", F.lit("old"))
+    hosts = everyone.where(key % 10 == 0).withColumn("room_id", F.concat(F.lit("room"), "rid"))
+    users = everyone.join(_order_ids(spark, sf), "rid", "left_semi")
+    return enrich.store_profiles(current, hosts, users)
+
+
 @query
 def set_add_new(spark, sf):
     current, rows = _two_tables(spark, sf)

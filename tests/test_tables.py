@@ -129,6 +129,15 @@ def test_puts_and_sets(spark):
     assert [r.id for r in enrich.common_ids(*ids).collect()] == ["b"]
 
 
+def test_profiles_are_replaced_for_hosts_and_added_for_users(spark):
+    row = "rid string, nick_name string, room_id string"
+    current = spark.createDataFrame([("h", "old", ""), ("u", "old", "7")], row)
+    hosts = spark.createDataFrame([("h", "new", "9")], row)
+    users = spark.createDataFrame([("u", "new", ""), ("h", "newer", ""), ("v", "new", "")], row)
+    got = enrich.store_profiles(current, hosts, users)
+    assert sorted(map(tuple, got.collect())) == [("h", "new", "9"), ("u", "old", "7"), ("v", "new", "")]
+
+
 def test_user_aggregate_on_a_hot_key(spark):
     """User code over many Arrow batches and partitions of one key."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "100")
