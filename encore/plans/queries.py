@@ -441,9 +441,13 @@ def envelope_quarantine(spark, sf):
     return bad.groupBy("error").agg(F.count("*").alias("records"))
 
 
+def _events(spark, sf) -> DataFrame:
+    return fx.read_spread(spark, sf, "events", "event_id", "ts", "user_id", "event_type", "value", "props")
+
+
 @query
 def popularity_parse(spark, sf):
-    events = fx.read(spark, sf, "events")
+    events = _events(spark, sf)
     data = F.to_json(
         F.struct(
             F.col("event_type").alias("classification"),
@@ -460,7 +464,7 @@ def popularity_parse(spark, sf):
 
 @query
 def log_parse(spark, sf):
-    events = fx.read(spark, sf, "events")
+    events = _events(spark, sf)
     page = F.when(F.col("event_type") == "click", "client_punch").otherwise("player")
     bad = F.col("event_id") % 10
     uid = F.when(bad == 0, "0").when(bad == 1, "-5").when(bad == 2, "x").otherwise(F.col("user_id").cast("string"))
@@ -475,7 +479,7 @@ def log_parse(spark, sf):
 
 @query
 def tsv_parse(spark, sf):
-    events = fx.read(spark, sf, "events")
+    events = _events(spark, sf)
     cells = [
         F.col("user_id").cast("string"), F.lit("old"), F.lit(""), F.col("event_type"), F.lit("x"),
         F.when(F.col("event_id") % 7 == 0, "yesterday").otherwise(F.date_format("ts", "yyyy-MM-dd HH:mm:ss")),
@@ -488,7 +492,7 @@ def tsv_parse(spark, sf):
 
 @query
 def reading_parse(spark, sf):
-    events = fx.read(spark, sf, "events")
+    events = _events(spark, sf)
     stamp = F.date_format("ts", "yyyy-MM-dd HH:mm:ss")
     number = F.when(F.col("event_id") % 9 == 0, "n/a").otherwise(F.floor("value").cast("string"))
     lines = _as_lines(events, F.concat(F.lit(" "), F.concat_ws(",", "event_type", stamp, number)))
@@ -498,7 +502,7 @@ def reading_parse(spark, sf):
 
 @query
 def click_parse(spark, sf):
-    events = fx.read(spark, sf, "events")
+    events = _events(spark, sf)
     message = F.struct(
         F.col("user_id").cast("string").alias("uid"),
         epoch_seconds(events, "ts").cast("string").alias("event_time"),
