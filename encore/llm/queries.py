@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from encore.llm import decontaminate, packing, quality
+from encore.llm import decontaminate, jaccard, packing, personal, quality
 from encore.llm.common import fold, table
 
 
@@ -26,6 +26,18 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents")).drop("bears_loss")
 
 
+def op2_personal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document; a digest of the base spans, and all spans."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = personal.find(docs, detector=personal.learn(docs))
+    return found.select("doc_id", *(f"n_{k}" for k in personal.KINDS), F.sha2("base", 256).alias("base_sha256"), "spans")
+
+
+def op7_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents that share nine tenths of their three-word shingles."""
+    return jaccard.join(table(spark, sf_dir, "documents"))
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark passages in every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -39,6 +51,8 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_quality": op5_quality,
     "op6_packing": op6_packing,
+    "op2_personal": op2_personal,
+    "op7_jaccard": op7_jaccard,
     "op9_decontamination": op9_decontamination,
 }
 
