@@ -1,12 +1,12 @@
-"""The corpus pipeline: filter by quality, remove near copies, decontaminate, redact, pack."""
+"""The corpus pipeline: filter by quality, keep one of near copies, decontaminate, redact personal data, pack."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from encore.llm import decontaminate, packing, quality
-from encore.llm.common import fold, fresh, saved, table
+from encore.llm import decontaminate, jaccard, packing, personal, quality
+from encore.llm.common import fold, saved, table
 
 DOCUMENT = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -17,19 +17,47 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return scored.where(F.col("score") >= quality.THRESHOLD).select(DOCUMENT)
 
 
+def keep_one(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of every group of near copies the document with the smallest id.
+
+    Repeated rows count as copies; rows without an id or without words stay. Texts are shuffled only where a table of
+    fixed size tells that their id may be one to drop or to look at twice.
+    """
+    docs = docs.select(DOCUMENT)
+    found = saved(jaccard.join(docs), "components")
+    rows = found.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("rows"), F.min("component_id").alias("component_id"))
+    touched = saved(rows.where("rows > 1 or component_id <> doc_id"), "touched")
+    mark = F.pmod(F.xxhash64("doc_id"), F.lit(jaccard.MARKS))
+    marks = F.broadcast(touched.select(mark.alias("mark")).distinct())  # at most MARKS rows
+    marked = docs.withColumn("mark", mark)
+    clear = marked.join(marks, "mark", "left_anti").drop("mark")
+    looked = marked.join(marks, "mark", "left_semi").drop("mark")
+    looked = looked.join(touched.where("component_id <> doc_id").select("doc_id"), "doc_id", "left_anti")
+    return clear.unionByName(looked.dropDuplicates(["doc_id", "text"])).select(DOCUMENT)
+
+
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a benchmark passage."""
     found = decontaminate.decontaminate(docs.select(DOCUMENT), table(spark, sf_dir, "benchmark"))
     return found.where(~F.col("contaminated")).select(DOCUMENT)
 
 
+def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, personal data replaced by its kind."""
+    found = personal.find(docs.select(DOCUMENT), detector=personal.learn(docs), redact="text")
+    return found.withColumn("n_chars", F.length("text").cast("long")).select(DOCUMENT)
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token pieces of all documents, placed in sequences."""
     return packing.pack(docs).drop("bears_loss")
 
 
 STAGES = [
     ("quality", keep_quality),
+    ("near_duplicates", keep_one),
     ("decontamination", drop_contaminated),
+    ("personal_data", redact),
     ("packing", pack),
 ]
 

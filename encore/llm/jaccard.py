@@ -11,7 +11,6 @@ multiplied out.
 
 from __future__ import annotations
 
-import hashlib
 import math
 
 import numpy as np
@@ -103,6 +102,7 @@ def signatures(hashes: np.ndarray, threshold: Threshold) -> np.ndarray:
 
 
 def counts(hashes: np.ndarray) -> np.ndarray:
+    """The point: how many hashes fall into each group."""
     return np.bincount((hashes >> np.uint64(40)).astype(np.int64) % GROUPS, minlength=GROUPS)
 
 
@@ -172,6 +172,11 @@ def links(ids: np.ndarray, sets: list[np.ndarray], side: np.ndarray, threshold:
     return out
 
 
+def _class(hashes: np.ndarray) -> int | None:
+    """A number for a set; equal sets have the same."""
+    return xxhash.xxh3_64_intdigest(hashes.tobytes()) - (1 << 63) if len(hashes) else None
+
+
 def join(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 3, percent: int = 90, block: int = BLOCK
 ) -> DataFrame:
@@ -179,8 +184,8 @@ def join(
 
     Two texts are linked if their sets of shingles share at least ``percent`` of their union; a component's id is the
     smallest ``doc_id`` that links reach. Texts without words (null, empty) are linked with nothing, nor are rows without an
-    id, whose component is null. Rows of equal texts fall into one class and are never multiplied out; rows of one id keep
-    one row each. Ids are whole numbers.
+    id, whose component is null. Rows of equal texts are one class and are never multiplied out; rows of one id keep one
+    row each. Ids are whole numbers. A table whose texts nowhere share a part, or an empty one, has no links.
     """
     threshold = Threshold(percent)
     rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("t"))
@@ -189,94 +194,88 @@ def join(
         known = _Hashes()
 
         def work(texts):
-            sizes, marks, signs = [], [], []
-            for t in texts:
-                s = shingles(t, width, known)
-                sizes.append(len(s))
-                marks.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None)
-                signs.append(signatures(s, threshold).astype(np.int64).tolist() if len(s) and threshold.differ(len(s)) else [])
-            return {"n": sizes, "mark": marks, "signs": signs}
+            sets = [shingles(t, width, known) for t in texts]
+            signs = [signatures(s, threshold).astype(np.int64) if len(s) and threshold.differ(len(s)) else () for s in sets]
+            return {"n": [len(s) for s in sets], "class": [_class(s) for s in sets], "signs": signs}
 
         return work
 
-    made = saved(map_rows(rows, ["t"], "n long, mark binary, signs array<long>", make).drop("t"), "shingles")
-    whole = made.where("mark is not null and id is not null")
-    classes = saved(whole.groupBy("mark").agg(F.min("id").alias("class"), F.count("*").alias("rows")), "classes")
-    firsts = classes.select("mark", F.col("class").alias("id"))
-    # One row's parts for each class; a repeated id has the same parts wherever its mark is the same.
-    parts = (
-        whole.where("size(signs) > 0").join(firsts, ["mark", "id"], "left_semi")
-        .select("id", F.explode("signs").alias("sign"))
-    )
-    meets = parts.groupBy("sign").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high").select("sign", "low")
-    met = parts.join(meets, "sign").where("id <> low").select("id", "low").distinct()
-    groups = saved(components(met, "id", "low"), "groups")
-    found = _links(docs, groups, doc_id, text, width, threshold, block)
-    roots = components(found)
-    members = classes.join(roots, classes["class"] == roots["node"], "left")
-    members = members.select("mark", F.coalesce("root", "class").alias("component_id"))
-    out = made.drop("signs").join(members, "mark", "left")
-    out = out.select(
+    made = saved(map_rows(rows, ["t"], "n long, class long, signs array<long>", make).drop("t"), "shingles")
+    whole = made.where("class is not null and id is not null")
+    # One exchange for both uses. A text has many parts, so even copies of one text are a small share of any part's rows.
+    parts = whole.select("class", F.explode("signs").alias("sign")).repartition("sign")
+    meets = parts.groupBy("sign").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low < high")
+    met = parts.join(meets.select("sign", "low"), "sign").where("class <> low").select("class", "low").distinct()
+    groups = components(met, "class", "low").select(F.col("node").alias("class"), F.col("root").alias("group"))
+    # One text for each class that met another.
+    texts = whole.select("class", "n", "id").join(groups, "class").groupBy("class", "group", "n").agg(F.min("id").alias("id"))
+    roots = components(_links(rows, saved(texts, "groups"), width, threshold, block))
+    found = whole.select("class", "id").groupBy("class").agg(F.min("id").alias("id")).join(roots, F.col("class") == F.col("node"), "left")
+    found = saved(found.select("class", F.coalesce("root", "class").alias("root"), "id"), "classes")
+    least = found.groupBy("root").agg(F.min("id").alias("component_id"))
+    members = found.join(least, "root").select("class", "component_id")
+    return made.drop("signs").join(members, "class", "left").select(
         F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"),
         F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id")).alias("component_id"),
     )
-    return out
 
 
-def _links(
-    docs: DataFrame, groups: DataFrame, doc_id: str, text: str, width: int, threshold: Threshold, block: int
-) -> DataFrame:
-    """Verified links between the sets of each group, enough to connect what is connected.
+def _links(rows: DataFrame, texts: DataFrame, width: int, threshold: Threshold, block: int) -> DataFrame:
+    """Verified links between the classes of each group, enough to connect what is connected.
 
-    Sets of a group, in order of size, are cut into blocks of at most ``block``; a task takes one block, or two whose
-    sizes allow a link.
+    Sets of a group, in order of size, are cut into blocks of about ``block`` shingles; a task takes one block, or two whose
+    sizes allow a link. What is in which task is decided before the sets are made again and sent there.
     """
     mark = F.pmod(F.xxhash64("id"), F.lit(MARKS))
     # At most MARKS rows, so it is safe to send: leaves out most texts before their shingles are made again.
-    chosen = groups.select(F.col("node").alias("id")).select(mark.alias("m")).distinct()
-    rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("t")).where("id is not null and t is not null")
-    rows = rows.withColumn("m", mark).join(F.broadcast(chosen), "m", "left_semi").drop("m")
+    chosen = texts.select(mark.alias("m")).distinct()
+    some = rows.where("id is not null and t is not null").withColumn("m", mark).join(F.broadcast(chosen), "m", "left_semi").drop("m")
 
     def make():
         known = _Hashes()
 
-        def work(texts):
-            sets = [shingles(t, width, known) for t in texts]
-            return {"n": [len(s) for s in sets], "set": [s.tobytes() for s in sets]}
+        def work(told):
+            sets = [shingles(t, width, known) for t in told]
+            return {"class": [_class(s) for s in sets], "set": [_short(s) for s in sets]}
 
         return work
 
-    sets = map_rows(rows, ["t"], "n long, set binary", make).drop("t")
-    sets = sets.join(groups.select(F.col("node").alias("id"), F.col("root").alias("group")), "id").dropDuplicates(["id", "n", "set"])
-    sets = saved(sets, "sets")
-    blocks = _blocks(sets, block)
+    sets = map_rows(some, ["t"], "class long, set binary", make).drop("t")
+    tasks = _tasks(texts, threshold, block)
+    sent = sets.join(tasks, ["id", "class"]).dropDuplicates(["id", "class", "task", "side"])
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         found = []
-        for _, rows in sorted(frame.groupby("group").indices.items()):
-            hashes = [np.frombuffer(x, np.uint64) for x in frame["set"].iloc[rows]]
-            found += links(frame["id"].to_numpy()[rows], hashes, frame["side"].to_numpy()[rows], threshold)
+        for _, at in sorted(frame.groupby("group").indices.items()):
+            hashes = [_long(x) for x in frame["set"].iloc[at]]
+            found += links(frame["class"].to_numpy()[at], hashes, frame["side"].to_numpy()[at], threshold)
         return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
-    tasks = blocks.join(_tasks(blocks, threshold, block), ["group", "block"]).select("task", "group", "side", "id", "set")
-    return saved(tasks.groupBy("task").applyInPandas(run, "a long, b long"), "verified")
+    return saved(sent.select("task", "group", "side", "class", "set").groupBy("task").applyInPandas(run, "a long, b long"), "verified")
 
 
-def _blocks(sets: DataFrame, block: int) -> DataFrame:
-    """``sets`` with a block number, by size within the group, then by a hash. Sizes are counted first, so that no group
-    is gathered."""
-    sizes = sets.groupBy("group", "n").agg((F.count("*") * F.col("n")).alias("c"))
-    upto = Window.partitionBy("group").orderBy("n")
-    before = sizes.withColumn("before", F.sum("c").over(upto) - F.col("c"))
-    spot = F.floor(F.col("before") / block) + F.pmod(F.xxhash64("id"), F.ceil(F.col("c") / block))
-    return sets.join(before, ["group", "n"]).withColumn("block", spot).drop("before", "c")
+def _short(hashes: np.ndarray) -> bytes:
+    """The upper six bytes of each hash."""
+    return hashes.astype("<u8").view(np.uint8).reshape(-1, 8)[:, 2:].tobytes()
+
+
+def _long(data: bytes) -> np.ndarray:
+    out = np.zeros((len(data) // 6, 8), np.uint8)
+    out[:, 2:] = np.frombuffer(data, np.uint8).reshape(-1, 6)
+    return out.reshape(-1).view("<u8")
 
 
-def _tasks(blocks: DataFrame, threshold: Threshold, block: int) -> DataFrame:
-    """For each block the tasks that it is part of, and its side there. Groups of one block share tasks."""
+def _tasks(texts: DataFrame, threshold: Threshold, block: int) -> DataFrame:
+    """For each text the tasks that it is part of, and its side there. Groups of one block share tasks.
+
+    Blocks go by size within the group, then by a hash; sizes are counted first, so that no group is gathered.
+    """
+    sizes = texts.groupBy("group", "n").agg((F.count("*") * F.col("n")).alias("c"))
+    before = sizes.withColumn("before", F.sum("c").over(Window.partitionBy("group").orderBy("n")) - F.col("c"))
+    spot = F.floor(F.col("before") / block) + F.pmod(F.xxhash64("id"), F.ceil(F.col("c") / block))
+    placed = texts.join(before, ["group", "n"]).withColumn("block", spot).drop("before", "c")
     spans = saved(
-        blocks.groupBy("group", "block").agg(F.min("n").alias("least"), F.max("n").alias("most"), F.sum("n").alias("all")),
-        "blocks",
+        placed.groupBy("group", "block").agg(F.min("n").alias("least"), F.max("n").alias("most"), F.sum("n").alias("all")), "blocks"
     )
     total = spans.agg(F.sum("all")).first()[0] or 0
     a, b = spans.alias("a"), spans.alias("b")
@@ -295,4 +294,5 @@ def _tasks(blocks: DataFrame, threshold: Threshold, block: int) -> DataFrame:
         both.select(F.col(f"{x}.group").alias("group"), F.col(f"{x}.block").alias("block"), task, F.lit(i).alias("side"))
         for i, x in enumerate("ab")
     ]
-    return alone.unionAll(sides[0]).unionAll(sides[1])
+    tasks = alone.unionAll(sides[0]).unionAll(sides[1])
+    return placed.join(tasks, ["group", "block"]).select("id", "class", "group", "task", "side")

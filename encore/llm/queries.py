@@ -7,10 +7,25 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from encore.llm import decontaminate, jaccard, packing, personal, quality
+from encore.llm import backoff, decontaminate, embeddings, jaccard, language, licenses, packing, pages, personal, quality
 from encore.llm.common import fold, table
 
 
+def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licences that documents name or quote, by ordered rules over known sentences."""
+    found = licenses.recognise(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select(
+        "doc_id", F.concat_ws(",", "licenses").alias("licenses"), F.concat_ws(",", "sentences").alias("sentences"),
+        F.size("sentences").cast("long").alias("n_sentences"),
+    )
+
+
+def op4_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of all documents under the model of those whose id is no multiple of eight (the others are held out)."""
+    scores = backoff.score(table(spark, sf_dir, "documents"), learn=F.col("doc_id") % 8 != 0)
+    return scores.select("doc_id", "n_tokens", F.round("log_score", 4).alias("log_score"))
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality scores; labels of every fifth document (by crc32 of its id) are never learned from."""
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
@@ -26,6 +41,11 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents")).drop("bears_loss")
 
 
+def op1_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate vectors at cosine 0.95."""
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op2_personal(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every document; a digest of the base spans, and all spans."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -38,6 +58,11 @@ def op7_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join(table(spark, sf_dir, "documents"))
 
 
+def op8_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return pages.extract(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark passages in every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -48,12 +73,42 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Languages of all documents; those with crc32 of the id 2 modulo 4 are never learned from."""
+    docs = table(spark, sf_dir, "documents")
+    found = language.classify(docs.select("doc_id", "text", "lang"), learn=fold("doc_id", 4) != 2)
+    return found.select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_licenses": op3_licenses,
+    "op4_backoff": op4_backoff,
     "op5_quality": op5_quality,
     "op6_packing": op6_packing,
+    "op1_embeddings": op1_embeddings,
     "op2_personal": op2_personal,
     "op7_jaccard": op7_jaccard,
+    "op8_pages": op8_pages,
     "op9_decontamination": op9_decontamination,
+    "op10_language": op10_language,
 }
 
-ORACLE: dict[str, str] = {}
+_BACKOFF = r"""
+WITH d AS (
+  SELECT doc_id, doc_id % 8 <> 0 AS learn,
+    regexp_extract_all(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+p AS (SELECT doc_id, learn, unnest(list_prepend(' start', w)) AS a, unnest(list_append(w, ' end')) AS b FROM d),
+two AS (SELECT a, b, count(*) AS n FROM p WHERE learn GROUP BY a, b),
+one AS (SELECT a, count(*) AS n FROM p WHERE learn GROUP BY a),
+low AS (SELECT b, count(*) AS n FROM p WHERE learn GROUP BY b),
+total AS (SELECT count(*) AS n FROM p WHERE learn)
+SELECT doc_id, count(*) - 1 AS n_tokens,
+  round(sum(CASE WHEN two.n IS NOT NULL THEN ln(two.n) - ln(one.n)
+    ELSE ln(0.4::DOUBLE) + ln(coalesce(low.n, 1)) - ln(greatest(total.n, 1)) END), 4) AS log_score
+FROM p LEFT JOIN two USING (a, b) LEFT JOIN one USING (a) LEFT JOIN low USING (b) CROSS JOIN total
+GROUP BY doc_id
+"""
+
+ORACLE: dict[str, str] = {"op3_licenses": licenses.oracle_sql(), "op4_backoff": _BACKOFF}
