@@ -1,0 +1,110 @@
+"""The Jaccard join against all pairs that share a shingle."""
+
+from __future__ import annotations
+
+import random
+import re
+from collections import Counter, defaultdict
+
+import numpy as np
+from helpers import Union, documents
+
+from encore.llm import common, jaccard, queries
+
+
+def shingles(text, width=3):
+    words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m.group().lower(), text or ""))
+    return frozenset(tuple(words[i : i + width]) for i in range(max(1, len(words) - width + 1))) if words else frozenset()
+
+
+def brute(rows, percent=90):
+    sets, at = {i: shingles(t) for i, t in rows}, defaultdict(list)
+    for i, s in sets.items():
+        for x in s:
+            at[x].append(i)
+    union = Union(sets)
+    for i, s in sets.items():
+        for j, both in Counter(j for x in s for j in at[x]).items():
+            if 100 * both >= percent * (len(s) + len(sets[j]) - both):
+                union.link(i, j)
+    return {i: (len(s), union.root(i)) for i, s in sets.items()}
+
+
+def near_copies(rows, n, seed=1):
+    random.seed(seed)
+    out = list(rows)
+    for k in range(n):
+        words = random.choice(rows)[1].split(" ")
+        for _ in range(random.randint(1, 3)):
+            words[random.randrange(len(words))] = random.choice(["zz", "yy", ""])
+        out.append((10_000 + k, " ".join(words)))
+    return out
+
+
+ODD = ["", None, "a", "A", "a b", "a  B", "a b c", " ".join("one two three four five six seven eight nine ten eleven twelve".split()),
+       "one two three four five six seven eight nine ten eleven twelve one", "x " * 50, "x " * 60, "\x1ca b", "É é"]
+
+
+def test_matches_all_pairs(spark, sf):
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
+    rows = near_copies(rows, 150) + [(20_000 + i, t) for i, t in enumerate(ODD)]
+    words = [f"w{i}" for i in range(400)]
+    for k in range(120):  # a chain: neighbours are similar, the ends are not
+        rows.append((30_000 + k, " ".join(words[k : k + 200])))
+    rows.append((40_000, " ".join(f"v{i}" for i in range(30_000))))
+    rows.append((40_001, " ".join(f"v{i}" for i in range(29_000))))
+    df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 AS class", "2 AS n_shingles", "'x' AS sign")
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.join(df, block=3000).collect()}
+    assert got == brute(rows)
+
+
+def test_query(spark, sf):
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in queries.QUERIES["op7_jaccard"](spark, sf).collect()}
+    assert got == brute(rows)
+
+
+def test_repeated_rows_null_ids_empty_table(spark):
+    long = " ".join(f"w{i}" for i in range(40))
+    df = spark.createDataFrame([(1, long), (1, long), (2, long + " x"), (None, long), (3, None)], "doc_id long, text string")
+    assert sorted((r.doc_id or -1, r.n_shingles, r.component_id or -1) for r in jaccard.join(df).collect()) == [
+        (-1, 38, -1), (1, 38, 1), (1, 38, 1), (2, 39, 1), (3, 0, 3),
+    ]
+    assert jaccard.join(documents(spark, [])).count() == 0
+
+
+def test_similar_sets_share_a_part():
+    rng = np.random.default_rng(0)
+    for percent in (80, 90, 95):
+        threshold = jaccard.Threshold(percent)
+        for _ in range(300):
+            n = int(rng.integers(1, 300))
+            a = rng.integers(0, 2**63, n).astype(np.uint64)
+            b = np.concatenate((a[int(rng.integers(0, n // 8 + 1)) :], rng.integers(0, 2**63, int(rng.integers(0, n // 8 + 1))).astype(np.uint64)))
+            a, b = np.unique(a), np.unique(b)
+            both = len(np.intersect1d(a, b))
+            if len(b) and threshold.linked(both, len(a), len(b)) and both < max(len(a), len(b)):
+                assert set(jaccard.signatures(a, threshold).tolist()) & set(jaccard.signatures(b, threshold).tolist())
+
+
+def test_tree_finds_all_that_can_link():
+    rng = np.random.default_rng(0)
+    points = rng.poisson(3, (500, jaccard.GROUPS))
+    points[250:] = np.maximum(points[:250] + rng.integers(-1, 2, (250, jaccard.GROUPS)) * (rng.random((250, jaccard.GROUPS)) < 0.1), 0)
+    tree, threshold = jaccard.Tree(points), jaccard.Threshold(90)
+    for p in points[::7]:
+        bound = np.minimum(points, p).sum(1)
+        expected = np.flatnonzero(threshold.linked(bound, p.sum(), points.sum(1)))
+        assert sorted(tree.order[tree.search(p, threshold, np.ones(500, bool))]) == expected.tolist()
+
+
+def test_components(spark):
+    random.seed(3)
+    edges = [(random.randrange(300), random.randrange(300)) for _ in range(200)] + [(1000 + i, 1001 + i) for i in range(60)] + [(5, 5), (None, 3)]
+    union = Union({x for e in edges if None not in e for x in e})
+    for a, b in edges:
+        if a is not None:
+            union.link(a, b)
+    got = {r.node: r.root for r in common.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    linked = {x for a, b in edges if a is not None and a != b for x in (a, b)}
+    assert got == {x: union.root(x) for x in linked}

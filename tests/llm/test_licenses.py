@@ -1,0 +1,34 @@
+"""Licence rules: the query against SQL, and cases of the operator."""
+
+from __future__ import annotations
+
+import pytest
+from compare import difference, oracle_connection
+from helpers import documents
+
+from encore.llm import licenses, queries
+
+MIT = [licenses.SENTENCES[i] for i in (1, 2, 3, 4)]
+
+
+@pytest.mark.parametrize("name", ["op3_licenses", "op4_backoff"])
+def test_matches_sql(spark, sf, name):
+    got = queries.QUERIES[name](spark, sf).toPandas()
+    assert difference(got, oracle_connection(sf).execute(queries.ORACLE[name]).fetchdf()) is None
+
+
+def test_cases(spark):
+    cases = {
+        None: [], "": [], "Licensed under the Apache License, Version 2.0.": ["Apache-2.0"],
+        "text | more\nLICENSED under the\tMIT license!\nmore": ["MIT"], " ".join(MIT): ["MIT"],
+        "\n".join(MIT).replace(", ", ",\n"): ["MIT"], " ".join(reversed(MIT)): [], " ".join(MIT[:3]): [],
+        "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the "
+        "License. All rights reserved.": ["Apache-2.0", "proprietary"],
+        "word " * 200_000 + ". Released under the MIT License. " + "word " * 10: ["MIT"],
+        "Not released under the MIT License": [],
+    }
+    df = documents(spark, list(cases), "sentences licenses")
+    rows = sorted(licenses.recognise(df).collect(), key=lambda r: r.doc_id)
+    assert [r.licenses for r in rows] == list(cases.values())
+    assert licenses.recognise(df.limit(0)).count() == 0
+    assert [f for f in licenses.recognise(df).columns if f == "licenses"] == ["licenses"]
