@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+CLIENT_BEAT = "GET /client_punch.gif?"  # Fixed value: how access logs show a client beat
+
+
 def good(parsed: DataFrame) -> DataFrame:
     return parsed.where(F.col("error").isNull()).drop("value", "error")
 
@@ -24,19 +27,19 @@ def _strings(*names: str) -> T.StructType:
     return T.StructType([T.StructField(n, T.StringType()) for n in names])
 
 
-def _once(df: DataFrame, value: str, *columns: Column) -> DataFrame:
-    """The line and its parsed columns.
+def _once(df: DataFrame, value: str, *columns: Column, keep: tuple[str, ...] = ()) -> DataFrame:
+    """The line, the columns ``keep`` and the parsed ones.
 
     Generated rather than projected: the optimizer copies a projected expression into
     every later use and filter, and parsing is the expensive part of these jobs.
     """
-    return df.select(F.col(value).alias("value"), F.inline(F.array(F.struct(*columns))))
+    return df.select(F.col(value).alias("value"), *keep, F.inline(F.array(F.struct(*columns))))
 
 
-def _envelope(df: DataFrame, value: str, fields: T.StructType) -> DataFrame:
+def _envelope(df: DataFrame, value: str, fields: T.StructType, keep: tuple[str, ...] = ()) -> DataFrame:
     """Open ``{"data": "<json text>", ...}``: the payload is JSON inside a JSON string."""
     payload = F.from_json(F.get_json_object(F.col(value), "$.data"), fields)
-    return _once(df, value, payload.alias("d"))
+    return _once(df, value, payload.alias("d"), keep=keep)
 
 
 def _first_error(**required: Column) -> Column:
@@ -45,8 +48,8 @@ def _first_error(**required: Column) -> Column:
 
 
 def _long(text: Column) -> Column:
-    """Whole part of a number given as text (``"1540796914.95"`` gives 1540796914)."""
-    return text.try_cast("double").cast("bigint")
+    """Whole part of a number given as text (``"1540796914.95"`` gives 1540796914); null for what is no such number."""
+    return text.try_cast("double").try_cast("bigint")
 
 
 def parse_gift(df: DataFrame, value: str = "value") -> DataFrame:
@@ -88,14 +91,16 @@ def parse_popularity(df: DataFrame, value: str = "value") -> DataFrame:
     return rows.withColumn("error", _first_error(**checks))
 
 
-def parse_profile_change(df: DataFrame, value: str = "value") -> DataFrame:
+def parse_profile_change(df: DataFrame, value: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
     """Profile or room-number change, routed by which id the payload carries.
 
-    ``kind`` is ``profile`` (rid, nickname and/or avatar) or ``room`` (hostid, new_id).
+    ``kind`` is ``profile`` (rid, nickname and/or avatar) or ``room`` (hostid, new_id). ``keep`` names columns of ``df``
+    to carry along, such as the record's offset, by which changes are ordered.
     """
     d = F.col("d")
-    rows = _envelope(df, value, _strings("rid", "nickname", "avatar", "hostid", "new_id")).select(
+    rows = _envelope(df, value, _strings("rid", "nickname", "avatar", "hostid", "new_id"), keep).select(
         "value",
+        *keep,
         F.when(d.rid.isNotNull(), "profile").when(d.hostid.isNotNull(), "room").alias("kind"),
         F.coalesce(d.rid, d.hostid).alias("rid"),
         F.when(d.rid.isNotNull(), d.nickname).alias("nickname"),
@@ -106,10 +111,10 @@ def parse_profile_change(df: DataFrame, value: str = "value") -> DataFrame:
     return rows.withColumn("error", _first_error(rid=F.col("rid").isNotNull(), new_id=complete))
 
 
-def parse_heartbeat(df: DataFrame, stream_prefix: str, value: str = "value") -> DataFrame:
+def parse_heartbeat(df: DataFrame, stream_prefix: str, value: str = "value", client: str = CLIENT_BEAT) -> DataFrame:
     """Access-log line to (uid, stream, flag, time_u); flag ``c`` marks the two-minute client beat.
 
-    ``stream_prefix`` is the url-encoded path that stands before the stream name.
+    ``stream_prefix`` is the url-encoded path that stands before the stream name, ``client`` the request of a client beat.
     """
     line = F.col(value)
     stamp = F.regexp_extract(line, r"\[([^\]]*)\]", 1)
@@ -121,7 +126,7 @@ def parse_heartbeat(df: DataFrame, stream_prefix: str, value: str = "value") ->
         value,
         F.regexp_extract(line, r"\buid=([^& ]*)", 1).alias("uid"),
         F.get(F.split(path, "_"), F.lit(0)).alias("stream"),
-        F.when(line.contains("GET /client_punch.gif?"), "c").otherwise("p").alias("flag"),
+        F.when(line.contains(client), "c").otherwise("p").alias("flag"),
         F.unix_seconds(F.try_to_timestamp(stamp, F.lit("dd/MMM/yyyy:HH:mm:ss Z"))).alias("time_u"),
     )
     return rows.withColumn(
@@ -158,7 +163,7 @@ def parse_clicks(df: DataFrame, value: str = "value") -> DataFrame:
     """Click JSON to (uid, event_time, os_type, click_count); counts arrive as doubles."""
     fields = _strings("uid", "event_time", "os_type", "click_count")
     rows = _once(df, value, F.from_json(value, fields).alias("d")).select(
-        "value", "d.uid", "d.event_time", "d.os_type", _long(F.col("d.click_count")).cast("int").alias("click_count")
+        "value", "d.uid", "d.event_time", "d.os_type", _long(F.col("d.click_count")).try_cast("int").alias("click_count")
     )
     return rows.withColumn(
         "error", _first_error(uid=F.col("uid").isNotNull(), click_count=F.col("click_count").isNotNull())

@@ -29,11 +29,6 @@ def running_max(events: DataFrame, key: str, value: str) -> DataFrame:
     return events.groupBy(key).agg(F.greatest(F.max(value), F.lit(0)).alias("best"))
 
 
-def max_put(rows: DataFrame, keys: list[str], value: str) -> DataFrame:
-    """Insert, or replace only by something strictly greater: the maximum per key."""
-    return rows.groupBy(*keys).agg(F.max(value).alias(value))
-
-
 def last_put(rows: DataFrame, keys: list[str], value: str, order: str) -> DataFrame:
     """Overwriting put: the value of the newest row per key (equal times: the larger value)."""
     newest = F.max(F.struct(F.col(order), F.col(value))).alias("n")
@@ -87,12 +82,9 @@ def user_aggregate(
         first = {k: pdf[k].iloc[0] for k in keys}
         return pd.DataFrame([{**first, **merge(pdf[names])}])[[*keys, *names]]
 
-    def merge_parts(pdf: pd.DataFrame) -> pd.DataFrame:
-        return merge_groups(pdf)
-
     source = df.select(*keys, *inputs, F.spark_partition_id().alias("_part"))
     buffers = source.mapInPandas(reduce_batches, batch_schema)
-    per_part = buffers.groupBy(*keys, "_part").applyInPandas(merge_parts, final_schema)
+    per_part = buffers.groupBy(*keys, "_part").applyInPandas(merge_groups, final_schema)
     merged = per_part.groupBy(*keys).applyInPandas(merge_groups, final_schema)
     return merged.select(*keys, finish)
 

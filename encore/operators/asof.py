@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKET = 3600
+BUCKET = 600
 DAY = 86400
 
 
@@ -34,6 +34,15 @@ def category_intervals(switches: DataFrame, bucket: int = DAY) -> DataFrame:
     return joined.select("room_id", "time_u", "cate", F.coalesce("_next", "_ahead").alias("until_u"))
 
 
+def _asof_last(events: DataFrame, latest: DataFrame, fallback: str) -> DataFrame:
+    """One list a room, as long as it had categories."""
+    lists = latest.groupBy("room_id").agg(F.collect_list(F.struct("time_u", "cate")).alias("_list"))
+    joined = events.join(lists, "room_id")
+    within = F.array_max(F.filter("_list", lambda s: s.time_u <= F.col("time_u")))["cate"]
+    options = [within] + ([F.array_min("_list")["cate"]] if fallback == "earliest" else [])
+    return joined.select(*events.columns, F.coalesce(*options).alias("cate"))
+
+
 def asof_category(
     events: DataFrame,
     switches: DataFrame,
@@ -47,14 +56,15 @@ def asof_category(
     Before the first switch an event gets the room's earliest category, or null with
     ``fallback='null'``. Events of rooms without history are dropped.
 
-    Time is cut into buckets. Per (room, bucket) there is exactly one lookup row: the
+    With one time per category a room's history is one short list, joined by room in one pass. Of the full history, time
+    is cut into buckets. Per (room, bucket) there is exactly one lookup row: the
     category carried into the bucket and the switches inside it, at most one per second
     and so at most ``bucket`` of them however hot the room. Each event then meets one
     row: no candidate pairs, and a hot room spreads over its buckets (adaptive execution
     splits the event side of a bucket that is hot by itself).
     """
     if history == "last":
-        switches = latest_switch(switches)
+        return _asof_last(events, latest_switch(switches), fallback)
     slot = F.floor(F.col("time_u") / bucket)
     seconds = switches.groupBy("room_id", "time_u").agg(F.max("cate").alias("cate"), F.min("cate").alias("low"))
     asked = events.select("room_id", slot.alias("_slot")).distinct().withColumn("asked", F.lit(True))

@@ -23,6 +23,7 @@ PERIODS = ("all", "day", "week", "month")
 CLASSES = ("all", "special")
 ROLES = ("host", "user", "donor")
 SCOPES = ("all", "group")
+UNIT = 10_000  # parts of a point that scores are summed up in
 
 
 def _mask(periods, classes) -> int:
@@ -37,37 +38,21 @@ def weigh_gifts(matched: DataFrame) -> DataFrame:
     """Add ``special`` (gift on the campaign's list; an empty list has none) and ``score``.
 
     With the extra switched on, a special gift is worth total * (1 + rate) on every
-    board of the campaign, provided |rate| < 1.
+    board of the campaign, provided |rate| < 1. Scores are whole numbers of :data:`UNIT`
+    parts, so that sums do not depend on their order.
     """
     special = F.coalesce(F.array_contains(F.col("gift_ids"), F.col("gift_id")), F.lit(False))
-    total = F.col("total").cast("double")
+    total = F.col("total").cast("bigint") * UNIT
     extra = F.col("extra_add") & special & (F.abs("extra_rate") < 1)
-    return matched.withColumn("special", special).withColumn(
-        "score", F.when(extra, total * (1 + F.col("extra_rate"))).otherwise(total)
-    )
-
+    weighted = F.round(total * (1 + F.col("extra_rate"))).cast("bigint")
+    return matched.withColumn("special", special).withColumn("score", F.when(extra, weighted).otherwise(total))
 
-def assign_groups(matched: DataFrame, host_group: DataFrame | None) -> DataFrame:
-    """Add ``grp``: the host's group in grouped campaigns (flag 2), empty elsewhere.
-
-    Gifts of a grouped campaign to a host without a group are dropped.
-    """
-    if host_group is None:
-        return matched.where(F.col("flag") != 2).withColumn("grp", F.lit(""))
-    groups = host_group.where(F.col("grp") != "").select("project", "qid", F.col("grp").alias("_grp"))
-    joined = matched.join(groups, ["project", "qid"], "left")
-    return (
-        joined.where((F.col("flag") != 2) | F.col("_grp").isNotNull())
-        .withColumn("grp", F.when(F.col("flag") == 2, F.col("_grp")).otherwise(""))
-        .drop("_grp")
-    )
 
-
-def _weighted(gifts, campaigns, host_group, tz, periods, classes, span) -> DataFrame:
+def _weighted(gifts, campaigns, tz, periods, classes, span) -> DataFrame:
     wanted = _mask(periods, classes)
     campaigns = campaigns.withColumn("board_mask", F.col("board_mask").bitwiseAND(F.lit(wanted)))
     matched = match_campaigns(gifts, campaigns.where(F.col("board_mask") != 0), span=span)
-    rows = weigh_gifts(assign_groups(matched, host_group))
+    rows = weigh_gifts(matched)
     on_a_board = _any(F.col("board_mask"), _mask(PERIODS, ("all",))) | (
         F.col("special") & _any(F.col("board_mask"), _mask(PERIODS, ("special",)))
     )
@@ -75,14 +60,18 @@ def _weighted(gifts, campaigns, host_group, tz, periods, classes, span) -> DataF
 
 
 def _by_role(rows: DataFrame, roles) -> DataFrame:
-    """One row per gift and role: the host's, the giver's, and the giver's at that host."""
+    """One row per gift and role: the host's, the giver's, and the giver's at that host.
+
+    ``host`` is the host whose group counts, in grouped campaigns (flag 2), and empty elsewhere.
+    """
     coded = rows.withColumn("role", F.explode(F.array(*[F.lit(ROLES.index(r)) for r in roles])))
     host, donor = F.col("role") == ROLES.index("host"), F.col("role") == ROLES.index("donor")
+    grouped = F.col("flag") == 2
     return coded.where(~donor | F.col("u2q")).select(
         "project",
         "board_mask",
-        # Donor boards have no group form.
-        F.when(donor, "").otherwise(F.col("grp")).alias("grp"),
+        grouped.alias("grouped"),
+        F.when(grouped, F.col("qid")).otherwise("").alias("host"),
         "role",
         F.when(donor, F.col("qid")).otherwise("").alias("owner"),
         F.when(host, F.col("qid")).otherwise(F.col("uid")).alias("member"),
@@ -92,6 +81,19 @@ def _by_role(rows: DataFrame, roles) -> DataFrame:
     )
 
 
+def assign_groups(rows: DataFrame, host_group: DataFrame | None) -> DataFrame:
+    """Add ``grp``: the host's group in grouped campaigns, empty elsewhere and on donor boards, which have no group form.
+
+    What a host without a group got in a grouped campaign is dropped.
+    """
+    if host_group is None:
+        return rows.where(~F.col("grouped")).withColumn("grp", F.lit("")).drop("host", "grouped")
+    groups = host_group.where(F.col("grp") != "").select("project", F.col("qid").alias("host"), F.col("grp").alias("_grp"))
+    joined = rows.join(groups, ["project", "host"], "left").where(~F.col("grouped") | F.col("_grp").isNotNull())
+    named = F.when(F.col("grouped") & (F.col("role") != ROLES.index("donor")), F.col("_grp")).otherwise("")
+    return joined.withColumn("grp", named).drop("_grp", "host", "grouped")
+
+
 def _by_board(rows: DataFrame, periods, classes, scopes) -> DataFrame:
     """One row per board a (role, date) row belongs to.
 
@@ -144,7 +146,7 @@ def _named(rows: DataFrame) -> DataFrame:
         "date",
         _spell(family, [c for _, c in BOARD_KEYS]).alias("gift_class"),
         "member",
-        "score",
+        (F.col("score") / F.lit(float(UNIT))).alias("score"),
         *[c for c in ("rank",) if c in rows.columns],
     )
     keyed = spelled.withColumn("period_key", period_key(F.col("period"), F.col("date")))
@@ -166,8 +168,8 @@ def board_rows(
 
     This is the form for a native streaming aggregate; a batch should call :func:`board_scores`.
     """
-    rows = _weighted(gifts, campaigns, host_group, tz, periods, classes, span)
-    return _named(_by_board(_by_role(rows, roles), periods, classes, scopes))
+    rows = _by_role(_weighted(gifts, campaigns, tz, periods, classes, span), roles)
+    return _named(_by_board(assign_groups(rows, host_group), periods, classes, scopes))
 
 
 def _finest(mask: Column, date: Column) -> Column:
@@ -194,23 +196,29 @@ def board_scores(
     scopes=SCOPES,
     span: Span | None = None,
     top: int | None = None,
+    members: DataFrame | None = None,
+    owners: DataFrame | None = None,
 ) -> DataFrame:
     """Leaderboard scores: sum per board and member; with ``top`` only each board's top list, ranked.
 
+    ``members`` (project, member) and ``owners`` (project, owner) restrict the boards to such rows, below the
+    first sum.
+
     Sums compose, so gifts are first added up per (role, owner, member, date) at the
     finest date the campaign's boards need, and only those sums fan out to week, month
     and campaign boards. A gift is thus expanded 3 times before the first (map-side
     combined) shuffle, not 40 times. Names are spelled out last, so the shuffles and the
     ranking handle small codes.
     """
-    rows = _weighted(gifts, campaigns, host_group, tz, periods, classes, span)
-    rows = rows.withColumn("date", _finest(F.col("board_mask"), F.col("date")))
-    daily = (
-        _by_role(rows, roles)
-        .groupBy("project", "board_mask", "grp", "role", "owner", "member", "special", "date")
-        .agg(F.sum("score").alias("score"))
+    rows = _weighted(gifts, campaigns, tz, periods, classes, span)
+    rows = _by_role(rows.withColumn("date", _finest(F.col("board_mask"), F.col("date"))), roles)
+    for wanted, keys in ((members, ["project", "member"]), (owners, ["project", "owner"])):
+        rows = rows if wanted is None else rows.join(wanted.select(*keys).distinct(), keys, "left_semi")
+    daily = rows.groupBy("project", "board_mask", "grouped", "host", "role", "owner", "member", "special", "date").agg(
+        F.sum("score").alias("score")
     )
-    placed = _by_board(daily, periods, classes, scopes)
+    # Groups meet the sums of grouped campaigns' hosts, not their gifts.
+    placed = _by_board(assign_groups(daily, host_group), periods, classes, scopes)
     # The most telling column first: sorts compare its 8-byte prefix before anything else.
     board = ["date", "board", "role", "project", "grp", "owner"]
     scores = placed.groupBy(*board, "member").agg(F.sum("score").alias("score"))
@@ -218,11 +226,7 @@ def board_scores(
 
 
 def restrict_to_pool(scores: DataFrame, host_pool: DataFrame, campaigns: DataFrame | None = None) -> DataFrame:
-    """Board rows whose member signed up, as scope ``signUp``.
-
-    Applies to the boards of sign-up campaigns (flag 1). User boards are restricted the
-    same way: by whether the *user* is in the pool. Donor boards have no sign-up copy.
-    """
+    """Rows whose member signed up, as scope ``signUp``, of the boards of sign-up campaigns (flag 1)."""
     rows = scores.where(F.col("role") != "donor") if "role" in scores.columns else scores
     if campaigns is not None:
         rows = rows.join(campaigns.where(F.col("flag") == 1).select("project"), "project", "left_semi")
@@ -230,14 +234,31 @@ def restrict_to_pool(scores: DataFrame, host_pool: DataFrame, campaigns: DataFra
     return rows.join(pool, ["project", "member"], "left_semi").withColumn("scope", F.lit("signUp"))
 
 
-def top_donor(scores: DataFrame, host_pool: DataFrame) -> DataFrame:
+def signed_up_scores(gifts: DataFrame, campaigns: DataFrame, host_pool: DataFrame, roles=("host", "user"), **which) -> DataFrame:
+    """The sign-up copies of boards: scores of sign-up campaigns (flag 1) whose member is in the pool, as scope ``signUp``.
+
+    User boards are restricted the same way: by whether the *user* is in the pool. Donor boards have no sign-up copy.
+    """
+    pool = host_pool.select("project", F.col("qid").alias("member"))
+    asked = campaigns.where(F.col("flag") == 1)
+    scores = board_scores(gifts, asked, roles=roles, scopes=("all",), members=pool, **which)
+    return scores.withColumn("scope", F.lit("signUp"))
+
+
+def top_donor(gifts: DataFrame, campaigns: DataFrame, host_pool: DataFrame, host_group: DataFrame | None = None, **which) -> DataFrame:
     """Each signed-up host's best donor per donor board: (project, period, period_key, gift_class, qid, uid, score).
 
-    Asks for pool membership whatever the campaign's flag. Equal scores go to the higher
-    uid in text order. A ``max`` aggregate, so busy hosts are combined map-side.
+    Asks for pool membership whatever the campaign's flag, and only of campaigns with donor boards.
     """
     pool = host_pool.select("project", F.col("qid").alias("owner"))
-    donors = scores.where(F.col("role") == "donor").join(pool, ["project", "owner"], "left_semi")
+    asked = campaigns.where("u2q")
+    return best_donor(board_scores(gifts, asked, host_group, roles=("donor",), owners=pool, **which))
+
+
+def best_donor(scores: DataFrame) -> DataFrame:
+    """The best donor of every donor board. Equal scores go to the higher uid in text order. A ``max`` aggregate, so busy
+    hosts are combined map-side."""
+    donors = scores.where(F.col("role") == "donor")
     best = donors.groupBy("project", "period", "period_key", "gift_class", F.col("owner").alias("qid")).agg(
         F.max(F.struct("score", "member")).alias("b")
     )

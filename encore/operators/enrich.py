@@ -42,17 +42,15 @@ def profile_json(room_id: Column) -> Column:
     )
 
 
-def merge_profile(current: DataFrame, changes: DataFrame, key: str = "rid", order: str | None = None) -> DataFrame:
+def merge_profile(current: DataFrame, changes: DataFrame, order: str, key: str = "rid") -> DataFrame:
     """Lay changes over the current rows of known ids; an absent field keeps its old value.
 
     Several changes of one id are folded field by field, the newest non-null by ``order``.
     Changes of unknown ids are ignored.
     """
-    fields = [c for c in changes.columns if c in current.columns and c != key]
+    fields = [c for c in changes.columns if c in current.columns and c not in (key, order)]
 
     def newest(name):
-        if order is None:
-            return F.max(name)
         return F.max_by(F.col(name), F.when(F.col(name).isNotNull(), F.struct(order, name)))
 
     folded = changes.groupBy(key).agg(*[newest(f).alias(f"_{f}") for f in fields])
@@ -88,9 +86,9 @@ def common_ids(left: DataFrame, right: DataFrame) -> DataFrame:
 
 
 def store_profiles(current: DataFrame, hosts: DataFrame, users: DataFrame, key: str = "rid") -> DataFrame:
-    """The profile table after a lookup: a host's row (which knows the room) replaces what is
-    there, a user's row is only added where the id is new."""
-    return put_if_absent(put(current, hosts, key), users, key)
+    """The profile table after a lookup: only ids that it lacks are added, whatever their role. Of an id that was host and
+    user in the batch the host's row counts, which knows the room."""
+    return put_if_absent(put_if_absent(current, hosts, key), users, key)
 
 
 def new_members(existing: DataFrame, rows: DataFrame, keys: list[str]) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql.types import StructType
 
 from encore.functions.calendar import epoch_seconds, ntz_literal
 from encore.operators.campaigns import Span, campaign_span, parse_campaigns
-from encore.sources.files import spread
+from encore.sources.files import dealt
 
 
 def utc(*moment: int) -> int:
@@ -34,7 +34,7 @@ CONFIGS = [
     _config("dance", utc(1997, 1, 1), utc(1998, 12, 31), flag=0, cates="PROMO-SMALL", allRank=ON,
             monthAllRank=ON, hourAllRank=ON),
     _config("bonus", utc(1998, 6, 1), utc(2000, 6, 30), flag=0, giftIds="Brand#1-Brand#2-Brand#13",
-            specificExtraAdd=ON, specificExtraRate=0.5, allRank=ON, specificRank=ON, daySpecificRank=ON,
+            specificExtraAdd=ON, specificExtraRate=0.1, allRank=ON, specificRank=ON, daySpecificRank=ON,
             weekSpecificRank=ON, monthSpecificRank=ON, u2q=ON),
     _config("signup", utc(1995, 6, 1), utc(2001, 6, 30), flag=1, allRank=ON, weekAllRank=ON, monthAllRank=ON,
             u2q=ON, userLevel=ON),
@@ -47,6 +47,11 @@ CONFIGS = [
             popularRank=ON, weekPopularRank=ON, monthPopularRank="false"),
     _config("stars_group", utc(2024, 1, 1), utc(2024, 1, 31), flag=2, popularRank=ON),
 ]
+WATCH_CONFIGS = [
+    _config("night", utc(2024, 1, 3, 18), utc(2024, 1, 20, 6, 30), flag=0, cates="cat0-cat1-cat2"),
+    _config("day", utc(2024, 1, 10), utc(2024, 1, 25, 12), flag=0, cates="cat3-cat2"),
+    _config("any", utc(2024, 1, 1), utc(2024, 1, 31), flag=0),
+]
 SIGN_IN_CATES = ["cat0", "cat1", "cat2"]
 SIGN_IN_THRESHOLD = 3
 
@@ -63,12 +68,12 @@ def read(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 
 def read_spread(spark: SparkSession, sf: str, name: str, *columns: str, span: Span | None = None, time: str = "") -> DataFrame:
-    """Columns of a table ahead of heavy per-row work, cut to a span of its time column."""
-    return spread(within(read(spark, sf, name).select(*columns), time, span))
+    """Columns of a table ahead of heavy per-row work, cut to a span of its time column, dealt out by the first."""
+    return dealt(within(read(spark, sf, name).select(*columns), time, span), columns[0])
 
 
-def campaigns(spark: SparkSession, kind: str = "gift") -> DataFrame:
-    rows = ", ".join(f"('{name}', '{config}')" for name, config in CONFIGS)
+def campaigns(spark: SparkSession, kind: str = "gift", configs: list[tuple[str, str]] = CONFIGS) -> DataFrame:
+    rows = ", ".join(f"('{name}', '{config}')" for name, config in configs)
     return parse_campaigns(spark.sql(f"SELECT * FROM VALUES {rows} AS t(name, config)"), kind)
 
 

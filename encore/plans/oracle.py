@@ -14,7 +14,7 @@ CAMPAIGNS = [
      ["all-all", "day-all", "week-all", "month-all"]),
     ("dance", utc(1997, 1, 1), utc(1998, 12, 31), ["PROMO", "SMALL"], [], 0, None, False, False,
      ["all-all", "month-all"]),
-    ("bonus", utc(1998, 6, 1), utc(2000, 6, 30), [], ["Brand#1", "Brand#2", "Brand#13"], 0, 0.5, True, False,
+    ("bonus", utc(1998, 6, 1), utc(2000, 6, 30), [], ["Brand#1", "Brand#2", "Brand#13"], 0, 0.1, True, False,
      ["all-all", "all-special", "day-special", "week-special", "month-special"]),
     ("signup", utc(1995, 6, 1), utc(2001, 6, 30), [], [], 1, None, True, True,
      ["all-all", "week-all", "month-all"]),
@@ -218,7 +218,8 @@ ORACLE: dict[str, str] = {
         f"""SELECT * FROM scores WHERE role <> 'donor'
         QUALIFY row_number() OVER (PARTITION BY {BOARD} ORDER BY score, member) = 1"""
     ),
-    "board_listing": _gift(f"SELECT project, member, score FROM scores WHERE {CAMPAIGN_BOARDS} AND role = 'host'"),
+    "board_listing": _gift(f"""SELECT project, row_number() OVER (PARTITION BY project ORDER BY score DESC, member DESC) AS position, member, score
+        FROM scores WHERE {CAMPAIGN_BOARDS} AND role = 'host'"""),
     "board_labels": _gift(_labels()),
     "room_latest": """
         SELECT user_id::VARCHAR AS host_id, arg_max(event_type, (epoch_us(ts) // 1000000, event_type)) AS room_id
@@ -249,16 +250,16 @@ ORACLE: dict[str, str] = {
     "id_union_distinct": f"WITH {ORDER_IDS} SELECT rid FROM ids UNION SELECT rid FROM members",
     "id_intersection": f"WITH {ORDER_IDS} SELECT rid FROM ids INTERSECT SELECT rid FROM members",
     "profile_change_parse": """
-        SELECT CASE WHEN c_custkey % 6 = 2 THEN 'room' ELSE 'profile' END AS kind, c_custkey::VARCHAR AS rid,
-          CASE WHEN c_custkey % 6 = 0 THEN 'n' || c_custkey END AS nickname,
-          CASE WHEN c_custkey % 6 = 1 THEN 'a' || c_custkey END AS avatar,
-          CASE WHEN c_custkey % 6 = 2 THEN (c_custkey * 10)::VARCHAR END AS room_id
-        FROM customer WHERE c_custkey % 6 < 3""",
+        SELECT CASE WHEN shift = 2 THEN 'room' ELSE 'profile' END AS kind, c_custkey::VARCHAR AS rid,
+          nick || c_custkey AS nickname, pic || c_custkey AS avatar, (c_custkey * 10 + room)::VARCHAR AS room_id, seen AS "at"
+        FROM customer JOIN (VALUES (0, 'm', NULL, NULL, 5), (0, 'n', NULL, NULL, 3), (0, NULL, 'x', NULL, 4),
+            (1, NULL, 'a', NULL, 2), (1, NULL, 'b', NULL, 1), (2, NULL, NULL, 0, 1), (2, NULL, NULL, 1, 7))
+          AS t(shift, nick, pic, room, seen) ON c_custkey % 6 = shift""",
     "profile_merge": """
         SELECT c_custkey::VARCHAR AS rid,
-          CASE WHEN c_custkey % 6 = 0 THEN 'n' || c_custkey ELSE c_name END AS nick_name,
-          CASE WHEN c_custkey % 6 = 1 THEN 'a' || c_custkey ELSE c_mktsegment END AS avatar,
-          CASE WHEN c_custkey % 6 = 2 THEN (c_custkey * 10)::VARCHAR ELSE 'none' END AS room_id
+          CASE WHEN c_custkey % 6 = 0 THEN 'm' || c_custkey ELSE c_name END AS nick_name,
+          CASE c_custkey % 6 WHEN 0 THEN 'x' || c_custkey WHEN 1 THEN 'a' || c_custkey ELSE c_mktsegment END AS avatar,
+          CASE WHEN c_custkey % 6 = 2 THEN (c_custkey * 10 + 1)::VARCHAR ELSE 'none' END AS room_id
         FROM customer WHERE c_custkey % 5 <> 0""",
     "put_if_absent": f"""WITH {TWO_TABLES}
         SELECT * FROM kept UNION ALL
@@ -267,8 +268,8 @@ ORACLE: dict[str, str] = {
         SELECT rid, max(label) AS label FROM put GROUP BY rid UNION ALL
         SELECT * FROM kept WHERE rid NOT IN (SELECT rid FROM put)""",
     "store_profiles": """
-        SELECT c_custkey::VARCHAR AS rid, CASE WHEN c_custkey % 3 = 0 AND c_custkey % 10 <> 0 THEN 'old' ELSE c_name END
-          AS nick_name, CASE WHEN c_custkey % 10 = 0 THEN 'room' || c_custkey ELSE '' END AS room_id
+        SELECT c_custkey::VARCHAR AS rid, CASE WHEN c_custkey % 3 = 0 THEN 'old' ELSE c_name END AS nick_name,
+          CASE WHEN c_custkey % 3 <> 0 AND c_custkey % 10 = 0 THEN 'room' || c_custkey ELSE '' END AS room_id
         FROM customer WHERE c_custkey % 3 = 0 OR c_custkey % 10 = 0 OR c_custkey IN (SELECT o_custkey FROM orders)""",
     "set_add_new": f"WITH {TWO_TABLES} SELECT DISTINCT rid FROM put WHERE rid NOT IN (SELECT rid FROM kept)",
     "pop_day_peak": f"""WITH {POP} SELECT project, host_id, strftime(day, '%Y%m%d') AS day, peak FROM peak""",
@@ -295,24 +296,46 @@ ORACLE: dict[str, str] = {
         ASOF LEFT JOIN single s ON s.room_id = b.room_id AND b.time_u >= s.time_u""",
     "watch_minutes": f"WITH {WATCH} SELECT * FROM watched",
     "watch_minutes_per_day": f"WITH {WATCH} SELECT * FROM per_day",
+    "watch_minutes_approx": f"WITH {WATCH} SELECT uid, day, minutes, TRUE AS within FROM per_day",
+    "signin_campaigns": f"""WITH {WATCH},
+        c(project, start_u, end_u, cates) AS (VALUES
+          ('night', {utc(2024, 1, 3, 18)}, {utc(2024, 1, 20, 6, 30)}, ['cat0', 'cat1', 'cat2']),
+          ('day', {utc(2024, 1, 10)}, {utc(2024, 1, 25, 12)}, ['cat3', 'cat2'])),
+        m AS (SELECT DISTINCT project, uid, unnest(CASE WHEN client THEN [time_u // 60 * 60 - 60, time_u // 60 * 60]
+                ELSE [time_u // 60 * 60] END) AS minute_u
+              FROM placed p JOIN c ON p.time_u BETWEEN c.start_u AND c.end_u AND list_contains(c.cates, p.cate)),
+        d AS (SELECT project, uid, strftime(make_timestamp(minute_u * 1000000), '%Y%m%d') AS day, count(*) AS minutes
+              FROM m GROUP BY ALL HAVING count(*) >= 2)
+        SELECT project, uid, day, minutes, count(*) OVER (PARTITION BY project, uid ORDER BY day) AS days FROM d""",
     "signin_days": f"WITH {WATCH} SELECT * FROM signed",
     "signin_events": f"""WITH {WATCH}, n AS (
           SELECT uid, day, count(*) OVER (PARTITION BY uid ORDER BY day) AS days FROM signed)
         SELECT *, '{{"uid":"' || uid || '","days":' || days || '}}' AS value FROM n""",
     "signin_fifth_day": f"""WITH {WATCH}
         SELECT uid, day FROM signed QUALIFY row_number() OVER (PARTITION BY uid ORDER BY day) = 5""",
+    "raw_gift_top": _gift(
+        """SELECT project, scope, role, period, period_key, member, score, rank FROM (
+          SELECT *, row_number() OVER (PARTITION BY project, scope, role, period, period_key ORDER BY score DESC, member DESC)::INT AS rank
+          FROM (SELECT project, scope, role, period, period_key, member, score FROM scores
+                WHERE gift_class = 'all' AND scope = 'all' AND role <> 'donor'
+                UNION ALL SELECT project, 'signUp', role, period, period_key, member, score FROM scores s
+                WHERE project = 'signup' AND gift_class = 'all' AND scope = 'all' AND role <> 'donor'
+                  AND EXISTS (SELECT 1 FROM host_pool p WHERE p.project = s.project AND p.qid = s.member)))
+        WHERE rank <= 101"""
+    ),
     "envelope_parse": """
         SELECT l_orderkey::VARCHAR AS uid, l_suppkey::VARCHAR AS qid, l_suppkey::VARCHAR AS room_id,
           'g' || (l_partkey % 25) AS gift_id, l_quantity::INT AS total, 'c' || (l_partkey % 6) AS cate,
           epoch_us(l_shipdate) // 1000000 AS time_u
-        FROM lineitem WHERE l_orderkey % 50 > 4""",
+        FROM lineitem WHERE l_orderkey % 50 > 7""",
     "envelope_quarantine": """
-        SELECT CASE l_orderkey % 50 WHEN 0 THEN 'uid' WHEN 2 THEN 'cate' ELSE 'total' END AS error, count(*) AS records
-        FROM lineitem WHERE l_orderkey % 50 IN (0, 1, 2, 4) GROUP BY ALL""",
+        SELECT CASE l_orderkey % 50 WHEN 0 THEN 'uid' WHEN 2 THEN 'cate' WHEN 5 THEN 'time_u' WHEN 6 THEN 'time_u' ELSE 'total' END
+          AS error, count(*) AS records
+        FROM lineitem WHERE l_orderkey % 50 IN (0, 1, 2, 4, 5, 6, 7) GROUP BY ALL""",
     "popularity_parse": """
         SELECT user_id::VARCHAR AS host_id, (user_id * 7)::VARCHAR AS room_id, event_type AS cate,
           floor(value)::INT AS num, epoch_us(ts) // 1000000 AS time_u, strftime(ts, '%Y-%m-%d %H:%M:%S') AS time
-        FROM events WHERE event_id % 20 <> 0""",
+        FROM events WHERE event_id % 20 > 2""",
     "log_parse": """
         SELECT user_id::VARCHAR AS uid, props->>'k' AS stream, CASE event_type WHEN 'click' THEN 'c' ELSE 'p' END AS flag,
           epoch_us(ts) // 1000000 - 28800 AS time_u
@@ -326,7 +349,7 @@ ORACLE: dict[str, str] = {
     "click_parse": """
         SELECT user_id::VARCHAR AS uid, (epoch_us(ts) // 1000000)::VARCHAR AS event_time, event_type AS os_type,
           trunc(value)::INT AS click_count
-        FROM events WHERE event_id % 8 <> 0""",
+        FROM events WHERE event_id % 8 > 2""",
     "people_parse": "SELECT c_name AS name, c_custkey % 90 AS age FROM customer WHERE c_custkey % 13 <> 0",
     "config_parse": """
         SELECT 'name' || s_suppkey AS project, s_suppkey + 1500000000 AS start_u, s_suppkey + 1600000000 AS end_u,
@@ -360,7 +383,7 @@ ORACLE: dict[str, str] = {
     "group_avg": f"WITH {PEOPLE} SELECT age, avg(age) AS avg_age, count(*) AS people FROM people GROUP BY ALL",
     "global_sum_count": "SELECT sum(l_quantity::BIGINT)::BIGINT AS total, count(*) AS rows FROM lineitem",
     "topn_per_key": """
-        SELECT l_suppkey AS key, l_extendedprice AS "TopN_values" FROM lineitem
+        SELECT l_suppkey AS key, l_extendedprice AS price FROM lineitem
         QUALIFY row_number() OVER (PARTITION BY l_suppkey ORDER BY l_extendedprice DESC) <= 3""",
     "sliding_minmaxsum": WINDOWS,
     "offset_resume": """
@@ -397,4 +420,14 @@ ORACLE: dict[str, str] = {
     "stream_signins": f"""WITH {WATCH}
         SELECT uid, day, count(*) OVER (PARTITION BY uid ORDER BY day) AS days FROM signed""",
     "stream_lookup": SIMILAR_LINES,
+    "stream_popularity": f"""WITH {POP.replace("FROM events e", "FROM (SELECT * FROM events WHERE event_id % 20 > 2) e")}
+        SELECT * FROM scores UNION ALL
+        SELECT * REPLACE ('signUp' AS scope) FROM scores
+        WHERE project = 'stars_signup' AND member::BIGINT % 3 = 0
+          AND member IN (SELECT c_custkey::VARCHAR FROM customer)""",
+    "stream_switches": """
+        SELECT user_id::VARCHAR AS room_id, event_type AS cate, max(epoch_us(ts) // 1000000) AS time_u
+        FROM events WHERE event_id % 11 <> 0 AND event_id % 7 <> 0 GROUP BY ALL""",
 }
+ORACLE["stream_raw_top"] = ORACLE["raw_gift_top"]
+ORACLE["stream_profile_merge"] = ORACLE["profile_merge"]

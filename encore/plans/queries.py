@@ -43,6 +43,11 @@ def _scores(spark, sf, **which) -> DataFrame:
     return boards.board_scores(fx.gifts(spark, sf, span), running, fx.host_group(spark, sf), span=span, **which)
 
 
+def _sum(score: str) -> Column:
+    """Whole numbers of parts added up, so that the order does not matter."""
+    return (F.sum(F.round(F.col(score) * boards.UNIT).cast("bigint")) / F.lit(float(boards.UNIT))).alias(score)
+
+
 @query
 def board_all(spark, sf):
     return _scores(spark, sf, periods=("all",), classes=("all",), roles=RANKED, scopes=("all",))
@@ -83,7 +88,7 @@ def board_every(spark, sf):
     """All families in one pass, summed up per board."""
     scores = _scores(spark, sf)
     return scores.groupBy("project", "scope", "grp", "role", "period", "period_key", "gift_class").agg(
-        F.count("*").alias("members"), F.sum("score").alias("score")
+        F.count("*").alias("members"), _sum("score")
     )
 
 
@@ -93,19 +98,26 @@ def board_fanout(spark, sf):
     running, span = fx.running(spark)
     rows = boards.board_rows(fx.gifts(spark, sf, span), running, fx.host_group(spark, sf), span=span)
     return rows.groupBy("project", "scope", "role", "period", "gift_class").agg(
-        F.count("*").alias("rows"), F.sum("score").alias("score")
+        F.count("*").alias("rows"), _sum("score")
     )
 
 
 @query
 def board_signup(spark, sf):
-    scores = _scores(spark, sf, classes=("all",), roles=RANKED, scopes=("all",))
-    return boards.restrict_to_pool(scores, fx.host_pool(spark, sf), fx.running(spark)[0])
+    running, span = fx.running(spark)
+    return boards.signed_up_scores(fx.gifts(spark, sf, span), running, fx.host_pool(spark, sf), classes=("all",), span=span)
+
+
+def _best_donors(spark, sf) -> DataFrame:
+    running, span = fx.running(spark)
+    return boards.top_donor(
+        fx.gifts(spark, sf, span), running, fx.host_pool(spark, sf), fx.host_group(spark, sf), span=span
+    )
 
 
 @query
 def top_donor_map(spark, sf):
-    return boards.top_donor(_scores(spark, sf, roles=("donor",)), fx.host_pool(spark, sf))
+    return _best_donors(spark, sf)
 
 
 @query
@@ -120,8 +132,9 @@ def board_lowest(spark, sf):
 
 @query
 def board_listing(spark, sf):
+    """Every campaign's host board as a whole, with positions."""
     scores = _scores(spark, sf, periods=("all",), classes=("all",), roles=("host",), scopes=("all",))
-    return ranking.board_listing(scores).select("project", "member", "score")
+    return ranking.board_listing(scores, ["project"]).select("project", "position", "member", "score")
 
 
 @query
@@ -129,7 +142,7 @@ def board_labels(spark, sf):
     """Boards under their published keys, with the key taken apart again."""
     scores = _scores(spark, sf)
     named = scores.select(labels.board_key("live", labels.gift_board_label()).alias("key"), "member", "score")
-    rows = named.groupBy("key").agg(F.count("*").alias("members"), F.sum("score").alias("score"))
+    rows = named.groupBy("key").agg(F.count("*").alias("members"), _sum("score"))
     parts = labels.split_board_key(F.col("key"))
     return rows.select("key", parts["project"].alias("project"), parts["label"].alias("label"), "members", "score")
 
@@ -151,8 +164,39 @@ def _touched(spark, sf, days=30) -> DataFrame:
 
 @query
 def touched_in_top(spark, sf):
-    scores = _scores(spark, sf, periods=("all",), classes=("all",), roles=RANKED, scopes=("all",))
-    return ranking.touched_in_top(_touched(spark, sf), scores, boards.BOARD)
+    """Only the touched campaign is scored, and ranked before names are spelled out."""
+    campaign = fx.running(spark)[0].where(F.col("project") == "signup")
+    top = boards.board_scores(
+        fx.gifts(spark, sf, Span(fx.utc(1995, 6, 1), fx.utc(2001, 6, 30), 0)), campaign, periods=("all",),
+        classes=("all",), roles=RANKED, scopes=("all",), span=Span(fx.utc(1995, 6, 1), fx.utc(2001, 6, 30), 0),
+        top=ranking.TOP_LIST,
+    )
+    return ranking.touched_of(top, _touched(spark, sf), boards.BOARD)
+
+
+def _gift_records(rows: DataFrame) -> DataFrame:
+    """Gifts as records: envelopes of the columns that boards need."""
+    data = F.to_json(F.struct(
+        "uid", F.col("qid").alias("anchor"), F.col("room_id").alias("roomid"), F.col("gift_id").alias("giftid"),
+        F.col("total").cast("string").alias("total"), "cate", F.col("time_u").cast("string").alias("time")))
+    return _as_lines(rows, F.to_json(F.struct(F.lit("gift_donate").alias("name"), data.alias("data"))))
+
+
+def _with_copies(gifts: DataFrame, running: DataFrame, spark, sf, span: Span) -> DataFrame:
+    how = {"classes": ("all",), "roles": RANKED, "span": span}
+    groups = fx.host_group(spark, sf)
+    scores = boards.board_scores(gifts, running, groups, scopes=("all",), **how)
+    return scores.unionByName(boards.signed_up_scores(gifts, running, fx.host_pool(spark, sf), **how))
+
+
+@query
+def raw_gift_top(spark, sf):
+    """From records to published lists: parse, keep totals above zero, boards and their sign-up copies, top lists."""
+    running, span = fx.running(spark)
+    gifts = parse.positive_gifts(parse.good(parse.parse_gift(_gift_records(fx.gifts(spark, sf, span)))))
+    board = ["project", "scope", "role", "period", "period_key"]
+    top = ranking.top_k(_with_copies(gifts, running, spark, sf, span), board)
+    return top.select(*board, "member", "score", "rank")
 
 
 # --- profiles --------------------------------------------------------------------------
@@ -180,7 +224,7 @@ def board_with_level(spark, sf):
 @query
 def top_donor_with_level(spark, sf):
     """Level of every best donor, whatever the campaign asks for."""
-    best = boards.top_donor(_scores(spark, sf, roles=("donor",)), fx.host_pool(spark, sf))
+    best = _best_donors(spark, sf)
     found = enrich.with_profile(best, fx.user_level(spark, sf), member="uid")
     return found.withColumn("level", F.coalesce("level", F.lit(-1)))
 
@@ -217,31 +261,51 @@ def id_intersection(spark, sf):
 
 
 def _changes(spark, sf) -> DataFrame:
-    """Change messages of some customers: two renames of one id, avatars only, room changes."""
-    c = fx.read(spark, sf, "customer")
+    """Change messages (value, at) of some customers: renames, pictures and rooms, repeated, partial and out of order."""
+    return _change_records(fx.read(spark, sf, "customer"))
+
+
+def _change_records(c: DataFrame) -> DataFrame:
     key = F.col("c_custkey")
-    shift = key % 6
-    data = F.when(
-        shift == 0, F.to_json(F.struct(key.alias("rid"), F.concat(F.lit("n"), key).alias("nickname")))
-    ).when(
-        shift == 1, F.to_json(F.struct(key.alias("rid"), F.concat(F.lit("a"), key).alias("avatar")))
-    ).when(
-        shift == 2, F.to_json(F.struct(key.cast("string").alias("hostid"), (key * 10).cast("string").alias("new_id")))
-    ).when(shift == 3, F.lit("{broken"))
-    return c.where(shift < 4).select(F.to_json(F.struct(F.lit("change").alias("name"), data.alias("data"))).alias("value"))
+
+    def message(at: int, *fields: Column) -> Column:
+        return F.struct(F.lit(at).alias("at"), F.to_json(F.struct(*fields)).alias("data"))
+
+    def own(letter: str, name: str) -> Column:
+        return F.concat(F.lit(letter), key).alias(name)
+
+    def room(add: int) -> list[Column]:
+        return [key.cast("string").alias("hostid"), (key * 10 + add).cast("string").alias("new_id")]
+
+    rid, shift = key.alias("rid"), key % 6
+    sent = (
+        F.when(shift == 0, F.array(
+            message(5, rid, own("m", "nickname")), message(3, rid, own("n", "nickname")), message(4, rid, own("x", "avatar"))))
+        .when(shift == 1, F.array(message(2, rid, own("a", "avatar")), message(1, rid, own("b", "avatar"))))
+        .when(shift == 2, F.array(message(1, *room(0)), message(7, *room(1))))
+        .when(shift == 3, F.array(F.struct(F.lit(1).alias("at"), F.lit("{broken").alias("data"))))
+    )
+    rows = c.select(F.explode(sent).alias("m")).select("m.*")
+    return rows.select("at", F.to_json(F.struct(F.lit("change").alias("name"), "data")).alias("value"))
+
+
+def _fields(changes: DataFrame) -> DataFrame:
+    good = parse.good(parse.parse_profile_change(changes, keep=("at",)))
+    return good.select("rid", F.col("nickname").alias("nick_name"), "avatar", "room_id", "at")
+
+
+def _known(spark, sf) -> DataFrame:
+    return fx.profiles(spark, sf).withColumn("room_id", F.lit("none"))
 
 
 @query
 def profile_change_parse(spark, sf):
-    return parse.good(parse.parse_profile_change(_changes(spark, sf)))
+    return parse.good(parse.parse_profile_change(_changes(spark, sf), keep=("at",)))
 
 
 @query
 def profile_merge(spark, sf):
-    changes = parse.good(parse.parse_profile_change(_changes(spark, sf)))
-    fields = changes.select("rid", F.col("nickname").alias("nick_name"), "avatar", "room_id")
-    current = fx.profiles(spark, sf).withColumn("room_id", F.lit("none"))
-    return enrich.merge_profile(current, fields)
+    return enrich.merge_profile(_known(spark, sf), _fields(_changes(spark, sf)), "at")
 
 
 def _two_tables(spark, sf):
@@ -268,7 +332,7 @@ def put_replace(spark, sf):
 
 @query
 def store_profiles(spark, sf):
-    """Profiles after a lookup of givers (added if new) and of every tenth customer as host (replaced)."""
+    """Profiles after a lookup of givers and of every tenth customer as host; cached ones stay, hosts too."""
     everyone = fx.read(spark, sf, "customer").select(
         F.col("c_custkey").cast("string").alias("rid"), F.col("c_name").alias("nick_name"), F.lit("").alias("room_id")
     )
@@ -378,7 +442,24 @@ def watch_minutes_per_day(spark, sf):
 
 @query
 def watch_minutes_approx(spark, sf):
-    return watch.minutes_per_day_approx(_beats(spark, sf)).withColumn("day", day_key(F.col("day")))
+    """Exact minutes, and whether the sketch is within five of a hundred (or one) of them."""
+    approx = watch.minutes_per_day_approx(_beats(spark, sf)).withColumnRenamed("minutes", "_approx")
+    both = watch.minutes_per_day(_beats(spark, sf)).join(approx, ["uid", "day"], "full")
+    error = F.abs(F.col("minutes") - F.col("_approx"))
+    within = F.coalesce(error <= F.greatest(F.lit(1.0), 0.05 * F.col("minutes")), F.lit(False))
+    return both.select("uid", day_key(F.col("day")).alias("day"), "minutes", within.alias("within"))
+
+
+@query
+def signin_campaigns(spark, sf):
+    """Sign-ins by campaign: its own categories and time range, two minutes a day."""
+    running = fx.campaigns(spark, configs=fx.WATCH_CONFIGS)
+    keys = ("project", "uid")
+    beats = watch.beats_of_campaigns(fx.heartbeats(spark, sf), fx.stream_rooms(spark), fx.switches(spark, sf), running)
+    minutes = watch.minutes_per_day(beats, keys=keys)
+    days = watch.signin_days(minutes, 2, keys)
+    told = watch.signin_events(days, keys).drop("value").join(minutes, [*keys, "day"])
+    return told.withColumn("day", day_key(F.col("day")))
 
 
 def _signed(spark, sf) -> DataFrame:
@@ -410,7 +491,7 @@ def _as_lines(df: DataFrame, value: Column) -> DataFrame:
 
 
 def _gift_lines(spark, sf) -> DataFrame:
-    """Gift envelopes made of order lines; some broken, without category or with a bad total."""
+    """Gift envelopes made of order lines; some broken, without category or with numbers that are none or out of range."""
     lines = fx.read_spread(spark, sf, "lineitem", *fx.LINE_COLUMNS)
     kind = F.col("l_orderkey") % 50
     rows = lines.select(
@@ -420,9 +501,10 @@ def _gift_lines(spark, sf) -> DataFrame:
             F.col("l_suppkey").cast("string").alias("anchor"),
             F.col("l_suppkey").cast("string").alias("roomid"),
             F.concat(F.lit("g"), F.col("l_partkey") % 25).alias("giftid"),
-            F.when(kind == 1, "abc").when(kind == 3, "-1").when(kind == 4, "1.5")
+            F.when(kind == 1, "abc").when(kind == 3, "-1").when(kind == 4, "1.5").when(kind == 7, "3000000000")
             .otherwise(F.col("l_quantity").cast("int").cast("string")).alias("total"),
-            (epoch_seconds(lines, "l_shipdate") + 0.9594).alias("time"),
+            F.when(kind == 5, "NaN").when(kind == 6, "1e30")
+            .otherwise((epoch_seconds(lines, "l_shipdate") + 0.9594).cast("string")).alias("time"),
             F.when(kind != 2, F.concat(F.lit("c"), F.col("l_partkey") % 6)).alias("cate"),
         ).alias("d"),
     )
@@ -445,21 +527,24 @@ def _events(spark, sf) -> DataFrame:
     return fx.read_spread(spark, sf, "events", "event_id", "ts", "user_id", "event_type", "value", "props")
 
 
-@query
-def popularity_parse(spark, sf):
-    events = _events(spark, sf)
+def _popularity_records(events: DataFrame) -> DataFrame:
+    """Readings as records; some without a usable time or with numbers out of range."""
     data = F.to_json(
         F.struct(
             F.col("event_type").alias("classification"),
             F.col("user_id").cast("string").alias("hostid"),
-            F.floor("value").cast("int").alias("person_num"),
+            F.when(F.col("event_id") % 20 == 1, "9999999999").otherwise(F.floor("value").cast("int").cast("string")).alias("person_num"),
             (F.col("user_id") * 7).cast("string").alias("roomid"),
-            epoch_seconds(events, "ts").alias("timestamp"),
+            F.when(F.col("event_id") % 20 == 2, "Infinity").otherwise(epoch_seconds(events, "ts").cast("string")).alias("timestamp"),
         )
     )
     stamp = F.when(F.col("event_id") % 20 != 0, F.date_format("ts", "yyyy-MM-dd HH:mm:ss")).otherwise("soon")
-    lines = _as_lines(events, F.to_json(F.struct(data.alias("data"), stamp.alias("time"))))
-    return parse.good(parse.parse_popularity(lines))
+    return _as_lines(events, F.to_json(F.struct(data.alias("data"), stamp.alias("time"))))
+
+
+@query
+def popularity_parse(spark, sf):
+    return parse.good(parse.parse_popularity(_popularity_records(_events(spark, sf))))
 
 
 @query
@@ -477,17 +562,20 @@ def log_parse(spark, sf):
     return parse.good(parse.parse_heartbeat(_as_lines(events, value), "live_show%2F"))
 
 
-@query
-def tsv_parse(spark, sf):
-    events = _events(spark, sf)
+def _switch_records(events: DataFrame) -> DataFrame:
+    """Switches as tab-separated lines; some short or without a usable time."""
     cells = [
         F.col("user_id").cast("string"), F.lit("old"), F.lit(""), F.col("event_type"), F.lit("x"),
         F.when(F.col("event_id") % 7 == 0, "yesterday").otherwise(F.date_format("ts", "yyyy-MM-dd HH:mm:ss")),
     ]
     full = F.concat_ws("\t", *cells)
     short = F.concat_ws("\t", *cells[:5])
-    lines = _as_lines(events, F.when(F.col("event_id") % 11 == 0, short).otherwise(full))
-    return parse.good(parse.parse_switch(lines))
+    return _as_lines(events, F.when(F.col("event_id") % 11 == 0, short).otherwise(full))
+
+
+@query
+def tsv_parse(spark, sf):
+    return parse.good(parse.parse_switch(_switch_records(_events(spark, sf))))
 
 
 @query
@@ -507,7 +595,8 @@ def click_parse(spark, sf):
         F.col("user_id").cast("string").alias("uid"),
         epoch_seconds(events, "ts").cast("string").alias("event_time"),
         F.col("event_type").alias("os_type"),
-        F.when(F.col("event_id") % 8 != 0, F.col("value")).alias("click_count"),
+        F.when(F.col("event_id") % 8 == 1, "3e9").when(F.col("event_id") % 8 == 2, "NaN")
+        .when(F.col("event_id") % 8 != 0, F.col("value").cast("string")).alias("click_count"),
     )
     return parse.good(parse.parse_clicks(_as_lines(events, F.to_json(message))))
 
@@ -659,9 +748,9 @@ def global_sum_count(spark, sf):
 @query
 def topn_per_key(spark, sf):
     lines = fx.read(spark, sf, "lineitem").select(
-        F.col("l_suppkey").alias("key"), F.col("l_extendedprice").alias("TopN_values")
+        F.col("l_suppkey").alias("key"), F.col("l_extendedprice").alias("price")
     )
-    return ranking.top_n_per_key(lines, "key", "TopN_values", 3).select("key", "TopN_values")
+    return ranking.top_n_per_key(lines, "key", "price", 3).select("key", "price")
 
 
 def _sliding(events: DataFrame, watermark: str | None = None) -> DataFrame:
@@ -750,8 +839,8 @@ def retention_filter(spark, sf):
 # --- streams ---------------------------------------------------------------------------
 
 
-def _stream(spark, sf, name) -> DataFrame:
-    return files.stream_parquet(spark, sf, f"{name}.parquet")
+def _stream(spark, sf, name, max_files=None) -> DataFrame:
+    return files.stream_parquet(spark, sf, f"{name}.parquet", max_files)
 
 
 def _finish(running) -> None:
@@ -802,7 +891,7 @@ def stream_running_max(spark, sf):
     clicks = _stream(spark, sf, "events").select(
         F.col("user_id").cast("string").alias("uid"), F.col("value").cast("int").alias("click_count")
     )
-    best = jobs.running_max(clicks, "uid", "click_count")
+    best = aggregates.running_max(clicks, "uid", "click_count")
     _finish(sinks.start_log(best, f"{place}/log", f"{place}/progress", "update"))
     return sinks.newest(sinks.read_batches(spark, f"{place}/log", "uid string, best int"), ["uid"])
 
@@ -814,7 +903,7 @@ def stream_word_count(spark, sf):
     words = parse.words(parse.lines(_stream(spark, sf, "conversations"), "text"))
     counts = aggregates.word_count(words)
     _finish(sinks.start_log(counts, f"{place}/log", f"{place}/progress", "complete"))
-    return sinks.newest(sinks.read_batches(spark, f"{place}/log", "value string, count bigint"), ["value"])
+    return sinks.read_batches(spark, f"{place}/log", "value string, count bigint", last=True).drop("batch_id")
 
 
 @query
@@ -845,15 +934,65 @@ def stream_new_minutes(spark, sf):
 
 @query
 def stream_signins(spark, sf):
+    """Heartbeats to a minute log, and that log to sign-in messages by a stateful stream."""
     place = work_dir(spark, "signins")
     beats = fx.as_heartbeats(_stream(spark, sf, "events"))
     _finish(
-        jobs.start_signins(
+        jobs.start_minutes(
             beats, lambda: fx.stream_rooms(spark), lambda: fx.switches(spark, sf), fx.SIGN_IN_CATES,
-            f"{place}/log", f"{place}/progress", threshold=fx.SIGN_IN_THRESHOLD,
+            f"{place}/minutes", f"{place}/progress",
+        )
+    )
+    _finish(
+        jobs.start_signins(
+            spark, f"{place}/minutes", f"{place}/messages", f"{place}/told", threshold=fx.SIGN_IN_THRESHOLD, keep="40 days"
         )
     )
-    return jobs.read_signins(spark, f"{place}/log").select("uid", day_key(F.col("day")).alias("day"), "days")
+    return jobs.read_signins(spark, f"{place}/messages").select("uid", day_key(F.col("day")).alias("day"), "days")
+
+
+@query
+def stream_raw_top(spark, sf):
+    """Gift records to top lists with sign-up copies, by the streaming job."""
+    place = work_dir(spark, "raw")
+    gifts = fx.as_gifts(_stream(spark, sf, "lineitem").select(*fx.LINE_COLUMNS), spark, sf)
+    _finish(
+        jobs.start_boards(
+            _gift_records(gifts), lambda: fx.gift_campaigns(spark), f"{place}/log", f"{place}/progress", raw=True,
+            host_group=lambda: fx.host_group(spark, sf), host_pool=lambda: fx.host_pool(spark, sf), classes=("all",),
+            roles=RANKED, scopes=("all",),
+        )
+    )
+    top = jobs.read_top(spark, f"{place}/log")
+    return top.select("project", "scope", "role", "period", "period_key", "member", "score", "rank")
+
+
+@query
+def stream_popularity(spark, sf):
+    """Popularity records to boards with sign-up copies, by the streaming job."""
+    place = work_dir(spark, "popularity")
+    records = _popularity_records(_stream(spark, sf, "events"))
+    _finish(
+        jobs.start_peaks(records, lambda: fx.campaigns(spark, "popularity"), f"{place}/log", f"{place}/progress", raw=True)
+    )
+    return jobs.read_popularity(spark, f"{place}/log", fx.campaigns(spark, "popularity"), fx.star_pool(spark, sf))
+
+
+@query
+def stream_profile_merge(spark, sf):
+    """Profile changes laid over the profile table, by the streaming job."""
+    place = work_dir(spark, "profiles")
+    changes = _change_records(_stream(spark, sf, "customer"))
+    _finish(jobs.start_profile_changes(changes, "at", f"{place}/log", f"{place}/progress"))
+    return jobs.read_profiles(spark, f"{place}/log", _known(spark, sf))
+
+
+@query
+def stream_switches(spark, sf):
+    """Switch records to each room's latest switches, by the streaming job."""
+    place = work_dir(spark, "switches")
+    _finish(jobs.start_switches(_switch_records(_stream(spark, sf, "events")), f"{place}/log", f"{place}/progress"))
+    return asof.latest_switch(jobs.read_switches(spark, f"{place}/log"))
 
 
 @query

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+
+ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def build_session(app: str = "encore", master: str | None = None, **conf: str) -> SparkSession:
@@ -22,6 +27,9 @@ def build_session(app: str = "encore", master: str | None = None, **conf: str) -
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.ui.enabled", "false")
+        # Streaming state outside the heap; top lists keep their group limit up to this length.
+        .config("spark.sql.streaming.stateStore.providerClass", ROCKS)
+        .config("spark.sql.optimizer.windowGroupLimitThreshold", "100000")
     )
     if master:
         builder = builder.master(master)
@@ -33,11 +41,19 @@ def build_session(app: str = "encore", master: str | None = None, **conf: str) -
 def work_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder below the cluster's shared ``spark.checkpoint.dir``.
 
-    Only a local master may fall back to a folder of its own machine.
+    Only a local master may fall back to a folder of its own machine, which goes when the driver ends.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
         root = tempfile.mkdtemp(prefix="encore-")
+        atexit.register(shutil.rmtree, root, ignore_errors=True)
     return os.path.join(root, f"{purpose}-{uuid.uuid4().hex}")
+
+
+def saved(df: DataFrame, purpose: str) -> DataFrame:
+    """``df`` written to the shared folder and read again, so that its rows and their parts stay what they are."""
+    path = work_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

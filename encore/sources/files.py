@@ -6,19 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 
-FEW_SPLITS = 32
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Deal out an input that arrives in a handful of splits, fewer than there are cores.
-
-    For small tables ahead of heavy per-row work: one file with one row group would keep
-    one core busy. An input with ``FEW_SPLITS`` splits or more is left as it is. Rows go by
-    their hash: the same rows to the same place however often a task is repeated, and
-    without the sort that dealing them in turn would need.
-    """
-    cores = min(df.sparkSession.sparkContext.defaultParallelism, FEW_SPLITS)
-    return df.repartition(cores, *df.columns) if df.rdd.getNumPartitions() < cores else df
+def dealt(df: DataFrame, *keys: str) -> DataFrame:
+    """Deal rows out by ``keys`` ahead of heavy per-row work, in partitions that adaptive execution sizes and, where a
+    key is hot, splits."""
+    return df.hint("rebalance", *keys)
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -39,15 +30,17 @@ def stream_lines(spark: SparkSession, path: str, max_files: int | None = None) -
     return reader.load(path)
 
 
-def stream_parquet(spark: SparkSession, path: str, pattern: str | None = None, max_files: int | None = None) -> DataFrame:
-    """New parquet files of a folder; the schema is that of the files already there."""
-    glob = f"{path}/{pattern}" if pattern else path
-    reader = spark.readStream.schema(spark.read.parquet(glob).schema)
-    if pattern:
-        reader = reader.option("pathGlobFilter", pattern)
+def stream_parquet(spark: SparkSession, path: str, table: str | None = None, max_files: int | None = None) -> DataFrame:
+    """New parquet files of a folder, or of a table in it that is one file or a folder of part files.
+
+    The schema is that of the files already there. The file source takes folders and globs only, so the table's name
+    goes in as a glob that matches nothing else.
+    """
+    target = f"{path}/{table}" if table else path
+    reader = spark.readStream.schema(spark.read.parquet(target).schema)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.parquet(path)
+    return reader.parquet(f"{path}/[{table[0]}]{table[1:]}" if table else path)
 
 
 def stream_socket(spark: SparkSession, host: str, port: int) -> DataFrame:

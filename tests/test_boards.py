@@ -7,6 +7,7 @@ import random
 from collections import defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from encore.operators import boards, campaigns, ranking
 
@@ -210,7 +211,9 @@ def test_leaderboard_order_breaks_ties_by_text_descending(spark):
     top = ranking.top_k(df, ["project"], 3).collect()
     assert [(r["rank"], r.member) for r in sorted(top, key=lambda r: r["rank"])] == [(1, "b"), (2, "9"), (3, "10")]
     assert ranking.lowest(df, ["project"]).first().member == "a"
-    assert [r.member for r in ranking.board_listing(df).collect()] == ["b", "9", "10", "a"]
+    two = df.unionAll(df.withColumn("project", F.lit("q")).where("member <> '9'"))
+    listed = sorted((r.project, r.position, r.member) for r in ranking.board_listing(two.repartition(5), ["project"]).collect())
+    assert listed == [("p", 1, "b"), ("p", 2, "9"), ("p", 3, "10"), ("p", 4, "a"), ("q", 1, "b"), ("q", 2, "10"), ("q", 3, "a")]
 
 
 def test_top_list_has_101_rows_by_default(spark):
@@ -234,14 +237,15 @@ def test_sign_up_copies_and_top_donors(spark):
     rows = gifts(
         spark, ("1", "2", "g", 5, "c", NOW), ("3", "2", "g", 5, "c", NOW), ("3", "4", "g", 1, "c", NOW),
     )
-    scores = boards.board_scores(rows, running)
     pool = spark.createDataFrame([("p", "2"), ("p", "3"), ("q", "4")], "project string, qid string")
-    signed = boards.restrict_to_pool(scores, pool, running)
+    signed = boards.signed_up_scores(rows, running, pool)
     # The user 3 is in the host pool, so the user board is copied for them too.
     assert totals(signed, "project", "scope", "role", "member") == {
         ("p", "signUp", "host", "2"): 10.0, ("p", "signUp", "user", "3"): 6.0
     }
-    best = boards.top_donor(scores, pool).collect()
+    later = boards.restrict_to_pool(boards.board_scores(rows, running), pool, running)
+    assert sorted(map(tuple, later.select(boards.SCORES).collect())) == sorted(map(tuple, signed.select(boards.SCORES).collect()))
+    best = boards.top_donor(rows, running, pool).collect()
     assert sorted((r.project, r.qid, r.uid, r.score) for r in best) == [("p", "2", "3", 5.0), ("q", "4", "3", 1.0)]
 
 
@@ -262,4 +266,27 @@ def test_latest_room_and_touched(spark):
     assert boards.latest_room(rows).first().room_id == "rq9"
     scores = spark.createDataFrame([("p", "all", "host", str(i), float(i)) for i in range(10)], SCORES)
     touched = spark.createDataFrame([("p", "9"), ("p", "1"), ("p", "77")], "project string, member string")
-    assert [r.member for r in ranking.touched_in_top(touched, scores, ["project"], 3).collect()] == ["9"]
+    assert [r.member for r in ranking.touched_of(ranking.top_k(scores, ["project"], 3), touched, ["project"]).collect()] == ["9"]
+
+
+def test_restrictions_and_groups_lie_where_they_save_most(spark, sf):
+    """Pool and campaign restrictions below the first sum; group names above it."""
+    from encore.plans.queries import CATALOGUE
+
+    def first_sum(name: str) -> tuple[str, str]:
+        lines = CATALOGUE[name](spark, sf)._jdf.queryExecution().optimizedPlan().toString().split("\n")
+        at = max(i for i, line in enumerate(lines) if "Aggregate [" in line and "sum(score" in line)
+        return "\n".join(lines[:at]), "\n".join(lines[at:])
+
+    for name in ("board_signup", "top_donor_map"):
+        above, below = first_sum(name)
+        assert "LeftSemi" in below and "LeftSemi" not in above
+    above, below = first_sum("board_group")
+    assert "LeftOuter" in above and "LeftOuter" not in below
+
+
+def test_sums_do_not_depend_on_the_order(spark):
+    running = config(spark, text(allRank="true", giftIds="g", specificExtraAdd="true", specificExtraRate=0.1))
+    rows = [("u", "q", "g", 3, "c", NOW + i) for i in range(1000)]
+    scores = {r.score for n in (1, 7) for r in boards.board_scores(gifts(spark, *rows).repartition(n), running).collect()}
+    assert scores == {3300.0}

@@ -9,6 +9,7 @@ import pytest
 from encore import session
 from encore.sources import files, kafka
 from encore.operators import tables
+from encore.streaming import sinks
 
 
 def test_subscribe_options():
@@ -54,9 +55,23 @@ def test_jdbc_options():
     assert got == {"url": "jdbc:x:y", "query": "select aid_type, aids from similarity", "user": "u"}
 
 
-def test_small_inputs_are_spread_and_large_ones_left(spark):
-    assert files.spread(spark.range(0, 100, 1, 1)).rdd.getNumPartitions() == 4
-    assert files.spread(spark.range(0, 100, 1, 64)).rdd.getNumPartitions() == 64
+def test_dealing_out_is_adaptive(spark):
+    dealt = files.dealt(spark.range(0, 100, 1, 1), "id")
+    plan = dealt._jdf.queryExecution().executedPlan().toString()
+    assert "REBALANCE_PARTITIONS_BY_COL" in plan and "REPARTITION_BY_NUM" not in plan
+    assert dealt.count() == 100
+
+
+def test_streams_read_a_table_that_is_a_file_or_a_folder(spark, tmp_path):
+    rows = spark.range(60).selectExpr("id", "id % 7 AS v")
+    rows.repartition(3).write.parquet(str(tmp_path / "events.parquet"))
+    rows.limit(5).write.parquet(str(tmp_path / "revents.parquet"))
+    stream = files.stream_parquet(spark, str(tmp_path), "events.parquet", max_files=1)
+    query = sinks.start_log(stream, str(tmp_path / "log"), str(tmp_path / "progress"))
+    query.awaitTermination()
+    assert len([p for p in query.recentProgress if p["numInputRows"]]) == 3
+    got = sinks.read_batches(spark, str(tmp_path / "log"), "id bigint, v bigint").drop("batch_id")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, rows.collect()))
 
 
 def test_work_folder_is_below_the_shared_one(spark):

@@ -74,10 +74,26 @@ def test_change_log_readers(spark, tmp_path):
     assert rows(sinks.oldest(read, ["k"])) == [("a", 5), ("b", 1), ("c", 9)]
     assert rows(sinks.maximised(read, ["k"], "v")) == [("a", 5), ("b", 1), ("c", 9)]
     assert rows(sinks.newest(sinks.read_batches(spark, log, schema, before=1), ["k"])) == [("a", 5), ("b", 1)]
-    sinks.compact(sinks.added(read, ["k"], "v"), str(tmp_path / "folded"))
-    assert rows(sinks.read_batches(spark, str(tmp_path / "folded"), "k string, v bigint").drop("batch_id")) == [
-        ("a", 8), ("b", 1), ("c", 9)
-    ]
+    assert rows(sinks.read_batches(spark, log, schema, last=True).drop("batch_id")) == [("c", 9)]
+
+
+def test_folding_keeps_the_state_and_bounds_the_files(spark, tmp_path):
+    """Folds while batches come, a fresh checkpoint after them, and a stale row that retention drops."""
+    running, source = config(spark), in_files(gifts(spark), tmp_path / "in", 6)
+    log = str(tmp_path / "log")
+
+    def run(progress: str, **more):
+        jobs.start_boards(stream(spark, source), lambda: running, log, str(tmp_path / progress), fold_every=2, **more).awaitTermination()
+
+    run("progress")
+    left = [p.name for p in (tmp_path / "log").iterdir() if p.name.startswith("batch_id")]
+    assert sorted(left) == ["batch_id=4", "batch_id=5"] and len(list((tmp_path / "log-folded").iterdir())) == 2
+    assert rows(jobs.read_boards(spark, log).select(*boards.SCORES)) == rows(boards.board_scores(gifts(spark), running))
+    run("fresh")  # the same gifts once more, under a new checkpoint
+    twice = boards.board_scores(gifts(spark).unionByName(gifts(spark)), running)
+    assert rows(jobs.read_boards(spark, log).select(*boards.SCORES)) == rows(twice)
+    run("later", keep=-10)  # nothing is young enough
+    assert jobs.read_boards(spark, log).count() == 0
 
 
 def test_native_board_totals(spark, tmp_path):
@@ -121,18 +137,33 @@ def batch_signins(spark, threshold):
 def test_signins_equal_batch(spark, tmp_path):
     known, switches = dimensions(spark)
     source = in_files(heartbeats(spark), tmp_path / "in", 5)
-    jobs.start_signins(
-        stream(spark, source), lambda: known, lambda: switches, ["x"], str(tmp_path / "log"),
-        str(tmp_path / "progress"), threshold=60,
+    minutes, told = str(tmp_path / "minutes"), str(tmp_path / "told")
+    jobs.start_minutes(
+        stream(spark, source), lambda: known, lambda: switches, ["x"], minutes, str(tmp_path / "progress")
     ).awaitTermination()
-    got = jobs.read_signins(spark, str(tmp_path / "log"))
+    query = jobs.start_signins(spark, minutes, told, str(tmp_path / "messages"), threshold=60, max_files=2)
+    query.awaitTermination()
+    assert sum(p["numInputRows"] > 0 for p in query.recentProgress) > 2
+    got = jobs.read_signins(spark, told)
     expected = batch_signins(spark, 60)
     assert expected.count() > 3
     # The order in which a user's days are reached may differ from calendar order.
     assert rows(got.select("uid", "day")) == rows(expected.select("uid", "day"))
     assert rows(got.select("uid", "days")) == rows(expected.select("uid", "days"))
     beats = watch.beats_in_category(heartbeats(spark), known, switches, ["x"])
-    assert rows(jobs.read_minutes(spark, str(tmp_path / "log"))) == rows(watch.minutes_per_day(beats))
+    assert rows(jobs.read_minutes(spark, minutes)) == rows(watch.minutes_per_day(beats))
+
+
+def test_sign_in_state_goes_with_its_retention(spark, tmp_path):
+    """A day that comes again after its words have expired starts anew; days that are kept never count twice."""
+    day = 86400
+    beats = spark.range(3).selectExpr("'u' AS uid", "id AS stream", "'p' AS flag", f"{T0} + id * 60 AS time_u")
+    words = watch.minute_words(watch.expand_minutes(beats.unionAll(beats.withColumn("time_u", F.col("time_u") + 30 * day))))
+    words.orderBy("day").coalesce(1).write.parquet(str(tmp_path / "words"))
+    told = jobs.sign_ins(spark.readStream.schema(words.schema).parquet(str(tmp_path / "words")), threshold=3)
+    sinks.start_files(told, str(tmp_path / "out"), str(tmp_path / "progress")).awaitTermination()
+    got = spark.read.schema("uid string, day date, days bigint").parquet(str(tmp_path / "out"))
+    assert sorted(r.days for r in got.collect()) == [1, 2]
 
 
 def test_minute_words_as_a_native_stream(spark, tmp_path):
@@ -148,7 +179,7 @@ def test_minute_words_as_a_native_stream(spark, tmp_path):
 def test_running_max_and_word_count(spark, tmp_path):
     clicks = spark.range(300).selectExpr("cast(id % 6 AS string) AS uid", "cast((id * 37) % 101 - 50 AS int) AS v")
     source = in_files(clicks, tmp_path / "in")
-    best = jobs.running_max(stream(spark, source), "uid", "v")
+    best = aggregates.running_max(stream(spark, source), "uid", "v")
     sinks.start_log(best, str(tmp_path / "log"), str(tmp_path / "progress"), "update").awaitTermination()
     got = sinks.newest(sinks.read_batches(spark, str(tmp_path / "log"), "uid string, best int"), ["uid"])
     assert rows(got) == rows(aggregates.running_max(clicks, "uid", "v"))
@@ -224,15 +255,6 @@ def test_failed_batch_stops_the_query_and_is_redone(spark, tmp_path):
     assert spark.read.parquet(log).count() == 600
 
 
-def test_ledger_of_progress(spark):
-    progress = {
-        "batchId": 3, "timestamp": "2024-01-01T00:00:00.000Z",
-        "sources": [{"description": "k", "startOffset": None, "endOffset": '{"t": {"0": 5, "1": 7}}'}],
-    }
-    assert rows(sinks.ledger_rows(spark, progress, "g")) == [("t", "g", 0, 5, 1704067200000), ("t", "g", 1, 7, 1704067200000)]
-    assert sinks.offset_ranges(progress) == [("k", "None", '{"t": {"0": 5, "1": 7}}')]
-
-
 def test_progress_of_a_real_query(spark, tmp_path):
     source = in_files(gifts(spark), tmp_path / "in", 2)
     query = sinks.start_log(stream(spark, source), str(tmp_path / "log"), str(tmp_path / "progress"))
@@ -240,3 +262,43 @@ def test_progress_of_a_real_query(spark, tmp_path):
     assert sum(p["numInputRows"] for p in query.recentProgress) == 600
     assert sinks.offset_ranges(query.lastProgress)
 
+
+
+def test_raw_records_to_top_lists_popularity_and_tables(spark, tmp_path):
+    """The jobs over records, in several batches, against the batch operators; bad records are kept apart."""
+    from encore.functions import parse
+    from encore.operators import asof, enrich, ranking
+
+    running, good = config(spark, flag=1, u2q="true"), gifts(spark)
+    data = F.to_json(F.struct("uid", F.col("qid").alias("anchor"), F.col("room_id").alias("roomid"), F.col("gift_id").alias("giftid"),
+                              F.col("total").cast("string").alias("total"), "cate", F.col("time_u").cast("string").alias("time")))
+    records = good.select(F.to_json(F.struct(data.alias("data"))).alias("value"))
+    bad = spark.createDataFrame([("{x",), ('{"data":"{\\"uid\\":\\"u\\",\\"time\\":\\"NaN\\"}"}',)], "value string")
+    source = in_files(records.unionAll(bad), tmp_path / "in", 3)
+    pool = spark.createDataFrame([("p", "q1"), ("p", "hot")], "project string, qid string")
+    log = str(tmp_path / "log")
+    jobs.start_boards(
+        stream(spark, source), lambda: running, log, str(tmp_path / "progress"), raw=True, host_pool=lambda: pool, fold_every=2
+    ).awaitTermination()
+    scores = boards.board_scores(good, running)
+    both = scores.unionByName(boards.signed_up_scores(good, running, pool))
+    columns = [*boards.SCORES, "rank"]
+    expected = ranking.top_k(both.where("role <> 'donor'"), boards.BOARD, 3)
+    assert rows(jobs.read_top(spark, log, 3).select(columns)) == rows(expected.select(columns))
+    assert rows(jobs.read_best_donors(spark, log, pool)) == rows(boards.top_donor(good, running, pool))
+    assert sinks.read_batches(spark, f"{log}-bad", "value string, error string").count() == 2
+    assert parse.good(parse.parse_gift(bad)).count() == 0
+
+    changes = spark.createDataFrame(
+        [(3, '{"data":"{\\"rid\\":\\"1\\",\\"nickname\\":\\"c\\"}"}'), (1, '{"data":"{\\"rid\\":\\"1\\",\\"nickname\\":\\"a\\"}"}'),
+         (2, '{"data":"{\\"hostid\\":\\"1\\",\\"new_id\\":\\"7\\"}"}')], "at bigint, value string")
+    source = in_files(changes, tmp_path / "changes", 3)
+    jobs.start_profile_changes(stream(spark, source), "at", f"{log}-c", str(tmp_path / "progress-c")).awaitTermination()
+    current = spark.createDataFrame([("1", "x", "y", "0")], "rid string, nick_name string, avatar string, room_id string")
+    assert rows(jobs.read_profiles(spark, f"{log}-c", current)) == [("1", "c", "y", "7")]
+    assert rows(enrich.merge_profile(current, current.withColumn("at", F.lit(1)), "at")) == rows(current)
+
+    lines = spark.createDataFrame([("r\t\t\ta\t\t2024-01-01 00:00:01",), ("r\t\t\ta\t\t2024-01-01 00:00:09",), ("r\tx",)], "value string")
+    source = in_files(lines, tmp_path / "switches", 2)
+    jobs.start_switches(stream(spark, source), f"{log}-s", str(tmp_path / "progress-s")).awaitTermination()
+    assert rows(asof.latest_switch(jobs.read_switches(spark, f"{log}-s"))) == [("r", "a", 1704067209)]

@@ -123,19 +123,18 @@ def test_puts_and_sets(spark):
     assert sorted(map(tuple, enrich.put_if_absent(current, rows, "k").collect())) == [("a", 1), ("b", 2)]
     assert sorted(map(tuple, enrich.put(current, rows, "k").collect())) == [("a", 5), ("b", 3)]
     assert [r.k for r in enrich.new_members(current, rows, ["k"]).collect()] == ["b"]
-    assert sorted(map(tuple, aggregates.max_put(rows, ["k"], "v").collect())) == [("a", 5), ("b", 3)]
     ids = [spark.createDataFrame([(x,) for x in text], "id string") for text in ("aab", "bc")]
     assert sorted(r.id for r in enrich.union_ids(*ids).collect()) == ["a", "b", "c"]
     assert [r.id for r in enrich.common_ids(*ids).collect()] == ["b"]
 
 
-def test_profiles_are_replaced_for_hosts_and_added_for_users(spark):
+def test_only_profiles_that_lack_are_added_and_a_host_brings_its_room(spark):
     row = "rid string, nick_name string, room_id string"
     current = spark.createDataFrame([("h", "old", ""), ("u", "old", "7")], row)
-    hosts = spark.createDataFrame([("h", "new", "9")], row)
-    users = spark.createDataFrame([("u", "new", ""), ("h", "newer", ""), ("v", "new", "")], row)
+    hosts = spark.createDataFrame([("h", "new", "9"), ("w", "new", "8")], row)
+    users = spark.createDataFrame([("u", "new", ""), ("h", "newer", ""), ("v", "new", ""), ("w", "new", "")], row)
     got = enrich.store_profiles(current, hosts, users)
-    assert sorted(map(tuple, got.collect())) == [("h", "new", "9"), ("u", "old", "7"), ("v", "new", "")]
+    assert sorted(map(tuple, got.collect())) == [("h", "old", ""), ("u", "old", "7"), ("v", "new", ""), ("w", "new", "8")]
 
 
 def test_user_aggregate_on_a_hot_key(spark):
