@@ -405,6 +405,22 @@ ORACLE: dict[str, str] = {
                 + cos(c.lat) * cos(p.lat) * sin((p.lon - c.lon) / 2) ** 2)) AS distance
               FROM p, (SELECT * FROM p WHERE place = 7) c)
         SELECT place, round(distance, 3) AS distance FROM d WHERE distance <= 1500""",
+    "top_donor_labels": _gift(
+        """SELECT 'live:' || project || ':u2q' || CASE period WHEN 'day' THEN 'Dy' WHEN 'week' THEN 'Wk' WHEN 'month' THEN 'Mth' ELSE '' END
+          || CASE gift_class WHEN 'all' THEN 'AlGf' ELSE 'SpecGf' END
+          || CASE period WHEN 'week' THEN (regexp_extract(period_key, 'W(\\d+)', 1)::INT)::VARCHAR ELSE period_key END || ':map' AS key,
+          owner AS qid, member AS uid, score FROM ranked r
+        WHERE role = 'donor' AND rank = 1
+          AND EXISTS (SELECT 1 FROM host_pool p WHERE p.project = r.project AND p.qid = r.owner)""",
+        TOP,
+    ),
+    "source_text": """
+        SELECT value, count(*) AS lines FROM (SELECT unnest(string_split(text, chr(10))) AS value FROM conversations)
+        WHERE NOT contains(value, chr(13)) GROUP BY value""",
+    "source_json": "SELECT c_custkey, c_name, c_mktsegment FROM customer",
+    "source_catalog": "SELECT o_orderkey, o_custkey, o_orderpriority FROM orders WHERE o_custkey > 10",
+    "source_memory": """
+        SELECT 'class ' || (c_nationkey % 5) AS label, count(*) AS customers FROM customer GROUP BY ALL""",
     "retention_filter": "SELECT event_id FROM events WHERE ts > TIMESTAMP '2024-01-24 00:00:00'",
     "stream_board_scores": _gift(
         "SELECT * FROM scores WHERE period IN ('all', 'month') AND role <> 'donor'"

@@ -836,6 +836,53 @@ def retention_filter(spark, sf):
     return tables.expire_rows(events, "ts", tables.KEEP["watch_minutes"], fx.utc(2024, 1, 31)).select("event_id")
 
 
+@query
+def top_donor_labels(spark, sf):
+    """Best donors under the published names of their maps."""
+    best = _best_donors(spark, sf).withColumn("scope", F.lit("all"))
+    key = labels.board_key("live", labels.top_donor_label(), "map")
+    return best.select(key.alias("key"), "qid", "uid", "score")
+
+
+# --- sources ---------------------------------------------------------------------------
+
+
+@query
+def source_text(spark, sf):
+    """Lines of a table written as text files, read back and counted."""
+    place = work_dir(spark, "text")
+    lines = parse.lines(fx.read(spark, sf, "conversations"), "text").where(~F.col("value").contains("\r"))
+    lines.write.text(place)
+    return files.read_lines(spark, place).groupBy("value").agg(F.count("*").alias("lines"))
+
+
+@query
+def source_json(spark, sf):
+    """Customers written as JSON lines and read back, the schema inferred."""
+    place = work_dir(spark, "json")
+    fx.read(spark, sf, "customer").select("c_custkey", "c_name", F.struct("c_mktsegment").alias("more")).write.json(place)
+    return files.read_json(spark, place).select("c_custkey", "c_name", F.col("more.c_mktsegment").alias("c_mktsegment"))
+
+
+@query
+def source_catalog(spark, sf):
+    """Orders loaded into a catalog table and scanned from it."""
+    place = work_dir(spark, "orders")
+    name = f"orders_{place.rpartition('-')[2]}"
+    files.ensure_table(spark, name, "o_orderkey BIGINT, o_custkey BIGINT, o_orderpriority STRING", location=place)
+    rows = fx.read(spark, sf, "orders").select("o_orderpriority", "o_custkey", "o_orderkey")
+    return files.load_into(rows, name).where(F.col("o_custkey") > 10)
+
+
+@query
+def source_memory(spark, sf):
+    """A small dimension as rows of the driver, joined with its table; in three partitions."""
+    names = [(i, f"class {i}") for i in range(5)]
+    classes = files.in_memory(spark, names, "class int, label string", 3)
+    nations = fx.read(spark, sf, "customer").select("c_custkey", (F.col("c_nationkey") % 5).cast("int").alias("class"))
+    return nations.join(classes, "class").groupBy("label").agg(F.count("*").alias("customers"))
+
+
 # --- streams ---------------------------------------------------------------------------
 
 

@@ -62,9 +62,11 @@ def read_jdbc(spark: SparkSession, options: dict[str, str]) -> DataFrame:
     return spark.read.format("jdbc").options(**options).load()
 
 
-def ensure_table(spark: SparkSession, name: str, columns: str, using: str = "parquet") -> None:
-    """Create the catalog table unless it exists; ``using='hive'`` needs Hive support."""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING {using}")
+def ensure_table(spark: SparkSession, name: str, columns: str, using: str = "parquet", location: str | None = None) -> None:
+    """Create the catalog table unless it exists; ``using='hive'`` needs Hive support. With ``location`` its files lie there
+    and stay when it is dropped."""
+    at = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING {using}{at}")
 
 
 def load_into(rows: DataFrame, name: str) -> DataFrame:
