@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from encore.session import importable
+
 
 def word_count(words: DataFrame) -> DataFrame:
     return words.groupBy("value").count()
@@ -82,6 +84,7 @@ def user_aggregate(
         first = {k: pdf[k].iloc[0] for k in keys}
         return pd.DataFrame([{**first, **merge(pdf[names])}])[[*keys, *names]]
 
+    importable(df.sparkSession)
     source = df.select(*keys, *inputs, F.spark_partition_id().alias("_part"))
     buffers = source.mapInPandas(reduce_batches, batch_schema)
     per_part = buffers.groupBy(*keys, "_part").applyInPandas(merge_groups, final_schema)

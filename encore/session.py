@@ -57,3 +57,12 @@ def saved(df: DataFrame, purpose: str) -> DataFrame:
     path = work_dir(df.sparkSession, purpose)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def importable(spark: SparkSession) -> None:
+    """Let Python workers on machines that have this package where the driver has it import it, from whatever folder the
+    driver was started. Elsewhere ship the package with the job."""
+    root, env = os.path.dirname(os.path.dirname(os.path.abspath(__file__))), spark.sparkContext.environment
+    places = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in places:
+        env["PYTHONPATH"] = os.pathsep.join([*places, root])
