@@ -147,6 +147,7 @@ def test_signins_equal_batch(spark, tmp_path):
     got = jobs.read_signins(spark, told)
     expected = batch_signins(spark, 60)
     assert expected.count() > 3
+    assert jobs.read_signins(spark, told, keep=3600).count() == got.count() > jobs.read_signins(spark, told, keep=-10).count() == 0
     # The order in which a user's days are reached may differ from calendar order.
     assert rows(got.select("uid", "day")) == rows(expected.select("uid", "day"))
     assert rows(got.select("uid", "days")) == rows(expected.select("uid", "days"))
