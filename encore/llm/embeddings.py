@@ -1,10 +1,11 @@
 """Near-duplicate vectors by product quantisation: coarse lists, residual codes, table-lookup distances, exact rerank.
 
 Equal vectors are first made one class. Every class lies in the list of its nearest centroid, as a code of the residual
-together with the code's exact error. A query goes to every list whose cell can hold a vector near enough (the distance to
-the plane between two centroids tells), and there to every member whose table-lookup distance is within the radius plus
-that member's error. Both bounds follow from the triangle inequality, so no link is lost; what passes is compared by exact
-cosine. Lists meet their queries in blocks of bounded size, and a block gives counts and a spanning forest, never its pairs.
+together with the code's exact error. A query goes to the lists whose cells come within a share of the radius: the distance
+to the plane between two centroids tells, and by the whole radius no link can be lost; a near vector that differs in no
+particular direction moves towards any one plane by a fraction of that, so a smaller share finds practically all, and the
+recall is measured against all pairs. There it goes to every member whose table-lookup distance is within the radius plus
+that member's error, which loses nothing (triangle inequality); what passes is compared by exact cosine. Lists meet their queries in blocks of bounded size, and a block gives counts and a spanning forest, never its pairs.
 """
 
 from __future__ import annotations
@@ -24,7 +25,11 @@ from encore.llm.common import components, map_batches, saved
 PER_LIST, LISTS, SAMPLE = 256, 4096, 16_384
 #: Subspaces and codewords of each; members and queries of a block.
 SUBSPACES, CODEWORDS = 8, 256
+#: Share of the radius within which a cell is probed; 1 loses nothing.
+MARGIN = 0.5
 BLOCK = 2048
+#: Queries whose distances are looked up together, and pairs that are compared together.
+ASKED, PAIRS = 256, 20_000
 ROUNDS = 8
 
 
@@ -52,9 +57,9 @@ def nearest(x: np.ndarray, centre: np.ndarray) -> np.ndarray:
 class Index:
     """Centroids and codebooks, fitted on a sample of unit vectors."""
 
-    def __init__(self, sample: np.ndarray, lists: int, cosine: float, seed: int = 5) -> None:
+    def __init__(self, sample: np.ndarray, lists: int, cosine: float, margin: float = MARGIN, seed: int = 5) -> None:
         rng = np.random.default_rng(seed)
-        self.cosine = cosine
+        self.cosine, self.margin = cosine, margin
         self.radius = float(np.sqrt(2 - 2 * cosine)) + 1e-6
         self.centre = means(sample, lists, rng)
         self.apart = np.sqrt(_distances(self.centre, self.centre))
@@ -71,26 +76,35 @@ class Index:
         return home, code.astype(np.uint8), np.sqrt(((left - told) ** 2).sum(1))
 
     def probes(self, x: np.ndarray) -> list[np.ndarray]:
-        """The lists whose cells come within the radius of each vector."""
+        """The lists whose cells come near enough to each vector; its own among them."""
         out = []
         for a in range(0, len(x), 1024):
             d = _distances(x[a : a + 1024], self.centre)
             home = d.argmin(1)
-            near = d - d[np.arange(len(d)), home][:, None] <= 2 * self.radius * self.apart[home] + 1e-9
+            near = d - d[np.arange(len(d)), home][:, None] <= 2 * self.margin * self.radius * self.apart[home] + 1e-9
             out += [np.flatnonzero(row) for row in near]
         return out
 
+    def asks(self, x: np.ndarray, home: int, at: int) -> np.ndarray:
+        """Whether vectors of list ``home`` probe list ``at``."""
+        d = _distances(x, self.centre[[home, at]])
+        return d[:, 1] - d[:, 0] <= 2 * self.margin * self.radius * self.apart[home, at] + 1e-9
+
     def search(self, queries: np.ndarray, at: int, code: np.ndarray, error: np.ndarray, members: np.ndarray) -> Iterator[np.ndarray]:
         """For each query the members of list ``at`` with cosine enough: table look-ups, then exact."""
         left = queries - self.centre[at]
         most = (self.radius + error) ** 2 + 1e-6
         tables = [_distances(left[:, c], b) for c, b in zip(self.cuts, self.books, strict=True)]
-        for i, query in enumerate(queries):
-            far = tables[0][i][code[:, 0]]
-            for m in range(1, len(tables)):
-                far = far + tables[m][i][code[:, m]]
-            near = np.flatnonzero(far <= most)
-            yield near[members[near] @ query >= self.cosine]
+        for start in range(0, len(queries), ASKED):
+            some = slice(start, start + ASKED)
+            far = sum(t[some][:, code[:, m]] for m, t in enumerate(tables))
+            asking, near = np.nonzero(far <= most)
+            exact = [
+                (members[near[a : a + PAIRS]] * queries[start + asking[a : a + PAIRS]]).sum(1) for a in range(0, len(near), PAIRS)
+            ]
+            good = np.concatenate(exact) >= self.cosine if exact else np.zeros(0, bool)
+            asking, near = asking[good], near[good]
+            yield from np.split(near, np.searchsorted(asking, np.arange(1, len(queries[some]))))
 
 
 def unit(data: list[bytes]) -> np.ndarray:
@@ -138,14 +152,14 @@ def _forest(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
     return out
 
 
-def _meet(classes: DataFrame, size: int, n: int, cosine: float, block: int) -> DataFrame:
+def _meet(classes: DataFrame, n: int, cosine: float, margin: float, per_list: int, block: int) -> DataFrame:
     """``id``, ``links`` (rows linked through a block) and ``b`` (a linked class, for the components)."""
     spark = classes.sparkSession
-    lists = int(min(LISTS, max(1, n // PER_LIST)))
+    lists = int(min(LISTS, max(1, n // per_list)))
     most = max(SAMPLE, 32 * lists)
     part = classes.where(F.pmod(F.xxhash64("key"), F.lit(1_000_000)) < int(min(1.0, 1.5 * most / n) * 1_000_000))
     sample = unit([r.v for r in part.select("v").limit(most).collect()] or [r.v for r in classes.select("v").limit(most).collect()])
-    shared = spark.sparkContext.broadcast(Index(sample, lists, cosine))
+    shared = spark.sparkContext.broadcast(Index(sample, lists, cosine, margin))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for batch in batches:
@@ -171,10 +185,10 @@ def _meet(classes: DataFrame, size: int, n: int, cosine: float, block: int) -> D
     spot = F.xxhash64("id")
     side = coded.join(F.broadcast(plan), "list").withColumn("m", F.pmod(spot, F.col("mb")))
     side = side.withColumn("q", F.explode(F.sequence(F.lit(0).cast("long"), F.col("qb") - 1)))
-    side = side.select("list", "m", "q", F.lit(True).alias("member"), "id", "w", "v", "code", "error")
-    ask = coded.select("id", "w", "v", F.explode("probes").alias("list")).join(F.broadcast(plan), "list")
+    side = side.select("list", "m", "q", F.lit(True).alias("member"), "id", "w", "v", F.col("list").alias("home"), "code", "error")
+    ask = coded.select("id", "w", "v", F.col("list").alias("home"), F.explode("probes").alias("list")).join(F.broadcast(plan), "list")
     ask = ask.withColumn("q", F.pmod(spot, F.col("qb"))).withColumn("m", F.explode(F.sequence(F.lit(0).cast("long"), F.col("mb") - 1)))
-    ask = ask.select("list", "m", "q", F.lit(False).alias("member"), "id", "w", "v", F.lit(None).cast("binary").alias("code"), F.lit(0.0).alias("error"))
+    ask = ask.select("list", "m", "q", F.lit(False).alias("member"), "id", "w", "v", "home", F.lit(None).cast("binary").alias("code"), F.lit(0.0).alias("error"))
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         own, queries = frame[frame["member"]], frame[~frame["member"]]
@@ -183,22 +197,27 @@ def _meet(classes: DataFrame, size: int, n: int, cosine: float, block: int) -> D
         index = shared.value
         code = np.frombuffer(b"".join(own["code"]), np.uint8).reshape(len(own), -1)
         ids, weight, members = own["id"].to_numpy(), own["w"].to_numpy(), unit(own["v"].tolist())
-        asking, links, a, b = queries["id"].to_numpy(), [], [], []
-        found = index.search(unit(queries["v"].tolist()), int(frame["list"].iloc[0]), code, own["error"].to_numpy(), members)
-        for i, near in zip(asking.tolist(), found, strict=True):
+        at = int(frame["list"].iloc[0])
+        asking, a, b, some = queries["id"].to_numpy(), [], [], []
+        found = index.search(unit(queries["v"].tolist()), at, code, own["error"].to_numpy(), members)
+        for i, w, home, near in zip(asking.tolist(), queries["w"].tolist(), queries["home"].tolist(), found, strict=True):
             near = near[ids[near] != i]
-            links.append(int(weight[near].sum()))
+            if not len(near):
+                continue
+            some.append((i, int(weight[near].sum()), i))
+            if home != at:  # members that do not ask back learn of the link here
+                some += [(int(ids[y]), w, int(ids[y])) for y in near[~index.asks(members[near], at, home)]]
             a.append(np.full(len(near), i))
             b.append(ids[near])
-        forest = _forest(np.concatenate(a), np.concatenate(b))
-        some = [(i, n, i) for i, n in zip(asking.tolist(), links, strict=True) if n] + [(x, 0, y) for x, y in forest]
+        some += [(x, 0, y) for x, y in _forest(np.concatenate(a), np.concatenate(b))] if a else []
         return pd.DataFrame(some, columns=["id", "links", "b"]).astype("int64")
 
     return side.unionAll(ask).groupBy("list", "m", "q").applyInPandas(run, "id long, links long, b long")
 
 
 def near_duplicates(
-    vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding", cosine: float = 0.95, block: int = BLOCK
+    vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding", cosine: float = 0.95, margin: float = MARGIN,
+    per_list: int = PER_LIST, block: int = BLOCK,
 ) -> DataFrame:
     """``vec_id``, ``n_links``, ``component_id`` and ``kept`` of every row of ``vectors``, whatever its other columns.
 
@@ -215,7 +234,7 @@ def near_duplicates(
     sizes = classes.groupBy("d").agg(F.count("*").alias("n")).collect()  # one row for each length of vectors
     met = None
     for size in sizes:
-        one = _meet(classes.where(F.col("d") == size.d), size.d, size.n, cosine, block)
+        one = _meet(classes.where(F.col("d") == size.d), size.n, cosine, margin, per_list, block)
         met = one if met is None else met.unionAll(one)
     own = classes.select("key", F.col("id").alias("class"), "w")
     if met is None:

@@ -49,11 +49,11 @@ def test_empty_table(spark):
 
 
 def test_bounds_lose_nothing():
-    """Whatever the data, both bounds keep every pair within the radius."""
+    """Whatever the data, both bounds keep every pair within the radius when the whole radius is probed."""
     rng = np.random.default_rng(1)
     x = rng.normal(size=(600, 10)) + 2 * rng.normal(size=(6, 10)).repeat(100, 0)
     x /= np.sqrt((x * x).sum(1))[:, None]
-    index = embeddings.Index(x[::3], 12, 0.95)
+    index = embeddings.Index(x[::3], 12, 0.95, margin=1.0)
     home, code, error = index.encode(x)
     probes = index.probes(x)
     found = set()
@@ -64,6 +64,20 @@ def test_bounds_lose_nothing():
     assert found == {(a, b) for a, b in zip(*np.nonzero(x @ x.T >= 0.95), strict=True)}
 
 
+def test_recall_with_many_lists(spark, sf):
+    """The probed share finds at least nine in ten links, counts them on both sides, and adds none."""
+    rng = np.random.default_rng(4)
+    base = np.array([r.embedding for r in spark.read.parquet(f"{sf}/embeddings.parquet").collect()][:200])
+    noise = rng.normal(0, 1, (5, *base.shape))
+    near = base + 0.3 * noise / np.sqrt((noise**2).sum(-1, keepdims=True)) * rng.random((5, len(base), 1))
+    rows = [(i, v.tolist()) for i, v in enumerate(np.vstack((base, near.reshape(-1, base.shape[1]))))]
+    df = spark.createDataFrame([(i, v, 0) for i, v in rows], SCHEMA)
+    got = {r.vec_id: r.n_links for r in embeddings.near_duplicates(df, per_list=12, block=100).collect()}
+    expected = {i: x[0] for i, x in brute(rows).items()}
+    assert sum(got.values()) >= 0.9 * sum(expected.values()) > 0 and sum(got.values()) % 2 == 0
+    assert all(got[i] <= expected[i] for i in got)
+
+
 @pytest.mark.parametrize("columns", [["vec_id", "n_links", "component_id", "kept"]])
 def test_query(spark, sf, columns):
     df = queries.QUERIES["op1_embeddings"](spark, sf)
