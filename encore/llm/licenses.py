@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -83,6 +84,16 @@ def _known() -> dict[str, int]:
     return {normalised(told): number for number, told in SENTENCES.items()}
 
 
+def anchors() -> list[str]:
+    """Words of which every known sentence has one: the most frequent of those left, until none is left."""
+    left, out = [set(s.split()) for s in _known()], []
+    while left:
+        words = sorted({w for s in left for w in s if len(w) > 5} or {w for s in left for w in s})
+        out.append(max(words, key=lambda w: sum(w in s for s in left)))
+        left = [s for s in left if out[-1] not in s]
+    return out
+
+
 def _numbers(text: Column) -> Column:
     """The known sentences of a text in their order; ends are line breaks and marks with white space behind them."""
     low = F.regexp_replace(F.lower(text), _END, "\n")
@@ -100,8 +111,12 @@ def recognise(docs: DataFrame, text: str = "text") -> DataFrame:
     of both. Only Spark's functions are used and nothing is shuffled; rows are judged one by one and whole.
     """
     whole = F.coalesce(F.col(text), F.lit(""))
-    docs = docs.withColumn("sentences", _numbers(whole))
-    flowing = _numbers(F.translate(whole, "\n\r", "  "))
+    # A text without any of the words that known sentences need is not taken apart.
+    low = F.lower(whole)
+    some = reduce(lambda a, b: a | b, [low.contains(w) for w in anchors()])
+    none = F.array().cast("array<int>")
+    docs = docs.withColumn("sentences", F.when(some, _numbers(whole)).otherwise(none))
+    flowing = F.when(some, _numbers(F.translate(whole, "\n\r", "  "))).otherwise(none)
     sequences = [F.concat(F.lit(","), F.array_join(s, ","), F.lit(",")) for s in (F.col("sentences"), flowing)]
     both = F.concat(sequences[0], F.lit("|"), sequences[1])
     rules = F.array(*(F.struct(F.lit(name).alias("name"), F.lit("," + ",".join(map(str, r)) + ",").alias("rule")) for name, r in RULES))
