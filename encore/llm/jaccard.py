@@ -3,15 +3,16 @@
 A text is its set of word shingles, kept as 64-bit hashes. The hashes are dealt into groups and the group counts are a
 point; the sum of the coordinates' minima of two points bounds the sets' overlap from above, and so do a point and a
 box. Sets are first made one per class of equal sets. Two similar sets differ in few shingles: dealt into one part more
-than they can differ in, they have some part in common, so the join meets only sets that share a part. What meets is
-gathered into boxes of an R-tree (packed by size, then by position), boxes that can hold similar sets are compared, and
-surviving pairs are verified on the sets. A set that is linked already is not compared again, so no group is
-multiplied out.
+than they can differ in, they have some part in common, so the join meets only sets that share a part. The points of sets
+that share one become an R-tree, boxes that can hold similar sets are searched, and what survives is one group. The sets of a
+group, in blocks of bounded size, are searched the same way and verified. A set that is reached already is not compared again,
+so no group is multiplied out.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
@@ -21,10 +22,15 @@ from pyspark.sql import functions as F
 
 from encore.llm.common import LOWER, components, map_rows, saved
 
-#: Groups of the count vector, entries of a box, and shingles in a block of sets (a longer set is a block).
-GROUPS = 32
+#: Groups of the count vector at least and at most, entries of a box, and shingles in a block of sets (a longer set is a
+#: block).
+GROUPS, MOST_GROUPS = 32, 512
+#: Rows of a part, and rows of several parts, that a task searches at most, about.
+MEMBERS, MET = 25_000, 20_000
 NODE = 32
-BLOCK = 1_000_000
+BLOCK = 2_000_000
+#: Sizes of a band, as the ratio of its ends.
+BAND = 1.6
 #: Fixed size of the table by which texts are chosen that may be candidates.
 MARKS = 1 << 20
 _MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
@@ -32,7 +38,7 @@ _MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B
 
 class _Hashes(dict):
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 400_000:
+        if len(self) > 200_000:
             self.clear()
         made = self[word] = xxhash.xxh3_64_intdigest(word)
         return made
@@ -75,46 +81,91 @@ class Threshold:
         return 100 * both >= self.percent * (a + b - both)
 
     def bands(self, size: int) -> list[int]:
-        """The bands that a set's parts are made for: its own, and the one below if similar sets may lie there."""
-        own = int(math.log(size) / math.log(1.5) + 1e-9)
-        least = math.ceil(size * self.percent / 100)
-        below = int(math.log(max(least, 1)) / math.log(1.5) + 1e-9)
-        return list(range(below, own + 1))
+        """The bands that a set's parts are made for: its own, and those below where smaller similar sets may lie."""
+        least = -(-self.percent * size // 100)
+        return list(range(self.band(least), self.band(size) + 1))
 
-    def parts(self, band: int) -> int:
-        """One more than the shingles that two similar sets, the smaller one in the band, differ in."""
-        return self.differ(math.ceil(1.5 ** (band + 1))) + 1
+    def band(self, size: int) -> int:
+        return int(math.log(max(size, 1)) / math.log(BAND) + 1e-9)
+
+    def parts(self, band: int) -> tuple[int, int]:
+        """The shingles that two similar sets, the smaller one in the band, differ in at most; and the number of parts, which
+        is larger by a few, as some parts are empty."""
+        differ = self.differ(math.ceil(BAND ** (band + 1)))
+        return differ, differ + 2 + differ // 30
 
 
 def signatures(hashes: np.ndarray, threshold: Threshold) -> np.ndarray:
-    """For each band and part, one number for the shingles that fall there."""
+    """For each band and part, one number for the shingles that fall there.
+
+    Similar sets agree in all parts but those that hold a shingle of one alone. A set leaves out its empty parts where it
+    has so few that some full part must be among those that agree; of two similar sets that meet nowhere else, both
+    have kept theirs.
+    """
     out = []
     mixed = _spread(hashes * _MIX[0])
     for band in threshold.bands(len(hashes)):
-        k = threshold.parts(band)
+        differ, k = threshold.parts(band)
+        differ = min(differ, threshold.differ(len(hashes)))
         part = (mixed % np.uint64(k)).astype(np.int64)
         order = np.argsort(part, kind="stable")
         start = np.searchsorted(part[order], np.arange(k))
         sums = np.add.reduceat(np.append(mixed[order] * _MIX[2] ^ (mixed[order] >> np.uint64(7)), np.uint64(0)), start)
-        sums[np.append(start[1:], len(hashes)) == start] = 0
-        out.append(_spread(sums ^ _spread(np.arange(k, dtype=np.uint64) + np.uint64(band << 32) + np.uint64(1))))
+        empty = np.append(start[1:], len(hashes)) == start
+        sums[empty] = 0
+        made = _spread(sums ^ _spread(np.arange(k, dtype=np.uint64) + np.uint64(band << 32) + np.uint64(1)))
+        out.append(made[~empty] if empty.sum() < k - differ else made)
     return np.concatenate(out)
 
 
-def counts(hashes: np.ndarray) -> np.ndarray:
+def counts(hashes: np.ndarray, groups: int = GROUPS) -> np.ndarray:
     """The point: how many hashes fall into each group."""
-    return np.bincount((hashes >> np.uint64(40)).astype(np.int64) % GROUPS, minlength=GROUPS)
+    return np.bincount((hashes >> np.uint64(40)).astype(np.int64) % groups, minlength=groups).astype(np.int32)
+
+
+def _fitting(size: float) -> int:
+    """About as many groups as a set has shingles, by eight: fewer bound the overlap loosely, more cost more than they tell."""
+    groups = GROUPS
+    while groups < MOST_GROUPS and groups * 8 < size:
+        groups *= 2
+    return groups
+
+
+def _folded(points: list[np.ndarray]) -> np.ndarray:
+    """Points of one number of groups: a larger number is a multiple, and its counts add up to those of the smaller."""
+    groups = min(map(len, points))
+    return np.array([p if len(p) == groups else p.reshape(-1, groups).sum(0) for p in points])
 
 
 def _overlap(a: np.ndarray, b: np.ndarray) -> int:
-    return len(np.intersect1d(a, b, assume_unique=True))
+    """Of sorted sets, how much they share."""
+    if len(a) > len(b):
+        a, b = b, a
+    return int((b[np.minimum(np.searchsorted(b, a), len(b) - 1)] == a).sum())
+
+
+def packed(points: np.ndarray) -> np.ndarray:
+    """An order in which points near each other stand together: halves along what varies most, size or a coordinate, down to
+    leaves of ``NODE``; but for the last, leaves are full."""
+    sized = np.column_stack((points.sum(1), points))
+    out, waiting = [np.zeros(0, np.int64)], [np.arange(len(points))]
+    while waiting:
+        some = waiting.pop()
+        if len(some) <= NODE:
+            out.append(some)
+            continue
+        part = sized[some]
+        order = some[np.argsort(part[:, part.var(0).argmax()], kind="stable")]
+        half = -(-(len(some) // 2) // NODE) * NODE
+        waiting += [order[half:], order[:half]]
+    return np.concatenate(out)
 
 
 class Tree:
-    """An R-tree packed by size and the first groups' counts: points in leaves of ``NODE``, boxes above them."""
+    """An R-tree: points in leaves of ``NODE``, boxes above them."""
 
     def __init__(self, points: np.ndarray) -> None:
-        order = np.lexsort((points[:, 1], points[:, 0], points.sum(1)))
+        order = packed(points)
         self.order, self.points = order, points[order]
         self.levels = []
         low, high = self.points, self.points
@@ -147,11 +198,20 @@ def links(ids: np.ndarray, sets: list[np.ndarray], side: np.ndarray, threshold:
     Searches spread from set to set; a set leaves the tree when it is reached. Sets of the second block are reached
     from any set but start no search among themselves.
     """
-    points = np.array([counts(s) for s in sets]).reshape(len(sets), GROUPS)
+    groups = _fitting(4 * sum(map(len, sets)) / max(len(sets), 1))
+    points = np.array([counts(s, groups) for s in sets]).reshape(len(sets), groups)
+
+    def similar(x: int, y: int) -> bool:
+        return bool(threshold.linked(_overlap(sets[x], sets[y]), len(sets[x]), len(sets[y])))
+
+    return [(int(ids[x]), int(ids[y])) for x, y in _searches(points, side, threshold, similar)]
+
+
+def _searches(points: np.ndarray, side: np.ndarray, threshold: Threshold, similar: Callable[[int, int], bool]) -> list[tuple[int, int]]:
     tree = Tree(points)
-    alive = np.ones(len(sets), bool)
-    where = np.empty(len(sets), np.int64)
-    where[tree.order] = np.arange(len(sets))
+    alive = np.ones(len(points), bool)
+    where = np.empty(len(points), np.int64)
+    where[tree.order] = np.arange(len(points))
     second = side[tree.order] == 1
     out = []
     for first in np.flatnonzero(side == 0):
@@ -164,21 +224,47 @@ def links(ids: np.ndarray, sets: list[np.ndarray], side: np.ndarray, threshold:
             near = tree.search(points[x], threshold, alive & ~second if side[x] else alive)
             for at in near:
                 y = tree.order[at]
-                both = _overlap(sets[x], sets[y])
-                if threshold.linked(both, len(sets[x]), len(sets[y])):
+                if similar(x, y):
                     alive[at] = False
-                    out.append((int(ids[x]), int(ids[y])))
+                    out.append((x, y))
                     reached.append(y)
     return out
 
 
+def _survivors(frame: pd.DataFrame, threshold: Threshold) -> list[tuple[int, int]]:
+    """Pairs of classes, of rows (sign, class, point) of shared parts, whose points allow a link: enough to connect what such
+    pairs connect."""
+    frame = frame.drop_duplicates(["sign", "class"]).sort_values(["sign", "class"])
+    classes = frame["class"].to_numpy()
+    firsts = np.flatnonzero(np.append(True, np.diff(frame["sign"].to_numpy()) != 0))
+    known = {}
+    for c, p in zip(classes.tolist(), frame["point"], strict=True):
+        if c not in known:
+            known[c] = np.frombuffer(p, "<u2").astype(np.int32)
+    out, done = set(), set()
+    for members in np.split(classes, firsts[1:]):
+        key = tuple(members.tolist())
+        if len(key) < 2 or key in done:  # many parts are shared by the same sets
+            continue
+        done.add(key)
+        points = _folded([known[c] for c in key])
+        if len(key) == 2:
+            a, b = points
+            if threshold.linked(np.minimum(a, b).sum(), a.sum(), b.sum()):
+                out.add(key)
+        else:
+            found = _searches(points, np.zeros(len(key), int), threshold, lambda x, y: True)
+            out.update((key[x], key[y]) for x, y in found)
+    return sorted(out)
+
+
 def _class(hashes: np.ndarray) -> int | None:
     """A number for a set; equal sets have the same."""
     return xxhash.xxh3_64_intdigest(hashes.tobytes()) - (1 << 63) if len(hashes) else None
 
 
 def join(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 3, percent: int = 90, block: int = BLOCK
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80, block: int = BLOCK
 ) -> DataFrame:
     """``doc_id``, ``n_shingles`` and ``component_id`` of every row of ``docs``.
 
@@ -196,17 +282,19 @@ def join(
         def work(texts):
             sets = [shingles(t, width, known) for t in texts]
             signs = [signatures(s, threshold).astype(np.int64) if len(s) and threshold.differ(len(s)) else () for s in sets]
-            return {"n": [len(s) for s in sets], "class": [_class(s) for s in sets], "signs": signs}
+            points = [counts(s, _fitting(len(s))).clip(max=65535).astype("<u2").tobytes() for s in sets]
+            return {"n": [len(s) for s in sets], "class": [_class(s) for s in sets], "signs": signs, "point": points}
 
         return work
 
-    made = saved(map_rows(rows, ["t"], "n long, class long, signs array<long>", make).drop("t"), "shingles")
+    made = saved(map_rows(rows, ["t"], "n long, class long, signs array<long>, point binary", make).drop("t"), "shingles")
     whole = made.where("class is not null and id is not null")
     # One exchange for both uses. A text has many parts, so even copies of one text are a small share of any part's rows.
     parts = whole.select("class", F.explode("signs").alias("sign")).repartition("sign")
-    meets = parts.groupBy("sign").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low < high")
-    met = parts.join(meets.select("sign", "low"), "sign").where("class <> low").select("class", "low").distinct()
-    groups = components(met, "class", "low").select(F.col("node").alias("class"), F.col("root").alias("group"))
+    meets = parts.groupBy("sign").agg(F.min("class").alias("low"), F.max("class").alias("high"), F.count("*").alias("rows"))
+    meets = meets.where("low < high").select("sign", F.ceil(F.col("rows") / MEMBERS).alias("cuts"))
+    met = saved(parts.join(meets, "sign").select("sign", "class", "cuts"), "met")
+    groups = components(_near(met, whole, threshold), "class", "low").select(F.col("node").alias("class"), F.col("root").alias("group"))
     # One text for each class that met another.
     texts = whole.select("class", "n", "id").join(groups, "class").groupBy("class", "group", "n").agg(F.min("id").alias("id"))
     roots = components(_links(rows, saved(texts, "groups"), width, threshold, block))
@@ -214,12 +302,30 @@ def join(
     found = saved(found.select("class", F.coalesce("root", "class").alias("root"), "id"), "classes")
     least = found.groupBy("root").agg(F.min("id").alias("component_id"))
     members = found.join(least, "root").select("class", "component_id")
-    return made.drop("signs").join(members, "class", "left").select(
+    return made.drop("signs", "point").join(members, "class", "left").select(
         F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"),
         F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id")).alias("component_id"),
     )
 
 
+def _near(met: DataFrame, whole: DataFrame, threshold: Threshold) -> DataFrame:
+    """Links (class, low) between classes that share a part and whose points allow a link, enough to connect what these
+    connect. Parts share tasks; a part with very many rows is cut, and any two cuts of it meet in a task."""
+    tasks = met.count() // MET + 1
+    cut = F.pmod(F.xxhash64("class"), F.col("cuts"))
+    rows = met.withColumn("cut", cut).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("cuts") - 1)))
+    pair = F.concat_ws("/", "sign", F.least("cut", "other"), F.greatest("cut", "other"))
+    task = F.when(F.col("cuts") == 1, F.pmod(F.xxhash64("sign"), F.lit(tasks)).cast("string")).otherwise(pair)
+    # A class has one point, whichever of its rows it is taken from.
+    points = whole.select("class", "point").join(met.select("class").distinct(), "class", "left_semi").dropDuplicates(["class"])
+    placed = rows.select("sign", "class", task.alias("task")).join(points, "class")
+
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame(_survivors(frame, threshold), columns=["low", "class"], dtype="int64")
+
+    return placed.groupBy("task").applyInPandas(run, "low long, class long")
+
+
 def _links(rows: DataFrame, texts: DataFrame, width: int, threshold: Threshold, block: int) -> DataFrame:
     """Verified links between the classes of each group, enough to connect what is connected.
 

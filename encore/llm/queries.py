@@ -55,7 +55,7 @@ def op2_personal(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents that share nine tenths of their three-word shingles."""
-    return jaccard.join(table(spark, sf_dir, "documents"))
+    return jaccard.join(table(spark, sf_dir, "documents"), width=3, percent=90)
 
 
 def op8_pages(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -44,7 +44,7 @@ def test_stages(stages, spark, sf):
     kept = [i for i in before if labels.get(i) == 1]
     assert sum(i in good for i in kept) >= 0.97 * len(kept)
     once = rows(stages["near_duplicates"])
-    expected = components([(i, r.text) for i, r in good.items()])
+    expected = components([(i, r.text) for i, r in good.items()], 80, 5)
     assert set(once) == {i for i in good if expected[i][1] == i}
     clean = rows(stages["decontamination"])
     assert set(clean) <= set(once) and len(clean) < len(once)
