@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from encore.session import work_dir
+from encore.session import importable, saved  # noqa: F401
 
+SLICE = 1000
 #: Lower-cases A-Z and keeps every other byte.
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
@@ -21,13 +22,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def saved(df: DataFrame, purpose: str) -> DataFrame:
-    """``df`` written to the shared folder and read again: what follows never computes it twice, also after a loss."""
-    path = work_dir(df.sparkSession, purpose)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def fold(key: Column | str, folds: int) -> Column:
     """crc32 of the key's decimal text, modulo ``folds``; null for a null key."""
     key = F.col(key) if isinstance(key, str) else key
@@ -39,6 +33,13 @@ def fresh(name: str) -> str:
     return f"{name}_{uuid.uuid4().hex[:8]}"
 
 
+def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A thousand rows at a time, so that a worker holds few texts as objects."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, SLICE):
+            yield batch.slice(at, SLICE)
+
+
 def map_rows(
     df: DataFrame, columns: list[str], schema: str | T.StructType, make: Callable[[], Callable[..., dict]]
 ) -> DataFrame:
@@ -55,13 +56,14 @@ def map_rows(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()
-        for batch in batches:
+        for batch in slices(batches):
             made = work(*(batch.column(c).to_pylist() for c in columns))
             arrays = [batch.column(c) for c in kept_names]
             arrays = [a if a.type == f.type else a.cast(f.type) for a, f in zip(arrays, arrow, strict=False)]
             arrays += [pa.array(made[f.name], arrow.field(f.name).type) for f in new]
             yield pa.RecordBatch.from_arrays(arrays, schema=arrow)
 
+    importable(df.sparkSession)
     return df.mapInArrow(run, out)
 
 
@@ -74,6 +76,7 @@ def map_batches(df: DataFrame, schema: str | T.StructType, run: Callable[[Iterat
         for made in run(batches):
             yield pa.RecordBatch.from_arrays([pa.array(made[f.name], f.type) for f in arrow], schema=arrow)
 
+    importable(df.sparkSession)
     return df.mapInArrow(go, out)
 
 

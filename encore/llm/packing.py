@@ -19,7 +19,7 @@ import pyspark
 from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
 
-from encore.llm.common import map_batches
+from encore.llm.common import slices, map_batches
 
 LENGTH = 4096
 END = 2
@@ -107,7 +107,7 @@ class Encoder:
 
 @lru_cache(maxsize=2)
 def encoder(path: str) -> Encoder:
-    """One for each worker process, so that tasks share what it remembers."""
+    """One for each worker process; the tokenizer is read once."""
     return Encoder(path)
 
 
@@ -219,7 +219,7 @@ def pack(
                     column.append(value)
             sequence += 1
 
-        for batch in batches:
+        for batch in slices(batches):
             keys, texts = batch.column("i").to_pylist(), batch.column("t").to_pylist()
             bear = batch.column("l").to_pylist() if loss else [True] * len(keys)
             for key, ids, bears in zip(keys, encode.encode(texts), bear, strict=True):
@@ -233,6 +233,7 @@ def pack(
             out = {n: [] for n in names}
         for pieces in packer.rest():
             put(pieces)
+        encode.forget()  # the worker goes on to other tasks
         yield out
 
     return map_batches(chosen, schema, run)
