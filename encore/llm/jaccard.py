@@ -289,16 +289,19 @@ def join(
 
     made = saved(map_rows(rows, ["t"], "n long, class long, signs array<long>, point binary", make).drop("t"), "shingles")
     whole = made.where("class is not null and id is not null")
-    # One exchange for both uses. A text has many parts, so even copies of one text are a small share of any part's rows.
-    parts = whole.select("class", F.explode("signs").alias("sign")).repartition("sign")
+    # From here on copies are one row, combined before they are sent.
+    one = whole.groupBy("class").agg(F.min("id").alias("id"), *(F.first(c).alias(c) for c in ("n", "signs", "point")))
+    one = saved(one, "one")
+    # One exchange for both uses.
+    parts = one.select("class", F.explode("signs").alias("sign")).repartition("sign")
     meets = parts.groupBy("sign").agg(F.min("class").alias("low"), F.max("class").alias("high"), F.count("*").alias("rows"))
     meets = meets.where("low < high").select("sign", F.ceil(F.col("rows") / MEMBERS).alias("cuts"))
     met = saved(parts.join(meets, "sign").select("sign", "class", "cuts"), "met")
-    groups = components(_near(met, whole, threshold), "class", "low").select(F.col("node").alias("class"), F.col("root").alias("group"))
+    groups = components(_near(met, one, threshold), "class", "low").select(F.col("node").alias("class"), F.col("root").alias("group"))
     # One text for each class that met another.
-    texts = whole.select("class", "n", "id").join(groups, "class").groupBy("class", "group", "n").agg(F.min("id").alias("id"))
+    texts = one.select("class", "n", "id").join(groups, "class")
     roots = components(_links(rows, saved(texts, "groups"), width, threshold, block))
-    found = whole.select("class", "id").groupBy("class").agg(F.min("id").alias("id")).join(roots, F.col("class") == F.col("node"), "left")
+    found = one.select("class", "id").join(roots, F.col("class") == F.col("node"), "left")
     found = saved(found.select("class", F.coalesce("root", "class").alias("root"), "id"), "classes")
     least = found.groupBy("root").agg(F.min("id").alias("component_id"))
     members = found.join(least, "root").select("class", "component_id")
@@ -308,16 +311,15 @@ def join(
     )
 
 
-def _near(met: DataFrame, whole: DataFrame, threshold: Threshold) -> DataFrame:
+def _near(met: DataFrame, one: DataFrame, threshold: Threshold) -> DataFrame:
     """Links (class, low) between classes that share a part and whose points allow a link, enough to connect what these
-    connect. Parts share tasks; a part with very many rows is cut, and any two cuts of it meet in a task."""
+    connect. Parts share tasks; a part of very many classes is cut, and any two cuts of it meet in a task."""
     tasks = met.count() // MET + 1
     cut = F.pmod(F.xxhash64("class"), F.col("cuts"))
     rows = met.withColumn("cut", cut).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("cuts") - 1)))
     pair = F.concat_ws("/", "sign", F.least("cut", "other"), F.greatest("cut", "other"))
     task = F.when(F.col("cuts") == 1, F.pmod(F.xxhash64("sign"), F.lit(tasks)).cast("string")).otherwise(pair)
-    # A class has one point, whichever of its rows it is taken from.
-    points = whole.select("class", "point").join(met.select("class").distinct(), "class", "left_semi").dropDuplicates(["class"])
+    points = one.select("class", "point").join(met.select("class").distinct(), "class", "left_semi")
     placed = rows.select("sign", "class", task.alias("task")).join(points, "class")
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:

@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 from helpers import Union, documents
+from pyspark.sql import functions as F
 
 from encore.llm import common, jaccard, queries
 
@@ -115,3 +116,21 @@ def test_components(spark):
     got = {r.node: r.root for r in common.components(spark.createDataFrame(edges, "a long, b long")).collect()}
     linked = {x for a, b in edges if a is not None and a != b for x in (a, b)}
     assert got == {x: union.root(x) for x in linked}
+
+
+def test_copies_travel_once(spark, monkeypatch):
+    """The part join takes classes: copies of a text, which share each part, are one row there."""
+    words = [f"w{i}" for i in range(40)]
+    rows = [(i, " ".join(words)) for i in range(300)] + [(1000, " ".join([*words, "x"])), (2000, "something else")]
+    met, near = [], jaccard._near
+
+    def seen(some, *more):
+        met.extend(some.groupBy("sign").count().collect())
+        met.extend(some.select("sign", F.col("cuts").alias("count")).collect())
+        return near(some, *more)
+
+    monkeypatch.setattr(jaccard, "_near", seen)
+    monkeypatch.setattr(jaccard, "MEMBERS", 100)
+    got = {r.doc_id: r.component_id for r in jaccard.join(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {**dict.fromkeys(range(300), 0), 1000: 0, 2000: 2000}
+    assert met and max(r["count"] for r in met) == 2
