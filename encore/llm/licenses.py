@@ -75,6 +75,12 @@ RULES = [
 _END, _BETWEEN = "[.!?;:][ \\t]+", "[^a-z0-9\\n]+"
 
 
+#: Lines that stand apart from sentences that run over lines: those without words or numbers, and copyright lines (no
+#: sentence goes on with such a word and a year, but some do with "copyright notice" and "copyright holder").
+_BLANK_LINE = "\\n[^a-z0-9\\n]*(?=\\n)"
+_COPYRIGHT_LINE = "(?m)^[^a-z0-9\\n]*(?:copyright(?![ \\t]+(?:notice|holder))|\\(c\\)|\u00a9)[^\\n]*$"
+
+
 def normalised(sentence: str) -> str:
     """Lower-case words and numbers with one blank between them."""
     return re.sub("[^a-z0-9]+", " ", sentence.lower()).strip()
@@ -102,13 +108,21 @@ def _numbers(text: Column) -> Column:
     return F.filter(F.transform(pieces, lambda s: F.try_element_at(table, s)), lambda n: n.isNotNull())
 
 
+def _paragraphs(text: Column) -> Column:
+    """The known sentences of a text whose sentences run over lines but not over blank lines and copyright lines."""
+    lines = F.regexp_replace(F.lower(text), "\r\n?", "\n")
+    apart = F.regexp_replace(lines, _COPYRIGHT_LINE, "\n$0\n")
+    return _numbers(F.translate(F.regexp_replace(apart, _BLANK_LINE, ". "), "\n", " "))
+
+
 def recognise(docs: DataFrame, text: str = "text") -> DataFrame:
     """Every row of ``docs`` with ``sentences`` and ``licenses``, which replace columns of the same names.
 
     ``sentences`` are the numbers of the known sentences in order, unknown ones between them left out; ``licenses`` the
     sorted names whose rules, as whole sequences, occur in them. Line breaks end sentences; for texts with sentences that
-    run over lines the rules are matched a second time with line breaks taken as blanks. Null and empty texts have none
-    of both. Only Spark's functions are used and nothing is shuffled; rows are judged one by one and whole.
+    run over lines the rules are matched a second time with line breaks taken as blanks, and a third time with those taken
+    as ends that part paragraphs or stand around a copyright line. Null and empty texts have none of
+    both. Only Spark's functions are used and nothing is shuffled; rows are judged one by one and whole.
     """
     whole = F.coalesce(F.col(text), F.lit(""))
     # A text without any of the words that known sentences need is not taken apart.
@@ -116,13 +130,23 @@ def recognise(docs: DataFrame, text: str = "text") -> DataFrame:
     some = reduce(lambda a, b: a | b, [low.contains(w) for w in anchors()])
     none = F.array().cast("array<int>")
     docs = docs.withColumn("sentences", F.when(some, _numbers(whole)).otherwise(none))
-    flowing = F.when(some, _numbers(F.translate(whole, "\n\r", "  "))).otherwise(none)
-    sequences = [F.concat(F.lit(","), F.array_join(s, ","), F.lit(",")) for s in (F.col("sentences"), flowing)]
-    both = F.concat(sequences[0], F.lit("|"), sequences[1])
-    rules = F.array(*(F.struct(F.lit(name).alias("name"), F.lit("," + ",".join(map(str, r)) + ",").alias("rule")) for name, r in RULES))
-    hits = F.filter(rules, lambda r: both.contains(r["rule"]))
-    # Most texts have no known sentence: their rules are not tried.
-    found = F.when(F.length(both) > 5, F.array_sort(F.array_distinct(F.transform(hits, lambda r: r["name"]))))
+    # Without line breaks all three are the same.
+    lines = some & (whole.contains("\n") | whole.contains("\r"))
+    flowing = F.when(lines, _numbers(F.translate(whole, "\n\r", "  "))).otherwise(none)
+    paragraphs = F.when(lines, _paragraphs(whole)).otherwise(none)
+    told = F.concat_ws("|", *(F.concat(F.lit(","), F.array_join(s, ","), F.lit(",")) for s in (F.col("sentences"), flowing, paragraphs)))
+    # Two sentences of the same words have one number, also where a rule names the other.
+    same = {number: _known()[normalised(told)] for number, told in SENTENCES.items()}
+    ordered = [(name, "," + ",".join(str(same[n]) for n in r) + ",") for name, r in RULES]
+    rules = F.array(*(F.struct(F.lit(name).alias("name"), F.lit(rule).alias("rule")) for name, rule in ordered))
+
+    def names(t: Column) -> Column:
+        # Most texts have no known sentence: their rules are not tried.
+        hits = F.filter(rules, lambda r: t.contains(r["rule"]))
+        return F.when(F.length(t) > 8, F.array_sort(F.array_distinct(F.transform(hits, lambda r: r["name"]))))
+
+    # Bound once: else the text would be taken apart anew for each rule.
+    found = F.transform(F.array(told), names)[0]
     return docs.withColumn("licenses", F.coalesce(found, F.array().cast("array<string>")))
 
 

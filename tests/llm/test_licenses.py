@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import textwrap
+
 import pytest
 from compare import difference, oracle_connection
 from helpers import documents
@@ -32,3 +34,30 @@ def test_cases(spark):
     assert [r.licenses for r in rows] == list(cases.values())
     assert licenses.recognise(df.limit(0)).count() == 0
     assert [f for f in licenses.recognise(df).columns if f == "licenses"] == ["licenses"]
+
+
+def test_whole_wrapped_texts(spark):
+    said = licenses.SENTENCES
+    wrap = lambda *numbers, mark="", **more: textwrap.fill(mark + " ".join(said[i] for i in numbers), 78, **more)
+    mit = [wrap(1), wrap(2), wrap(3, 4).upper()]
+    bsd = [wrap(10), *(wrap(i, mark=f"{i - 10}. ", subsequent_indent="   ") for i in (11, 12, 13))]
+    gpl = wrap(31, 32)
+    mine = "Copyright (c) 2020 Jane Doe"
+    hashes = lambda text: "\n".join(f"# {x}".rstrip() for x in text.split("\n"))
+    cases = {
+        "\n\n".join(["MIT License", mine, *mit]) + "\n": ["MIT"],
+        "\r\n\r\n".join(["MIT License", mine, *mit]).replace("\r\n", "\n").replace("\n", "\r\n"): ["MIT"],
+        "\n".join(["The MIT License (MIT)", mine, *mit]): ["MIT"],
+        "\n \n".join(["The MIT License (MIT)\n=====================\n" + mine.replace("Copyright (c)", "\u00a9"), *mit]): ["MIT"],
+        "\n\n".join([mine, *bsd]): ["BSD-3-Clause", "BSD-like"],
+        "\n\n".join([f"{mine}\nAll rights reserved.", *bsd]): ["BSD-3-Clause", "BSD-like", "proprietary"],
+        "\n\n".join([f"frob - frobs\n{mine}", gpl, "more of it"]): ["GPL-3.0-or-later"],
+        hashes("\n\n".join([f"frob - frobs\n{mine}", gpl, "more of it"])): ["GPL-3.0-or-later"],
+        # Sentences that are broken before "copyright", and one that goes on behind a blank line.
+        "\n\n".join([mine, *mit]).replace(" copyright", "\ncopyright").replace(" COPYRIGHT", "\nCOPYRIGHT"): ["MIT"],
+        gpl.replace(" ", "\n\n"): ["GPL-3.0-or-later"],
+        "\n\n".join([mine, *mit[:2]]): [],
+        "\n" * 100_000 + "x": [],
+    }
+    rows = sorted(licenses.recognise(documents(spark, list(cases))).collect(), key=lambda r: r.doc_id)
+    assert [r.licenses for r in rows] == list(cases.values())
