@@ -20,19 +20,22 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def keep_one(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of every group of near copies the document with the smallest id.
 
-    Repeated rows count as copies; rows without an id or without words stay. Texts are shuffled only where a table of
+    Repeated rows count as copies; rows without an id or without words stay. Rows of one id with different texts are judged
+    each by its own text. Texts are shuffled only where a table of
     fixed size tells that their id may be one to drop or to look at twice.
     """
     docs = docs.select(DOCUMENT)
-    found = saved(jaccard.join(docs), "components")
-    rows = found.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("rows"), F.min("component_id").alias("component_id"))
+    found = saved(jaccard.join(docs, key="key"), "components")
+    rows = found.where("doc_id is not null").groupBy("doc_id", "key").agg(F.count("*").alias("rows"), F.min("component_id").alias("component_id"))
     touched = saved(rows.where("rows > 1 or component_id <> doc_id"), "touched")
-    mark = F.pmod(F.xxhash64("doc_id"), F.lit(jaccard.MARKS))
+    # None for rows without an id, so they are clear.
+    mark = F.when(F.col("doc_id").isNotNull(), F.pmod(F.xxhash64("doc_id"), F.lit(jaccard.MARKS)))
     marks = F.broadcast(touched.select(mark.alias("mark")).distinct())  # at most MARKS rows
     marked = docs.withColumn("mark", mark)
     clear = marked.join(marks, "mark", "left_anti").drop("mark")
     looked = marked.join(marks, "mark", "left_semi").drop("mark")
-    looked = looked.join(touched.where("component_id <> doc_id").select("doc_id"), "doc_id", "left_anti")
+    gone = touched.where("component_id <> doc_id").select("doc_id", "key")
+    looked = looked.withColumn("key", F.xxhash64("text")).join(gone, ["doc_id", "key"], "left_anti").drop("key")
     return clear.unionByName(looked.dropDuplicates(["doc_id", "text"])).select(DOCUMENT)
 
 

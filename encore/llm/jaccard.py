@@ -264,9 +264,11 @@ def _class(hashes: np.ndarray) -> int | None:
 
 
 def join(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80, block: int = BLOCK
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80, block: int = BLOCK,
+    key: str | None = None,
 ) -> DataFrame:
-    """``doc_id``, ``n_shingles`` and ``component_id`` of every row of ``docs``.
+    """``doc_id``, ``n_shingles`` and ``component_id`` of every row of ``docs``, and the ``xxhash64`` of its text under the name
+    ``key`` if given.
 
     Two texts are linked if their sets of shingles share at least ``percent`` of their union; a component's id is the
     smallest ``doc_id`` that links reach. Texts without words (null, empty) are linked with nothing, nor are rows without an
@@ -275,6 +277,7 @@ def join(
     """
     threshold = Threshold(percent)
     rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("t"))
+    keyed = rows.withColumn("key", F.xxhash64("t")) if key else rows
 
     def make():
         known = _Hashes()
@@ -287,7 +290,7 @@ def join(
 
         return work
 
-    made = saved(map_rows(rows, ["t"], "n long, class long, signs array<long>, point binary", make).drop("t"), "shingles")
+    made = saved(map_rows(keyed, ["t"], "n long, class long, signs array<long>, point binary", make).drop("t"), "shingles")
     whole = made.where("class is not null and id is not null")
     # From here on copies are one row, combined before they are sent.
     one = whole.groupBy("class").agg(F.min("id").alias("id"), *(F.first(c).alias(c) for c in ("n", "signs", "point")))
@@ -308,6 +311,7 @@ def join(
     return made.drop("signs", "point").join(members, "class", "left").select(
         F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"),
         F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id")).alias("component_id"),
+        *([F.col("key").alias(key)] if key else []),
     )
 
 

@@ -14,7 +14,7 @@ from test_personal import plain
 from tokenizers import Tokenizer
 
 import __spark_entry__
-from encore.llm import packing, quality
+from encore.llm import jaccard, packing, quality
 
 
 def test_registered():
@@ -72,3 +72,13 @@ def test_odd_rows(spark, sf):
         assert stage(spark, docs, sf).columns == corpus_pipeline.DOCUMENT
         assert stage(spark, docs.limit(0), sf).count() == 0
     assert quality.THRESHOLD == 0.3
+
+
+def test_keep_one_judges_rows_by_their_texts(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "MARKS", 1)  # every id shares its mark with one that is looked at
+    near, other = (" ".join(f"{x}{i}" for i in range(60)) for x in "ab")
+    rows = [(1, near), (2, near + " x"), (2, other), (3, "of its own"), (3, "of its own"), (None, "same"), (None, "same"), (None, near)]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = corpus_pipeline.keep_one(spark, docs, "").collect()
+    kept = [(1, near), (2, other), (3, "of its own"), (None, "same"), (None, "same"), (None, near)]
+    assert sorted((str(r.doc_id), r.text) for r in got) == sorted((str(i), t) for i, t in kept)
