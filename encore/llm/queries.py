@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from encore.llm import backoff, decontaminate, embeddings, jaccard, language, licenses, packing, pages, personal, quality
+from encore.llm import backoff, decontaminate, embeddings, jaccard, language, licenses, packing, pages, personal, quality, variants
 from encore.llm.common import fold, table
 
 
@@ -80,6 +80,11 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
 
 
+def op13_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spelling variants of the words of all documents, some of which are damaged first."""
+    return variants.variants(table(spark, sf_dir, "documents"), every=variants.DAMAGE)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_licenses": op3_licenses,
     "op4_backoff": op4_backoff,
@@ -91,6 +96,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pages": op8_pages,
     "op9_decontamination": op9_decontamination,
     "op10_language": op10_language,
+    "op13_variants": op13_variants,
 }
 
 _BACKOFF = r"""
@@ -111,4 +117,4 @@ FROM p LEFT JOIN two USING (a, b) LEFT JOIN one USING (a) LEFT JOIN low USING (b
 GROUP BY doc_id
 """
 
-ORACLE: dict[str, str] = {"op3_licenses": licenses.oracle_sql(), "op4_backoff": _BACKOFF}
+ORACLE: dict[str, str] = {"op3_licenses": licenses.oracle_sql(), "op4_backoff": _BACKOFF, "op13_variants": variants.oracle_sql()}
