@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from collections.abc import Callable
 
 import pandas as pd
@@ -123,3 +125,27 @@ def sliding_stats(
             "sum_value",
         )
     )
+
+
+def sliding_panes(df: DataFrame, key: str, ts: str, value: str, size: int = 10, slide: int = 3) -> DataFrame:
+    """:func:`sliding_stats` of a batch, ``size`` and ``slide`` in whole seconds, by way of panes.
+
+    A pane is the greatest common divisor of both long, so every window is whole panes. Rows are first summed up per pane
+    and key (combined map-side), and only those sums go to the windows that hold them, each of which is combined again
+    before it is sent: what is shuffled is a row for a pane and key, not one for a row and window.
+    """
+    step = math.gcd(size, slide) * 1_000_000
+    micros = F.unix_micros(ts)
+    panes = df.where(F.col(ts).isNotNull()).groupBy((micros - F.pmod(micros, F.lit(step))).alias("_pane"), key).agg(
+        F.min(ts).alias("min_timestamp"), F.max(ts).alias("max_timestamp"), F.sum(value).alias("sum_value")
+    )
+    last = F.col("_pane") - F.pmod("_pane", F.lit(slide * 1_000_000))
+    steps = F.sequence(F.lit(0), F.lit(-(-size // slide) - 1))
+    placed = panes.withColumn("_start", F.explode(F.transform(steps, lambda i: last - i * slide * 1_000_000)))
+    placed = placed.where(F.col("_start") + size * 1_000_000 > F.col("_pane"))
+    return placed.groupBy("_start", key).agg(
+        F.min("min_timestamp").alias("min_timestamp"), F.max("max_timestamp").alias("max_timestamp"), F.sum("sum_value").alias("sum_value")
+    ).select(
+        F.timestamp_micros("_start").alias("window_start"), F.timestamp_micros(F.col("_start") + size * 1_000_000).alias("window_end"),
+        key, "min_timestamp", "max_timestamp", "sum_value",
+    )

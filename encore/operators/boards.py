@@ -23,6 +23,8 @@ PERIODS = ("all", "day", "week", "month")
 CLASSES = ("all", "special")
 ROLES = ("host", "user", "donor")
 SCOPES = ("all", "group")
+SIGN_UP = len(SCOPES)  # code of the scope of sign-up copies
+CODES = ["project", "board", "grp", "role", "owner", "date", "member"]  # a board and its member in codes
 UNIT = 10_000  # parts of a point that scores are summed up in
 
 
@@ -71,6 +73,7 @@ def _by_role(rows: DataFrame, roles) -> DataFrame:
         "project",
         "board_mask",
         grouped.alias("grouped"),
+        (F.col("flag") == 1).alias("signs"),
         F.when(grouped, F.col("qid")).otherwise("").alias("host"),
         "role",
         F.when(donor, F.col("qid")).otherwise("").alias("owner"),
@@ -98,19 +101,23 @@ def _by_board(rows: DataFrame, periods, classes, scopes) -> DataFrame:
     """One row per board a (role, date) row belongs to.
 
     The board is one small number, ``scope * 8 + family``, with the family counted as in
-    the mask: cheap to generate, filter and group by. :func:`_named` spells it out.
+    the mask: cheap to generate, filter and group by. :func:`named` spells it out.
     """
     families = [i for i, (p, c) in enumerate(BOARD_KEYS) if p in periods and c in classes]
-    codes = [SCOPES.index(s) * len(BOARD_KEYS) + i for s in scopes for i in families]
+    wanted = [SCOPES.index(s) for s in scopes] + ([SIGN_UP] if "pooled" in rows.columns else [])
+    codes = [scope * len(BOARD_KEYS) + i for scope in wanted for i in families]
     coded = rows.withColumn("board", F.explode(F.array(*[F.lit(code) for code in codes])))
-    family = F.col("board") % len(BOARD_KEYS)
-    grouped = F.col("board") >= len(BOARD_KEYS)
+    family, scope = F.col("board") % len(BOARD_KEYS), F.floor(F.col("board") / len(BOARD_KEYS))
+    grouped = scope == SCOPES.index("group")
     bit = F.expr(f"shiftright(board_mask, board % {len(BOARD_KEYS)})").bitwiseAND(F.lit(1))
     placed = coded.where((bit == 1) & ((family % 2 == 0) | F.col("special")) & (~grouped | (F.col("grp") != "")))
+    if "pooled" in rows.columns:
+        signed = F.col("pooled") & F.col("signs") & (F.col("role") != ROLES.index("donor"))
+        placed = placed.where((scope != SIGN_UP) | F.coalesce(signed, F.lit(False)))
     return placed.select(
         "project",
         "board",
-        F.when(F.col("board") >= len(BOARD_KEYS), F.col("grp")).otherwise("").alias("grp"),
+        F.when(grouped, F.col("grp")).otherwise("").alias("grp"),
         "role",
         "owner",
         _start(family, F.col("date")).alias("date"),
@@ -133,12 +140,12 @@ def _spell(code: Column, names) -> Column:
     return F.element_at(F.array(*[F.lit(n) for n in names]), (code + 1).cast("int"))
 
 
-def _named(rows: DataFrame) -> DataFrame:
-    """Codes to names, and the period's start date to its key."""
+def named(rows: DataFrame) -> DataFrame:
+    """Codes to names, parts to points, and the period's start date to its key."""
     family = F.col("board") % len(BOARD_KEYS)
     spelled = rows.select(
         "project",
-        _spell(F.floor(F.col("board") / len(BOARD_KEYS)), SCOPES).alias("scope"),
+        _spell(F.floor(F.col("board") / len(BOARD_KEYS)), [*SCOPES, "signUp"]).alias("scope"),
         "grp",
         _spell(F.col("role"), ROLES).alias("role"),
         "owner",
@@ -153,7 +160,7 @@ def _named(rows: DataFrame) -> DataFrame:
     return keyed.select(*SCORES, *[c for c in ("rank",) if c in rows.columns])
 
 
-def board_rows(
+def coded_rows(
     gifts: DataFrame,
     campaigns: DataFrame,
     host_group: DataFrame | None = None,
@@ -163,13 +170,23 @@ def board_rows(
     roles=ROLES,
     scopes=SCOPES,
     span: Span | None = None,
+    host_pool: DataFrame | None = None,
 ) -> DataFrame:
-    """Every (board, member, score) a gift adds to, without aggregating: up to 40 per campaign.
+    """Every (:data:`CODES`, score in parts) a gift adds to, without aggregating: up to 40 per campaign.
 
-    This is the form for a native streaming aggregate; a batch should call :func:`board_scores`.
+    With ``host_pool`` the sign-up copies are among them: rows of scope all, of hosts and users in the pool, in sign-up
+    campaigns. No row meets another, so this runs on a stream as it is; :func:`named` spells the codes out.
     """
     rows = _by_role(_weighted(gifts, campaigns, tz, periods, classes, span), roles)
-    return _named(_by_board(assign_groups(rows, host_group), periods, classes, scopes))
+    if host_pool is not None:
+        pool = host_pool.select("project", F.col("qid").alias("member"), F.lit(True).alias("pooled")).distinct()
+        rows = rows.join(pool, ["project", "member"], "left")
+    return _by_board(assign_groups(rows, host_group), periods, classes, scopes)
+
+
+def board_rows(gifts: DataFrame, campaigns: DataFrame, host_group: DataFrame | None = None, **which) -> DataFrame:
+    """:func:`coded_rows` under their names; a batch should call :func:`board_scores`."""
+    return named(coded_rows(gifts, campaigns, host_group, **which))
 
 
 def _finest(mask: Column, date: Column) -> Column:
@@ -222,7 +239,7 @@ def board_scores(
     # The most telling column first: sorts compare its 8-byte prefix before anything else.
     board = ["date", "board", "role", "project", "grp", "owner"]
     scores = placed.groupBy(*board, "member").agg(F.sum("score").alias("score"))
-    return _named(scores if top is None else top_k(scores, board, top))
+    return named(scores if top is None else top_k(scores, board, top))
 
 
 def restrict_to_pool(scores: DataFrame, host_pool: DataFrame, campaigns: DataFrame | None = None) -> DataFrame:

@@ -11,6 +11,7 @@ from encore.functions.calendar import local_date, minute_floor
 from encore.operators.asof import asof_category
 from encore.operators.campaigns import match_campaigns
 
+SKETCH = 12  # binary logarithm of a sketch's buckets
 SIGN_IN_MINUTES = 170
 # A local day touches at most 26 clock hours (25 in a long day, one more where the zone
 # is not a whole number of hours off), so hour number mod 26 never meets itself in a day.
@@ -110,6 +111,30 @@ def minutes_per_day_approx(beats: DataFrame, tz: str = "UTC", rsd: float = 0.01)
     )
 
 
+def minute_sketches(minutes: DataFrame, keys: tuple[str, ...] = KEYS, lg: int = SKETCH) -> DataFrame:
+    """The minutes of each (keys, day) as a sketch of at most ``2 ** lg`` buckets, which can be added to.
+
+    ``minutes`` are rows of :func:`expand_minutes`. A sketch has a bounded size however many minutes it has seen.
+    """
+    return minutes.groupBy(*keys, "day").agg(F.hll_sketch_agg("minute_u", lg).alias("sketch"))
+
+
+def merge_sketches(sketches: DataFrame, keys: tuple[str, ...] = KEYS) -> DataFrame:
+    """Sketches of the same (keys, day) as one, as if one had seen all minutes."""
+    return sketches.groupBy(*keys, "day").agg(F.hll_union_agg("sketch").alias("sketch"))
+
+
+def estimate_minutes(sketches: DataFrame, keys: tuple[str, ...] = KEYS, lg: int = SKETCH) -> DataFrame:
+    """What sketches tell: ``minutes``, and ``low`` and ``high``, between which the true number lies 997 times of a thousand.
+
+    The standard error is 1.04 over the root of the number of buckets; small sketches list what they have seen and
+    are exact but for collisions.
+    """
+    error = 3 * 1.04 / 2 ** (lg / 2)
+    told = sketches.select(*keys, "day", F.hll_sketch_estimate("sketch").alias("minutes"))
+    return told.withColumn("low", F.floor(F.col("minutes") / (1 + error))).withColumn("high", F.ceil(F.col("minutes") / (1 - error)))
+
+
 def signin_days(per_day: DataFrame, threshold: int = SIGN_IN_MINUTES, keys: tuple[str, ...] = KEYS) -> DataFrame:
     """(keys, day) of every day with at least ``threshold`` watched minutes."""
     return per_day.where(F.col("minutes") >= threshold).select(*keys, "day")

@@ -405,6 +405,14 @@ ORACLE: dict[str, str] = {
                 + cos(c.lat) * cos(p.lat) * sin((p.lon - c.lon) / 2) ** 2)) AS distance
               FROM p, (SELECT * FROM p WHERE place = 7) c)
         SELECT place, round(distance, 3) AS distance FROM d WHERE distance <= 1500""",
+    "geo_pairs": """
+        WITH p AS (SELECT c_custkey AS place, radians((c_custkey * 37) % 1700 / 10.0 - 85) AS lat,
+                     radians((c_custkey * 101) % 3600 / 10.0 - 180) AS lon FROM customer),
+        c AS (SELECT s_suppkey AS centre, radians((s_suppkey * 53) % 1801 / 10.0 - 90) AS lat,
+                radians(180 - (s_suppkey * 71) % 3600 / 10.0) AS lon FROM supplier),
+        d AS (SELECT c.centre, p.place, 2 * 6372.797560856 * asin(sqrt(sin((p.lat - c.lat) / 2) ** 2
+                + cos(c.lat) * cos(p.lat) * sin((p.lon - c.lon) / 2) ** 2)) AS distance FROM p, c)
+        SELECT centre, place, round(distance, 3) AS distance FROM d WHERE distance <= 400""",
     "top_donor_labels": _gift(
         """SELECT 'live:' || project || ':u2q' || CASE period WHEN 'day' THEN 'Dy' WHEN 'week' THEN 'Wk' WHEN 'month' THEN 'Mth' ELSE '' END
           || CASE gift_class WHEN 'all' THEN 'AlGf' ELSE 'SpecGf' END
@@ -416,9 +424,9 @@ ORACLE: dict[str, str] = {
     ),
     "source_text": """
         SELECT value, count(*) AS lines FROM (SELECT unnest(string_split(text, chr(10))) AS value FROM conversations)
-        WHERE NOT contains(value, chr(13)) GROUP BY value""",
+        GROUP BY value""",
     "source_json": "SELECT c_custkey, c_name, c_mktsegment FROM customer",
-    "source_catalog": "SELECT o_orderkey, o_custkey, o_orderpriority FROM orders WHERE o_custkey > 10",
+    "source_catalog": "SELECT o_orderkey, o_custkey, o_orderpriority FROM orders",
     "source_memory": """
         SELECT 'class ' || (c_nationkey % 5) AS label, count(*) AS customers FROM customer GROUP BY ALL""",
     "retention_filter": "SELECT event_id FROM events WHERE ts > TIMESTAMP '2024-01-24 00:00:00'",
@@ -427,10 +435,25 @@ ORACLE: dict[str, str] = {
     ),
     "stream_board_totals": _gift(f"SELECT * FROM scores WHERE {CAMPAIGN_BOARDS}"),
     "stream_day_peak": f"WITH {POP} SELECT project, host_id, strftime(day, '%Y%m%d') AS day, peak FROM peak",
+    "stream_top_lists": _gift(
+        "SELECT * FROM ranked WHERE rank <= 101 AND period IN ('all', 'month') AND role <> 'donor'", TOP
+    ),
+    "stream_expiring_clicks": """
+        WITH e AS (SELECT user_id::VARCHAR AS uid, epoch_us(ts) // 1000000 AS u, trunc(value)::BIGINT AS clicks FROM events),
+        g AS (SELECT *, coalesce(u - lag(u) OVER (PARTITION BY uid ORDER BY u) > 21600, false)::INT AS fresh FROM e),
+        r AS (SELECT *, sum(fresh) OVER (PARTITION BY uid ORDER BY u) AS run FROM g)
+        SELECT uid, sum(clicks)::BIGINT AS total, max(u) AS last_u FROM r
+        GROUP BY uid, run HAVING max(u) + 21600 >= (SELECT max(u) FROM e)
+        QUALIFY run = max(run) OVER (PARTITION BY uid)""",
     "stream_running_max": """
         SELECT user_id::VARCHAR AS uid, greatest(max(trunc(value)::INT), 0) AS best FROM events GROUP BY ALL""",
     "stream_word_count": f"WITH {_words('conversations')} SELECT value, count(*) AS count FROM word GROUP BY ALL",
     "stream_sliding": WINDOWS,
+    "sliding_panes": WINDOWS,
+    # Of so few minutes a sketch lists all, so its numbers are the exact ones.
+    "stream_sketches": f"""WITH {WATCH}
+        SELECT uid, day, minutes, floor(minutes / (1 + 3 * 1.04 / 64))::BIGINT AS low, ceil(minutes / (1 - 3 * 1.04 / 64))::BIGINT AS high
+        FROM per_day""",
     "stream_new_minutes": """
         SELECT DISTINCT user_id::VARCHAR AS uid, epoch_us(ts) // 60000000 * 60 AS minute_u FROM events""",
     "stream_signins": f"""WITH {WATCH}

@@ -23,11 +23,12 @@ from encore.operators.campaigns import Span, parse_campaigns
 from encore.plans import fixtures as fx
 from encore.session import work_dir
 from encore.sources import files
-from encore.streaming import jobs, sinks
+from encore.streaming import jobs, sinks, state
 
 Query = Callable[[SparkSession, str], DataFrame]
 CATALOGUE: dict[str, Query] = {}
 RANKED = ("host", "user")
+EXPIRY = 6 * 3600  # seconds that a user's clicks are kept in the expiring totals
 
 
 def query(build: Query) -> Query:
@@ -773,6 +774,16 @@ def sliding_minmaxsum(spark, sf):
     return _sliding_numbers(_sliding(fx.read(spark, sf, "events")))
 
 
+@query
+def sliding_panes(spark, sf):
+    """The sliding windows by way of panes of a second."""
+    events = fx.read(spark, sf, "events")
+    rows = events.select(
+        F.col("event_type").alias("id"), F.col("ts").cast("timestamp").alias("timestamp"), F.floor("value").cast("int").alias("value")
+    )
+    return _sliding_numbers(aggregates.sliding_panes(rows, "id", "timestamp", "value"))
+
+
 # --- tables ----------------------------------------------------------------------------
 
 
@@ -829,6 +840,17 @@ def geo_radius(spark, sf):
     return near.select("place", F.round("distance", 3).alias("distance"))
 
 
+@query
+def geo_pairs(spark, sf):
+    """All customers within 400 km of each supplier; suppliers lie up to the poles and on both sides of the date line."""
+    key = F.col("s_suppkey")
+    centres = fx.read(spark, sf, "supplier").select(
+        key.alias("centre"), ((key * 53) % 1801 / 10.0 - 90).alias("lat"), (180 - (key * 71) % 3600 / 10.0).alias("lon")
+    )
+    near = tables.pairs_within(_places(spark, sf), centres, "place", "centre", 400.0)
+    return near.select("centre", "place", F.round("distance", 3).alias("distance"))
+
+
 @query
 def retention_filter(spark, sf):
     """Events younger than the seven days watch minutes are kept, counted from the end of January."""
@@ -851,9 +873,9 @@ def top_donor_labels(spark, sf):
 def source_text(spark, sf):
     """Lines of a table written as text files, read back and counted."""
     place = work_dir(spark, "text")
-    lines = parse.lines(fx.read(spark, sf, "conversations"), "text").where(~F.col("value").contains("\r"))
-    lines.write.text(place)
-    return files.read_lines(spark, place).groupBy("value").agg(F.count("*").alias("lines"))
+    lines = parse.lines(fx.read(spark, sf, "conversations"), "text")
+    lines.write.option("lineSep", "\n").text(place)
+    return files.read_lines(spark, place, "\n").groupBy("value").agg(F.count("*").alias("lines"))
 
 
 @query
@@ -871,7 +893,7 @@ def source_catalog(spark, sf):
     name = f"orders_{place.rpartition('-')[2]}"
     files.ensure_table(spark, name, "o_orderkey BIGINT, o_custkey BIGINT, o_orderpriority STRING", location=place)
     rows = fx.read(spark, sf, "orders").select("o_orderpriority", "o_custkey", "o_orderkey")
-    return files.load_into(rows, name).where(F.col("o_custkey") > 10)
+    return files.load_into(rows, name)
 
 
 @query
@@ -890,22 +912,67 @@ def _stream(spark, sf, name, max_files=None) -> DataFrame:
     return files.stream_parquet(spark, sf, f"{name}.parquet", max_files)
 
 
+def _dealt(spark, rows, batches: int = 3, by: str | None = None) -> DataFrame:
+    """Rows as a stream that comes in several micro-batches: as files of which each batch takes one (the ingest cap).
+
+    With ``by`` one file after the other is written, in the order of that column.
+    """
+    place = work_dir(spark, "arrivals")
+    if by is None:
+        rows.repartition(batches).write.parquet(place)
+    else:
+        ranges = rows.select(F.min(by), F.max(by)).first()
+        cuts = [ranges[0] + (ranges[1] - ranges[0]) * i / batches for i in range(1, batches)]
+        for low, high in zip([None, *cuts], [*cuts, None], strict=True):
+            part = rows if low is None else rows.where(F.col(by) >= F.lit(low))
+            part = part if high is None else part.where(F.col(by) < F.lit(high))
+            part.coalesce(1).write.mode("append").parquet(place)
+    return files.stream_parquet(spark, place, max_files=1)
+
+
 def _finish(running) -> None:
     running.awaitTermination()
 
 
+def _gift_stream(spark, sf) -> DataFrame:
+    return fx.as_gifts(_dealt(spark, fx.read(spark, sf, "lineitem").select(*fx.LINE_COLUMNS)), spark, sf)
+
+
 @query
 def stream_board_scores(spark, sf):
-    """Gift boards by micro-batches, campaigns read again in each, over the shared change log."""
-    place = work_dir(spark, "boards")
-    lines = _stream(spark, sf, "lineitem").select(*fx.LINE_COLUMNS)
-    _finish(
-        jobs.start_boards(
-            fx.as_gifts(lines, spark, sf), lambda: fx.gift_campaigns(spark), f"{place}/log", f"{place}/progress",
-            host_group=lambda: fx.host_group(spark, sf), periods=("all", "month"), roles=RANKED,
-        )
+    """Gift boards in the engine's state over several micro-batches, with a restart after the first."""
+    progress = work_dir(spark, "boards")
+    gifts = _gift_stream(spark, sf)
+    running = jobs.start_boards(
+        gifts, lambda: fx.gift_campaigns(spark), progress, host_group=lambda: fx.host_group(spark, sf),
+        periods=("all", "month"), roles=RANKED,
+    )
+    _finish(running)
+    return jobs.read_boards(spark, progress)
+
+
+@query
+def stream_top_lists(spark, sf):
+    """Top lists kept over several micro-batches from the members that each touches."""
+    place = work_dir(spark, "lists")
+    sums = jobs.board_sums(
+        _gift_stream(spark, sf), fx.gift_campaigns(spark), fx.host_group(spark, sf), periods=("all", "month"), roles=RANKED
     )
-    return jobs.read_boards(spark, f"{place}/log")
+    _finish(sinks.start_log(sums, f"{place}/changes", f"{place}/progress", "update"))
+    _finish(jobs.start_top_lists(spark, f"{place}/changes", f"{place}/touched", f"{place}/lists", slots=4, max_files=8))
+    return jobs.read_top_lists(spark, f"{place}/lists")
+
+
+@query
+def stream_expiring_clicks(spark, sf):
+    """Clicks per user, each kept for six hours after the user's last, over micro-batches in the order of time."""
+    progress = work_dir(spark, "expiring")
+    events = fx.read(spark, sf, "events").select(
+        F.col("user_id").cast("string").alias("uid"), F.col("value").cast("int").alias("clicks"), F.col("ts").cast("timestamp").alias("at")
+    )
+    sums = state.expiring_sums(_dealt(spark, events, by="at"), ["uid"], "clicks", "at", EXPIRY)
+    _finish(state.start_kept(sums, progress))
+    return state.read_sums(spark, progress, "uid string")
 
 
 @query
@@ -918,18 +985,17 @@ def stream_board_totals(spark, sf):
         periods=("all",), classes=("all",), roles=RANKED, scopes=("all",),
     )
     _finish(sinks.start_log(totals, f"{place}/log", f"{place}/progress", "update"))
-    log = sinks.read_batches(spark, f"{place}/log", jobs.BOARD_LOG)
+    log = sinks.read_batches(spark, f"{place}/log", totals.schema)
     return sinks.newest(log, [*boards.BOARD, "member"])
 
 
 @query
 def stream_day_peak(spark, sf):
-    place = work_dir(spark, "peaks")
-    stream = fx.as_readings(_stream(spark, sf, "events"))
-    _finish(
-        jobs.start_peaks(stream, lambda: fx.campaigns(spark, "popularity"), f"{place}/log", f"{place}/progress")
-    )
-    return jobs.read_peaks(spark, f"{place}/log").withColumn("day", day_key(F.col("day")))
+    """Daily peaks in the engine's state over several micro-batches."""
+    progress = work_dir(spark, "peaks")
+    readings = fx.as_readings(_dealt(spark, fx.read(spark, sf, "events")))
+    _finish(jobs.start_peaks(readings, lambda: fx.campaigns(spark, "popularity"), progress))
+    return jobs.read_peaks(spark, progress).withColumn("day", day_key(F.col("day")))
 
 
 @query
@@ -998,31 +1064,46 @@ def stream_signins(spark, sf):
     return jobs.read_signins(spark, f"{place}/messages").select("uid", day_key(F.col("day")).alias("day"), "days")
 
 
+@query
+def stream_sketches(spark, sf):
+    """Minutes of every user and day as sketches of several micro-batches, merged: the sketches' own numbers."""
+    place = work_dir(spark, "sketches")
+    beats = fx.as_heartbeats(_dealt(spark, fx.read(spark, sf, "events")))
+    _finish(
+        jobs.start_sketches(
+            beats, lambda: fx.stream_rooms(spark), lambda: fx.switches(spark, sf), fx.SIGN_IN_CATES, f"{place}/log", f"{place}/progress"
+        )
+    )
+    return jobs.read_sketches(spark, f"{place}/log").select("uid", day_key(F.col("day")).alias("day"), "minutes", "low", "high")
+
+
 @query
 def stream_raw_top(spark, sf):
-    """Gift records to top lists with sign-up copies, by the streaming job."""
+    """Gift records, parsed once, to top lists with sign-up copies, by the streaming jobs."""
     place = work_dir(spark, "raw")
     gifts = fx.as_gifts(_stream(spark, sf, "lineitem").select(*fx.LINE_COLUMNS), spark, sf)
+    parsed = parse.parse_gift(_gift_records(gifts))
+    _finish(jobs.start_parsed(parsed, f"{place}/parsed", f"{place}/parsing"))
+    good = parse.positive_gifts(jobs.good_records(spark, f"{place}/parsed", jobs.GIFT, max_files=4))
     _finish(
         jobs.start_boards(
-            _gift_records(gifts), lambda: fx.gift_campaigns(spark), f"{place}/log", f"{place}/progress", raw=True,
-            host_group=lambda: fx.host_group(spark, sf), host_pool=lambda: fx.host_pool(spark, sf), classes=("all",),
-            roles=RANKED, scopes=("all",),
+            good, lambda: fx.gift_campaigns(spark), f"{place}/boards", host_group=lambda: fx.host_group(spark, sf),
+            host_pool=lambda: fx.host_pool(spark, sf), classes=("all",), roles=RANKED, scopes=("all",),
         )
     )
-    top = jobs.read_top(spark, f"{place}/log")
+    top = jobs.read_top(spark, f"{place}/boards")
     return top.select("project", "scope", "role", "period", "period_key", "member", "score", "rank")
 
 
 @query
 def stream_popularity(spark, sf):
-    """Popularity records to boards with sign-up copies, by the streaming job."""
+    """Popularity records, parsed once, to boards with sign-up copies, by the streaming jobs."""
     place = work_dir(spark, "popularity")
-    records = _popularity_records(_stream(spark, sf, "events"))
-    _finish(
-        jobs.start_peaks(records, lambda: fx.campaigns(spark, "popularity"), f"{place}/log", f"{place}/progress", raw=True)
-    )
-    return jobs.read_popularity(spark, f"{place}/log", fx.campaigns(spark, "popularity"), fx.star_pool(spark, sf))
+    parsed = parse.parse_popularity(_popularity_records(_stream(spark, sf, "events")))
+    _finish(jobs.start_parsed(parsed, f"{place}/parsed", f"{place}/parsing"))
+    good = jobs.good_records(spark, f"{place}/parsed", jobs.READING, max_files=4)
+    _finish(jobs.start_peaks(good, lambda: fx.campaigns(spark, "popularity"), f"{place}/peaks"))
+    return jobs.read_popularity(spark, f"{place}/peaks", fx.campaigns(spark, "popularity"), fx.star_pool(spark, sf))
 
 
 @query

@@ -27,6 +27,8 @@ def build_session(app: str = "encore", master: str | None = None, **conf: str) -
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.ui.enabled", "false")
+        # Python workers and state processors talk over files of the machine, not ports.
+        .config("spark.python.unix.domain.socket.enabled", "true")
         # Streaming state outside the heap; top lists keep their group limit up to this length.
         .config("spark.sql.streaming.stateStore.providerClass", ROCKS)
         .config("spark.sql.optimizer.windowGroupLimitThreshold", "100000")

@@ -12,8 +12,9 @@ def dealt(df: DataFrame, *keys: str) -> DataFrame:
     return df.hint("rebalance", *keys)
 
 
-def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.text(path)
+def read_lines(spark: SparkSession, path: str, ends: str | None = None) -> DataFrame:
+    """Lines of text files; ``ends`` is what ends a line (else each of line feed, carriage return and both)."""
+    return (spark.read.option("lineSep", ends) if ends else spark.read).text(path)
 
 
 def read_json(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:

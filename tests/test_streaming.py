@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from encore.operators import aggregates, boards, campaigns, popularity, watch
 from encore.sources import files
-from encore.streaming import jobs, sinks
+from encore.streaming import jobs, sinks, state
 
 T0 = 1_540_000_000 - 1_540_000_000 % 86400
 DAY = 86400
@@ -42,17 +42,44 @@ def rows(df):
 
 
 def test_boards_equal_batch_over_many_batches_and_a_restart(spark, tmp_path):
-    running, source = config(spark), in_files(gifts(spark), tmp_path / "in", 3)
-    log, progress = str(tmp_path / "log"), str(tmp_path / "progress")
-    jobs.start_boards(stream(spark, source), lambda: running, log, progress).awaitTermination()
+    """All that is kept lies in the checkpoint; campaigns of the second start have one more board."""
+    running, source, progress = config(spark), in_files(gifts(spark), tmp_path / "in", 3), str(tmp_path / "progress")
+    assert jobs.read_boards(spark, progress).count() == 0
+    jobs.start_boards(stream(spark, source), lambda: running, progress).awaitTermination()
+    assert rows(jobs.read_boards(spark, progress).select(*boards.SCORES)) == rows(boards.board_scores(gifts(spark), running))
     more = gifts(spark).withColumn("uid", F.lit("late"))
     in_files(more, source, 2)
-    query = jobs.start_boards(stream(spark, source), lambda: running, log, progress)
+    query = jobs.start_boards(stream(spark, source), lambda: config(spark, weekAllRank="true"), progress)
     query.awaitTermination()
-    assert spark.read.parquet(log).select("batch_id").distinct().count() == 5
-    expected = boards.board_scores(gifts(spark).unionByName(more), running)
-    got = jobs.read_boards(spark, log).select(*boards.SCORES)
-    assert rows(got) == rows(expected)
+    assert query.lastProgress["batchId"] == 4 and {p.name for p in tmp_path.iterdir()} == {"in", "progress"}
+    weeks = boards.board_scores(more, config(spark, weekAllRank="true")).where("period = 'week'")
+    expected = boards.board_scores(gifts(spark).unionByName(more), running).unionByName(weeks)
+    assert rows(jobs.read_boards(spark, progress).select(*boards.SCORES)) == rows(expected)
+
+
+def test_state_goes_on_after_a_failed_batch(spark, tmp_path):
+    running, source, progress = config(spark), in_files(gifts(spark), tmp_path / "in", 3), str(tmp_path / "progress")
+    fail = F.udf(lambda v: 1 // (v - 9) and v, "int")  # no total is above 9, so a tenth fails the batch that holds it
+    broken = stream(spark, source).withColumn("total", F.when(F.col("uid") == "hot", fail("total")).otherwise(F.col("total")))
+    with pytest.raises(Exception, match="ZeroDivisionError"):
+        jobs.start_boards(broken, lambda: running, progress).awaitTermination()
+    jobs.start_boards(stream(spark, source), lambda: running, progress).awaitTermination()
+    assert rows(jobs.read_boards(spark, progress).select(*boards.SCORES)) == rows(boards.board_scores(gifts(spark), running))
+
+
+def test_rounds_read_dimensions_again(spark, tmp_path):
+    source, progress, started = in_files(gifts(spark), tmp_path / "in", 2), str(tmp_path / "progress"), []
+
+    def begin():
+        started.append(1)
+        return jobs.start_boards(stream(spark, source), lambda: config(spark, online="false" if len(started) == 1 else "true"), progress)
+
+    state.rounds(begin, 0, lambda: len(started) < 1)
+    assert jobs.read_boards(spark, progress).count() == 0
+    more = in_files(gifts(spark), source, 1)
+    assert more == source
+    state.rounds(begin, 0, lambda: len(started) < 3)
+    assert rows(jobs.read_boards(spark, progress).select(*boards.SCORES)) == rows(boards.board_scores(gifts(spark), config(spark)))
 
 
 def test_replayed_batch_counts_once(spark, tmp_path):
@@ -60,7 +87,7 @@ def test_replayed_batch_counts_once(spark, tmp_path):
     df = spark.createDataFrame([("a", 1), ("b", 2)], "k string, v bigint")
     for batch_id in (0, 1, 1, 0):
         sinks.write_batch(df, log, batch_id)
-    assert rows(sinks.added(sinks.read_batches(spark, log, df.schema), ["k"], "v")) == [("a", 2), ("b", 4)]
+    assert rows(sinks.read_batches(spark, log, df.schema)) == [("a", 1, 0), ("a", 1, 1), ("b", 2, 0), ("b", 2, 1)]
 
 
 def test_change_log_readers(spark, tmp_path):
@@ -71,36 +98,72 @@ def test_change_log_readers(spark, tmp_path):
         sinks.write_batch(spark.createDataFrame(batch, schema), log, batch_id)
     read = sinks.read_batches(spark, log, schema)
     assert rows(sinks.newest(read, ["k"])) == [("a", 3), ("b", 1), ("c", 9)]
-    assert rows(sinks.oldest(read, ["k"])) == [("a", 5), ("b", 1), ("c", 9)]
-    assert rows(sinks.maximised(read, ["k"], "v")) == [("a", 5), ("b", 1), ("c", 9)]
     assert rows(sinks.newest(sinks.read_batches(spark, log, schema, before=1), ["k"])) == [("a", 5), ("b", 1)]
     assert rows(sinks.read_batches(spark, log, schema, last=True).drop("batch_id")) == [("c", 9)]
 
 
-def test_folding_keeps_the_state_and_bounds_the_files(spark, tmp_path):
-    """Folds while batches come, a fresh checkpoint after them, and a stale row that retention drops."""
-    running, source = config(spark), in_files(gifts(spark), tmp_path / "in", 6)
-    log = str(tmp_path / "log")
-
-    def run(progress: str, **more):
-        jobs.start_boards(stream(spark, source), lambda: running, log, str(tmp_path / progress), fold_every=2, **more).awaitTermination()
+def expiring(values, keep):
+    """uid -> (total, last) of (uid, second, value) rows in order, each kept for ``keep`` seconds after its last write."""
+    kept: dict = {}
+    for uid, at, value in values:
+        total, last = kept.get(uid, (0, at))
+        kept[uid] = (value if at - last > keep else total + value, max(at, last))
+    newest = max(at for _, at, _ in values)
+    return sorted((uid, total, last) for uid, (total, last) in kept.items() if last + keep >= newest)
+
+
+def test_keys_expire_by_their_own_last_write(spark, tmp_path):
+    """Sums that go, come again, or are written to in time, over many batches and a restart; nothing is written anew."""
+    at = [0, 100, 250, 400, 1000, 1050, 2000, 2001, 5000, 5090, 5100]
+    values = [(f"u{i % 3}", T0 + a, i + 1) for i, a in enumerate(at)] + [("old", T0 + 5000, 7), ("kept", T0 + 5100, 9), ("gone", T0 + 2000, 3)]
+    values.sort(key=lambda v: v[1])
+    progress, source = str(tmp_path / "progress"), str(tmp_path / "in")
+    for turn, part in enumerate((values[:4], values[4:8], values[8:])):
+        for some in (part[:2], part[2:]):
+            one = spark.createDataFrame(some, "uid string, u bigint, v int").withColumn("at", F.timestamp_seconds("u"))
+            one.coalesce(1).write.mode("append").parquet(source)
+        sums = state.expiring_sums(stream(spark, source), ["uid"], "v", "at", keep=300, late="1 hour" if turn == 0 else "0 seconds")
+        state.start_kept(sums, progress).awaitTermination()
+    assert rows(state.read_sums(spark, progress, "uid string")) == expiring(values, 300)
+    assert {r.uid for r in state.read_sums(spark, progress, "uid string").collect()} >= {"kept", "old"}
+    assert state.read_sums(spark, progress, "uid string").where("uid = 'gone'").count() == 0
+
+
+def test_top_lists_touch_their_own_boards_alone(spark, tmp_path):
+    """Several batches and a restart against the batch operator; a batch of one board updates that board's state only."""
+    from encore.operators import ranking
+
+    running, source, place = config(spark), in_files(gifts(spark), tmp_path / "in", 3), str(tmp_path)
+
+    def run(k=3, slots=2):
+        sums = jobs.board_sums(stream(spark, source), running)
+        sinks.start_log(sums, f"{place}/changes", f"{place}/progress", "update").awaitTermination()
+        query = jobs.start_top_lists(spark, f"{place}/changes", f"{place}/touched", f"{place}/lists", k, slots, max_files=1)
+        query.awaitTermination()
+        return query
 
-    run("progress")
-    left = [p.name for p in (tmp_path / "log").iterdir() if p.name.startswith("batch_id")]
-    assert sorted(left) == ["batch_id=4", "batch_id=5"] and len(list((tmp_path / "log-folded").iterdir())) == 2
-    assert rows(jobs.read_boards(spark, log).select(*boards.SCORES)) == rows(boards.board_scores(gifts(spark), running))
-    run("fresh")  # the same gifts once more, under a new checkpoint
-    twice = boards.board_scores(gifts(spark).unionByName(gifts(spark)), running)
-    assert rows(jobs.read_boards(spark, log).select(*boards.SCORES)) == rows(twice)
-    run("later", keep=-10)  # nothing is young enough
-    assert jobs.read_boards(spark, log).count() == 0
+    columns = [*boards.SCORES, "rank"]
+    run()
+    expected = ranking.top_k(boards.board_scores(gifts(spark), running).where("role <> 'donor'"), boards.BOARD, 3)
+    assert rows(jobs.read_top_lists(spark, f"{place}/lists", 3).select(columns)) == rows(expected.select(columns))
+    one = gifts(spark).where("uid = 'u1' AND qid = 'q1'").limit(1)
+    in_files(one, source, 1)
+    query = run()
+    touched = sum(p["stateOperators"][0]["numRowsUpdated"] for p in query.recentProgress)
+    held = query.lastProgress["stateOperators"][0]["numRowsTotal"]
+    assert 0 < touched <= 4 < held  # host and user, whole campaign and day
+    everything = boards.board_scores(gifts(spark).unionByName(one), running).where("role <> 'donor'")
+    expected = ranking.top_k(everything, boards.BOARD, 3)
+    assert rows(jobs.read_top_lists(spark, f"{place}/lists", 3).select(columns)) == rows(expected.select(columns))
+    told = jobs.read_touched(spark, f"{place}/touched")
+    assert set(rows(expected.select(*boards.SCORES))) <= set(rows(told.select(*boards.SCORES)))
 
 
 def test_native_board_totals(spark, tmp_path):
     running, source = config(spark), in_files(gifts(spark), tmp_path / "in")
     totals = jobs.board_totals(stream(spark, source), running)
     sinks.start_log(totals, str(tmp_path / "log"), str(tmp_path / "progress"), "update").awaitTermination()
-    log = sinks.read_batches(spark, str(tmp_path / "log"), jobs.BOARD_LOG)
+    log = sinks.read_batches(spark, str(tmp_path / "log"), totals.schema)
     got = sinks.newest(log, [*boards.BOARD, "member"]).select(*boards.SCORES)
     assert rows(got) == rows(boards.board_scores(gifts(spark), running))
 
@@ -108,10 +171,10 @@ def test_native_board_totals(spark, tmp_path):
 def test_peaks_equal_batch(spark, tmp_path):
     readings = gifts(spark).selectExpr("qid AS host_id", "cate", "total * 13 % 7 AS num", "time_u")
     running, source = config(spark), in_files(readings, tmp_path / "in")
-    log = str(tmp_path / "log")
-    jobs.start_peaks(stream(spark, source), lambda: running, log, str(tmp_path / "progress")).awaitTermination()
+    progress = str(tmp_path / "progress")
+    jobs.start_peaks(stream(spark, source), lambda: running, progress).awaitTermination()
     expected = popularity.host_day_peak(readings, running).select("project", "host_id", "day", "peak")
-    assert rows(jobs.read_peaks(spark, log).select("project", "host_id", "day", "peak")) == rows(expected)
+    assert rows(jobs.read_peaks(spark, progress).select("project", "host_id", "day", "peak")) == rows(expected)
 
 
 def heartbeats(spark):
@@ -278,16 +341,16 @@ def test_raw_records_to_top_lists_popularity_and_tables(spark, tmp_path):
     source = in_files(records.unionAll(bad), tmp_path / "in", 3)
     pool = spark.createDataFrame([("p", "q1"), ("p", "hot")], "project string, qid string")
     log = str(tmp_path / "log")
-    jobs.start_boards(
-        stream(spark, source), lambda: running, log, str(tmp_path / "progress"), raw=True, host_pool=lambda: pool, fold_every=2
-    ).awaitTermination()
+    jobs.start_parsed(parse.parse_gift(stream(spark, source)), f"{log}-parsed", f"{log}-parsing").awaitTermination()
+    told = parse.positive_gifts(jobs.good_records(spark, f"{log}-parsed", jobs.GIFT, max_files=1))
+    jobs.start_boards(told, lambda: running, log, host_pool=lambda: pool).awaitTermination()
     scores = boards.board_scores(good, running)
     both = scores.unionByName(boards.signed_up_scores(good, running, pool))
     columns = [*boards.SCORES, "rank"]
     expected = ranking.top_k(both.where("role <> 'donor'"), boards.BOARD, 3)
     assert rows(jobs.read_top(spark, log, 3).select(columns)) == rows(expected.select(columns))
     assert rows(jobs.read_best_donors(spark, log, pool)) == rows(boards.top_donor(good, running, pool))
-    assert sinks.read_batches(spark, f"{log}-bad", "value string, error string").count() == 2
+    assert jobs.bad_records(spark, f"{log}-parsed").count() == 2
     assert parse.good(parse.parse_gift(bad)).count() == 0
 
     changes = spark.createDataFrame(

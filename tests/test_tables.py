@@ -226,3 +226,51 @@ def test_similar_items(spark):
     assert [tuple(r) for r in tables.similar_items(table).collect()] == [("1", "2"), ("1", "3"), ("4", "5")]
     events = spark.createDataFrame([("1",), ("9",)], "aid string")
     assert {r.aid: r.similar for r in tables.with_similar(events, table, "aid").collect()} == {"1": ["2", "3"], "9": None}
+
+
+@pytest.mark.parametrize("km", [40.0, 700.0, 9000.0])
+def test_pairs_within_any_place(spark, km):
+    """Centres and points at the poles, on both sides of the date line, on cell borders and anywhere, against all pairs."""
+    rng = random.Random(int(km))
+    odd = [(90.0, 0.0), (-90.0, 17.0), (0.0, 180.0), (0.0, -180.0), (0.1, 179.9), (-0.1, -179.9), (89.8, 100.0), (89.9, -80.0), (None, 1.0), (1.0, None)]
+    some = lambda n: [(rng.uniform(-90, 90), rng.uniform(-180, 180)) for _ in range(n)] + odd
+    near = [(lat + rng.uniform(-3, 3), lon + rng.uniform(-3, 3)) for lat, lon in odd[2:6] for _ in range(10)]
+    places, centres = [*some(150), *near], some(60)
+    points = spark.createDataFrame([(i, *p) for i, p in enumerate(places)], "member int, lat double, lon double")
+    asked = spark.createDataFrame([(i, *p) for i, p in enumerate(centres)], "centre int, lat double, lon double")
+    got = {(r.centre, r.member) for r in tables.pairs_within(points, asked, "member", "centre", km).collect()}
+
+    def far(a, b):
+        u, v = (math.sin(math.radians(b[i] - a[i]) / 2) for i in (0, 1))
+        return 2 * tables.EARTH_KM * math.asin(min(1.0, math.sqrt(u * u + math.cos(math.radians(a[0])) * math.cos(math.radians(b[0])) * v * v)))
+
+    expected = {
+        (i, j) for i, c in enumerate(centres) for j, p in enumerate(places)
+        if None not in (*c, *p) and far(c, p) <= km
+    }
+    assert got == expected and expected
+    rows = tables.pairs_within(points, asked, "member", "centre", km)
+    assert rows.count() == len(expected)  # no pair twice
+    assert "NestedLoop" not in rows._jdf.queryExecution().executedPlan().toString()
+
+
+def test_pairs_within_refuses_half_the_globe(spark):
+    points = spark.createDataFrame([(1, 0.0, 0.0)], "member int, lat double, lon double")
+    with pytest.raises(ValueError):
+        tables.pairs_within(points, points.withColumnRenamed("member", "centre"), "member", "centre", 15_000.0)
+
+
+@pytest.mark.parametrize("size, slide", [(10, 3), (9, 3), (4, 4), (3, 10), (7, 5)])
+def test_panes_equal_windows(spark, size, slide):
+    """Windows that overlap, meet and leave gaps; the shuffle carries a row for a pane and key."""
+    df = spark.range(400).selectExpr(
+        "IF(id % 3 = 0, 'hot', cast(id % 5 AS string)) AS id", "timestamp_micros(1540000000000000 + (id * 7919 % 90) * 500000) AS ts", "cast(id AS int) AS v"
+    )
+    got = aggregates.sliding_panes(df, "id", "ts", "v", size, slide)
+    if slide <= size:
+        wide = aggregates.sliding_stats(df, "id", "ts", "v", f"{size} seconds", f"{slide} seconds")
+    else:  # the engine has no windows with gaps between them
+        rows = df.selectExpr("*", f"floor(unix_micros(ts) / {slide}000000) * {slide} AS s").where(f"unix_micros(ts) < (s + {size}) * 1000000")
+        wide = rows.groupBy("s", "id").agg(F.min("ts").alias("a"), F.max("ts").alias("b"), F.sum("v").alias("c"))
+        wide = wide.select(F.timestamp_seconds("s").alias("window_start"), F.timestamp_seconds(F.col("s") + size).alias("window_end"), "id", "a", "b", "c")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, wide.collect()))

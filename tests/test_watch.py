@@ -167,3 +167,23 @@ def test_intervals_do_not_depend_on_the_bucket(spark, switches):
             expected.add((room, time, max(c for r, c, t in switches if (r, t) == (room, time)), after))
     got = asof.category_intervals(df, bucket=10).select("room_id", "time_u", "cate", "until_u")
     assert {tuple(r) for r in got.collect()} == expected
+
+
+def test_sketches_add_up(spark):
+    """Sketches of parts that overlap, merged, tell what one of all tells, within their own bound of the true number."""
+    from pyspark.sql import functions as F
+
+    minutes = spark.range(60_000).selectExpr(
+        "IF(id % 3 = 0, 'hot', concat('u', id % 40)) AS uid", "date'2024-01-01' AS day", "(id * 7919 % 40000) * 60 AS minute_u", "id % 4 AS part"
+    )
+    whole = watch.estimate_minutes(watch.minute_sketches(minutes))
+    both = minutes.where("part <> 0"), minutes.where("part <> 1")
+    parts = watch.minute_sketches(both[0]).unionAll(watch.minute_sketches(both[1]))
+    merged = {r.uid: r for r in watch.estimate_minutes(watch.merge_sketches(parts)).collect()}
+    exact = {r.uid: r.n for r in minutes.groupBy("uid").agg(F.countDistinct("minute_u").alias("n")).collect()}
+    assert set(merged) == set(exact) and max(exact.values()) > 10_000
+    for r in whole.collect():
+        assert r.low <= exact[r.uid] <= r.high and merged[r.uid].low <= exact[r.uid] <= merged[r.uid].high
+    assert merged["hot"].minutes != exact["hot"]  # the sketch's own number
+    size = watch.merge_sketches(parts).select(F.max(F.octet_length("sketch"))).first()[0]
+    assert size < 5000
