@@ -2,7 +2,8 @@
 
 Every example is a vector (tokens, segments, loss-bearing tokens). The open sequence has a vector of what it can still
 take; of a window of waiting pieces the one with the largest dot product of the two goes in next, and when none fits
-whole, the largest is cut. Each task packs its own rows, in memory bounded by the window.
+whole, the largest is cut. Each task packs its own rows, in memory bounded by
+the window and, where pieces are short, by a sequence's tokens.
 """
 
 from __future__ import annotations
@@ -23,8 +24,7 @@ from encore.llm.common import slices, map_batches
 
 LENGTH = 4096
 END = 2
-#: Segments in a sequence at most, and pieces that wait to be placed.
-SEGMENTS = 128
+#: Pieces that wait to be placed, or more of short ones, so that they fill a sequence.
 WINDOW = 256
 #: Distinct chunks of text, and their characters, that a worker remembers the tokens of.
 CACHED, CACHED_CHARS = 1_000_000, 10_000_000
@@ -53,7 +53,11 @@ class Encoder:
 
     def __init__(self, path: str) -> None:
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.tokenizer.encode_special_tokens = True  # between the names of special tokens all is ordinary text
+        added = self.tokenizer.get_added_tokens_decoder()
+        self.special = {t.content: np.array([i], "<u4").tobytes() for i, t in added.items() if t.special}
+        names = sorted(map(re.escape, self.special), key=len, reverse=True)
+        self.names = re.compile(f"({'|'.join(names)})") if names else None
         self.forget()
         probes = ["the", "thething,", "ééàñüßöÿ.", "straßen?!", "ñandú***", "$$", "a|", "xin#%&.,"]
         self.learn(set(probes))
@@ -91,18 +95,25 @@ class Encoder:
         self.chars += sum(map(len, chunks))
 
     def encode(self, texts: list[str | None]) -> Iterator[bytes]:
-        """The ids of each text; null has none. Learns the new chunks of a few hundred texts at a time."""
+        """The ids of each text; null has none. Learns the new chunks of a few hundred texts at a time.
+
+        The name of a special token in a text, as it is written, is that token, as the tokenizer has it.
+        """
         for at in range(0, len(texts), 256):
             split = []
             for t in texts[at : at + 256]:
-                t = t or ""
-                t = t.lower() if self.direct and "Σ" not in t else t  # its lower case depends on what follows
-                split.append(t.replace("\n", " ").replace("\t", " ").split(" "))
+                parts = self.names.split(t) if t and self.names and self.names.search(t) else [t or ""]
+                split.append([self._chunks(p) if i % 2 == 0 else p for i, p in enumerate(parts)])
             if len(self.known) + len(self.words) > CACHED or self.chars > CACHED_CHARS:
                 self.forget()
-            self.learn(set().union(*split).difference(self.known))
-            for chunks in split:
-                yield b"".join(map(self.known.__getitem__, chunks))
+            self.learn({c for parts in split for p in parts[::2] for c in p}.difference(self.known))
+            known = self.known.__getitem__
+            for parts in split:
+                yield b"".join(self.special[p] if i % 2 else b"".join(map(known, p)) for i, p in enumerate(parts))
+
+    def _chunks(self, text: str) -> list[str]:
+        text = text.lower() if self.direct and "Σ" not in text else text  # its lower case depends on what follows
+        return text.replace("\n", " ").replace("\t", " ").split(" ")
 
 
 @lru_cache(maxsize=2)
@@ -119,7 +130,7 @@ class Packer:
         self.window = window
         self.rows: list[tuple] = []  # (row, start, length, bears loss)
         self.size = np.zeros((window + 1, 3))
-        self.n = 0
+        self.n = self.waiting = 0  # pieces, and their tokens
 
     def add(self, row: object, start: int, length: int, loss: bool) -> None:
         self.rows.append((row, start, length, loss))
@@ -127,10 +138,12 @@ class Packer:
             self.size = np.vstack((self.size, np.zeros_like(self.size)))
         self.size[self.n] = np.array([length, 1, length * loss]) / self.limit
         self.n += 1
+        self.waiting += length
 
     def _take(self, i: int, length: int) -> tuple:
         """Takes ``length`` tokens from the front of piece ``i``; the rest waits on."""
         row, start, whole, loss = self.rows[i]
+        self.waiting -= length
         if length == whole:
             self.n -= 1
             self.rows[i] = self.rows[self.n]
@@ -170,23 +183,22 @@ class Packer:
         return out
 
     def ready(self) -> Iterator[list[tuple]]:
-        while self.n >= self.window:
+        while self.n >= self.window and self.waiting >= self.limit[0]:
             yield self.one()
 
     def rest(self) -> Iterator[list[tuple]]:
         """What waits at the end: full sequences, then one for each power of two in the remaining count."""
         length = int(self.limit[0])
         while self.n:
-            waiting = sum(r[2] for r in self.rows)
-            yield self.one(length if waiting >= length else 1 << (waiting.bit_length() - 1))
+            yield self.one(length if self.waiting >= length else 1 << (self.waiting.bit_length() - 1))
 
 
 def pack(
     rows: DataFrame, row_id: str = "doc_id", text: str = "text", loss: str | None = None, tokenizer: str | None = None,
-    length: int = LENGTH, segments: int = SEGMENTS, loss_tokens: int | None = None, end: int = END, window: int = WINDOW,
+    length: int = LENGTH, segments: int | None = None, loss_tokens: int | None = None, end: int = END, window: int = WINDOW,
 ) -> DataFrame:
-    """Token pieces packed into sequences of at most ``length`` tokens, ``segments`` pieces and ``loss_tokens`` tokens
-    that bear loss (default: ``length``).
+    """Token pieces packed into sequences of at most ``length`` tokens, ``segments`` pieces (default: as many as fit) and
+    ``loss_tokens`` tokens that bear loss (default: ``length``).
 
     A row's ids are those of its text and then ``end``; a null or empty text has ``end`` alone. The boolean column
     ``loss`` tells whether a row's tokens bear loss (null: no; without the column all do). Rows are cut freely, every
@@ -207,7 +219,7 @@ def pack(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         encode = encoder(path)
-        packer = Packer(length, segments, most_loss, window)
+        packer = Packer(length, segments or length, most_loss, window)
         sequence = pyspark.TaskContext.get().partitionId() << 33
         out = {n: [] for n in names}
 

@@ -15,12 +15,10 @@ from encore.llm import packing, queries
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    t = Tokenizer.from_file(packing.tokenizer_path())
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(packing.tokenizer_path())
 
 
-def check(rows, texts, tokenizer, length=4096, segments=128, loss=None):
+def check(rows, texts, tokenizer, length=4096, segments=4096, loss=None):
     ids = {i: [*tokenizer.encode(t or "", add_special_tokens=False).ids, 2] for i, t in texts.items()}
     pieces, sequences = defaultdict(list), defaultdict(list)
     for r in rows:
@@ -43,7 +41,7 @@ def check(rows, texts, tokenizer, length=4096, segments=128, loss=None):
             assert r.offset == at
             at += r.length
         assert at <= length and len(found) <= segments
-        padding += 0 if at & (at - 1) == 0 else length - at
+        padding += 0 if at & (at - 1) == 0 and len(found) < segments else length - at
         if loss:
             assert sum(r.length for r in found if r.bears_loss) <= loss
     return padding, sum(map(len, ids.values()))
@@ -56,7 +54,7 @@ def test_query(spark, sf, tokenizer):
 
 
 def test_cases(spark, tokenizer):
-    texts = [None, "", "a", "a", "Ünï çödé ÇA ŒUVRE İstanbul ΣΑΣ", "0 10 2024 00", "it's we'll don't", "<|endoftext|> x", "漢字 テスト", "é a b c\x0bd",
+    texts = [None, "", "a", "a", "Ünï çödé ÇA ŒUVRE İstanbul ΣΑΣ", "0 10 2024 00", "it's we'll don't", "<|endoftext|> x", "x </s> <s> <|endoftext|>", "a<|startoftext|>B<|endoftext|><|ENDOFTEXT|> <|endof text|>Σ", "漢字 テスト", "é a b c\x0bd",
              "word" * 30_000, "the quick brown. " * 5_000, "...!!! ###a# 'tis", "x" * 7 + "\t\r\n y"]
     df = documents(spark, texts, "length sequence_id bears_loss")
     padding, _ = check(packing.pack(df).collect(), dict(enumerate(texts)), tokenizer)
@@ -64,6 +62,16 @@ def test_cases(spark, tokenizer):
     assert packing.pack(df.limit(0)).count() == 0
 
 
+def test_short_documents_leave_little_padding(spark, tokenizer):
+    """Pieces of a few tokens fill sequences, however many of them that takes; a limit on pieces counts as padding."""
+    texts = {i: f"the cat {i % 7} sat" for i in range(20_000)}
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string").coalesce(1)
+    padding, tokens = check(packing.pack(df).collect(), texts, tokenizer)
+    assert padding <= 0.01 * tokens
+    padding, _ = check(packing.pack(df, segments=128).collect(), texts, tokenizer, segments=128)
+    assert padding > 0.01 * tokens
+
+
 def test_limits_hold_together(spark, sf, tokenizer):
     turns = spark.read.parquet(f"{sf}/conversations.parquet").selectExpr("conv_id * 1000 + turn AS row", "text", "role = 'assistant' AS l").dropDuplicates(["row"])
     texts = {r.row: r.text for r in turns.collect()}
