@@ -21,8 +21,8 @@ def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Scores of all documents under the model of those whose id is no multiple of eight (the others are held out)."""
-    scores = backoff.score(table(spark, sf_dir, "documents"), learn=F.col("doc_id") % 8 != 0)
+    """Scores of all documents under the model of them all."""
+    scores = backoff.score(table(spark, sf_dir, "documents"))
     return scores.select("doc_id", "n_tokens", F.round("log_score", 4).alias("log_score"))
 
 
@@ -121,15 +121,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 _BACKOFF = r"""
 WITH d AS (
-  SELECT doc_id, doc_id % 8 <> 0 AS learn,
+  SELECT doc_id,
     regexp_extract_all(
       translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
   FROM documents),
-p AS (SELECT doc_id, learn, unnest(list_prepend(' start', w)) AS a, unnest(list_append(w, ' end')) AS b FROM d),
-two AS (SELECT a, b, count(*) AS n FROM p WHERE learn GROUP BY a, b),
-one AS (SELECT a, count(*) AS n FROM p WHERE learn GROUP BY a),
-low AS (SELECT b, count(*) AS n FROM p WHERE learn GROUP BY b),
-total AS (SELECT count(*) AS n FROM p WHERE learn)
+p AS (SELECT doc_id, unnest(list_prepend(' start', w)) AS a, unnest(list_append(w, ' end')) AS b FROM d),
+two AS (SELECT a, b, count(*) AS n FROM p GROUP BY a, b),
+one AS (SELECT a, count(*) AS n FROM p GROUP BY a),
+low AS (SELECT b, count(*) AS n FROM p GROUP BY b),
+total AS (SELECT count(*) AS n FROM p)
 SELECT doc_id, count(*) - 1 AS n_tokens,
   round(sum(CASE WHEN two.n IS NOT NULL THEN ln(two.n) - ln(one.n)
     ELSE ln(0.4::DOUBLE) + ln(coalesce(low.n, 1)) - ln(greatest(total.n, 1)) END), 4) AS log_score
