@@ -27,6 +27,8 @@ WORDS, LETTERS = 300_000, 16_000_000
 #: Words up to this length are rotated letter by letter, longer ones by hashes of their halves.
 PLAIN = 64
 ROWS = 50_000
+#: Words that a task rotates.
+PART = 20_000
 _PRIME, _BASE = (1 << 127) - 1, 0x1F3D5B79A2C4E6080F1E2D3C4B5A6979
 
 
@@ -116,7 +118,9 @@ def _ranges(words: DataFrame) -> DataFrame:
                         out = {name: [] for name in out}
         yield out
 
-    return map_batches(words.select("id", "word", "n"), "prefix string, id long, n long, whole boolean, first boolean", run)
+    # However many words there are, a task has no more of them.
+    words = words.select("id", "word", "n").repartition(max(1, -(-words.count() // PART)), "id")
+    return map_batches(words, "prefix string, id long, n long, whole boolean, first boolean", run)
 
 
 def numbered(words: DataFrame) -> DataFrame:
