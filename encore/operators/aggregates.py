@@ -7,7 +7,7 @@ import math
 from collections.abc import Callable
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -94,6 +94,51 @@ def user_aggregate(
     return merged.select(*keys, finish)
 
 
+def register_average(spark: SparkSession, name: str = "typed_avg") -> None:
+    """The user-defined average (zero, reduce, merge, finish) as a function of SQL text: ``SELECT k, typed_avg(v) ... GROUP BY k``.
+
+    SQL hands user code the values of a whole group, so the query should group by a part of it first where a group may be
+    very large; :func:`user_aggregate` and :func:`stream_user_aggregate` reduce as they go. Nulls do not count; a group without values has
+    a null average. Without GROUP BY and without rows there is no row.
+    """
+    importable(spark)
+
+    @F.pandas_udf("double")
+    def average(values: pd.Series) -> float:
+        known = values.dropna()
+        return float(known.sum()) / len(known) if len(known) else None
+
+    spark.udf.register(name, average)
+
+
+def stream_user_aggregate(
+    df: DataFrame,
+    keys: list[str],
+    inputs: list[str],
+    buffer: str,
+    reduce: Callable[[pd.DataFrame], dict],
+    merge: Callable[[pd.DataFrame], dict],
+) -> DataFrame:
+    """:func:`user_aggregate` over a stream: the keys and the buffer of every key that a batch touches.
+
+    The state of a key is its buffer. Each Arrow batch of a key is reduced as it comes and merged into it, so no group is
+    held as a whole. Run it with mode ``update``; the caller finishes the buffers.
+    """
+    fields = T.StructType.fromDDL(buffer)
+    names = [f.name for f in fields]
+    schema = T.StructType([*[df.schema[k] for k in keys], *fields])
+
+    def update(key, frames, state):
+        rows = [dict(zip(names, state.get, strict=True))] if state.exists else []
+        for frame in frames:
+            rows = [merge(pd.DataFrame([*rows, reduce(frame[inputs])])[names])]
+        state.update(tuple(rows[0][n] for n in names))
+        yield pd.DataFrame([{**dict(zip(keys, key, strict=True)), **rows[0]}])[[*keys, *names]]
+
+    importable(df.sparkSession)
+    return df.select(*keys, *inputs).groupBy(*keys).applyInPandasWithState(update, schema, fields, "update", "NoTimeout")
+
+
 def sliding_stats(
     df: DataFrame,
     key: str,

@@ -35,6 +35,17 @@ def with_level(rows: DataFrame, levels: DataFrame, campaigns: DataFrame, member:
     return joined.withColumn("level", level).drop("_asked", "_level")
 
 
+def with_dimensions(rows: DataFrame, dimensions: list[DataFrame], member: str = "member", key: str = "rid") -> DataFrame:
+    """Columns of several keyed dimensions beside each row, null where one lacks the member.
+
+    Meant for tables of ``files.store_dimension`` and many rows: the rows are dealt out by the member once and merged with
+    each dimension where it lies. No side is broadcast, whatever it holds.
+    """
+    for dimension in dimensions:
+        rows = rows.join(dimension.withColumnRenamed(key, member).hint("merge"), member, "left")
+    return rows
+
+
 def profile_json(room_id: Column) -> Column:
     """Profile as stored: rid, nickName, avatar, roomId (empty where unknown)."""
     return F.to_json(

@@ -242,6 +242,12 @@ ORACLE: dict[str, str] = {
         FROM ranked LEFT JOIN customer ON c_custkey::VARCHAR = member WHERE rank <= 101 AND {CAMPAIGN_BOARDS}""",
         TOP,
     ),
+    "board_with_dimensions": _gift(
+        f"""SELECT project, member, score, CASE WHEN c_custkey % 5 <> 0 THEN c_name END AS nick_name,
+          CASE WHEN c_custkey % 5 <> 0 THEN c_mktsegment END AS avatar,
+          coalesce(floor(greatest(c_acctbal, 0) / 1000)::INT, -1) AS level
+        FROM scores LEFT JOIN customer ON c_custkey::VARCHAR = member WHERE {CAMPAIGN_BOARDS} AND role = 'user'"""
+    ),
     "profile_enrich_missing": f"""WITH {ORDER_IDS}
         SELECT p.*, '{{"rid":"' || rid || '","nickName":"' || nick_name || '","avatar":"' || avatar || '","roomId":""}}'
           AS value
@@ -448,6 +454,8 @@ ORACLE: dict[str, str] = {
     "stream_running_max": """
         SELECT user_id::VARCHAR AS uid, greatest(max(trunc(value)::INT), 0) AS best FROM events GROUP BY ALL""",
     "stream_word_count": f"WITH {_words('conversations')} SELECT value, count(*) AS count FROM word GROUP BY ALL",
+    "outbox_receipts": f"""WITH {WATCH}
+        SELECT uid, day, uid || ':' || day AS receipt, CASE WHEN uid::BIGINT % 3 = 0 THEN 2 ELSE 1 END::BIGINT AS attempt FROM signed""",
     "stream_sliding": WINDOWS,
     "sliding_panes": WINDOWS,
     # Of so few minutes a sketch lists all, so its numbers are the exact ones.
@@ -468,5 +476,7 @@ ORACLE: dict[str, str] = {
         SELECT user_id::VARCHAR AS room_id, event_type AS cate, max(epoch_us(ts) // 1000000) AS time_u
         FROM events WHERE event_id % 11 <> 0 AND event_id % 7 <> 0 GROUP BY ALL""",
 }
+ORACLE["stream_asof"] = ORACLE["asof_category_full"]
+ORACLE["user_average_sql"] = ORACLE["stream_user_average"] = ORACLE["user_defined_average"]
 ORACLE["stream_raw_top"] = ORACLE["raw_gift_top"]
 ORACLE["stream_profile_merge"] = ORACLE["profile_merge"]

@@ -23,7 +23,7 @@ from encore.operators.campaigns import Span, parse_campaigns
 from encore.plans import fixtures as fx
 from encore.session import work_dir
 from encore.sources import files
-from encore.streaming import jobs, sinks, state
+from encore.streaming import jobs, ordered, outbox, sinks, state
 
 Query = Callable[[SparkSession, str], DataFrame]
 CATALOGUE: dict[str, Query] = {}
@@ -222,6 +222,20 @@ def board_with_level(spark, sf):
     ).withColumn("level", F.coalesce("level", F.lit(-1)))
 
 
+@query
+def board_with_dimensions(spark, sf):
+    """Profile and level of every user on a campaign board, from bucketed tables that stay where they are."""
+    place = work_dir(spark, "dimensions")
+    buckets = max(16, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    stored = [
+        files.store_dimension(df, f"{name}_{place.rpartition('-')[2]}", "rid", buckets, f"{place}/{name}")
+        for name, df in (("profiles", fx.profiles(spark, sf)), ("levels", fx.user_level(spark, sf)))
+    ]
+    users = _scores(spark, sf, periods=("all",), classes=("all",), roles=("user",), scopes=("all",))
+    found = enrich.with_dimensions(users.select("project", "member", "score"), stored)
+    return found.withColumn("level", F.coalesce("level", F.lit(-1)))
+
+
 @query
 def top_donor_with_level(spark, sf):
     """Level of every best donor, whatever the campaign asks for."""
@@ -711,6 +725,14 @@ def user_defined_average(spark, sf):
     )
 
 
+@query
+def user_average_sql(spark, sf):
+    """The user-defined average as a function in SQL text."""
+    fx.read(spark, sf, "customer").createOrReplaceTempView("employees")
+    aggregates.register_average(spark)
+    return spark.sql("SELECT c_nationkey, typed_avg(round(c_acctbal)) AS average FROM employees GROUP BY c_nationkey")
+
+
 def _people(spark, sf) -> DataFrame:
     return fx.read(spark, sf, "customer").select(
         F.col("c_name").alias("name"), (F.col("c_custkey") % 60).alias("age")
@@ -1064,6 +1086,66 @@ def stream_signins(spark, sf):
     return jobs.read_signins(spark, f"{place}/messages").select("uid", day_key(F.col("day")).alias("day"), "days")
 
 
+@query
+def stream_user_average(spark, sf):
+    """The user-defined average kept over several micro-batches."""
+    progress = work_dir(spark, "average")
+    employees = fx.read(spark, sf, "customer").select("c_nationkey", F.round("c_acctbal").cast("bigint").alias("salary"))
+
+    def reduce(rows: pd.DataFrame) -> dict:
+        return {"total": int(rows["salary"].sum()), "count": len(rows)}
+
+    def merge(buffers: pd.DataFrame) -> dict:
+        return {"total": int(buffers["total"].sum()), "count": int(buffers["count"].sum())}
+
+    buffer = "total bigint, count bigint"
+    sums = aggregates.stream_user_aggregate(_dealt(spark, employees), ["c_nationkey"], ["salary"], buffer, reduce, merge)
+    _finish(state.start_kept(sums, progress))
+    kept = state.read_kept(spark, progress, f"c_nationkey {dict(employees.dtypes)['c_nationkey']}, {buffer}")
+    return kept.select("c_nationkey", (F.col("total").cast("double") / F.col("count")).alias("average"))
+
+
+@query
+def stream_asof(spark, sf):
+    """Heartbeats and switches as two streams in any order, joined by event time once each time is complete.
+
+    A row far ahead ends the streams, so that the watermark passes all times.
+    """
+    place = work_dir(spark, "asof")
+    beats = watch.rooms_of(fx.heartbeats(spark, sf), fx.stream_rooms(spark)).select("event_id", "room_id", "time_u")
+    end = spark.range(1).select(
+        F.lit(None).cast(dict(beats.dtypes)["event_id"]).alias("event_id"), F.lit("").alias("room_id"),  # a room without switches
+        F.lit(fx.utc(2024, 12, 31)).cast("bigint").alias("time_u"),
+    )
+    beats.repartition(3).write.parquet(f"{place}/beats")
+    end.coalesce(1).write.mode("append").parquet(f"{place}/beats")
+    events = files.stream_parquet(spark, f"{place}/beats", max_files=1)
+    found = ordered.asof_stream(events, _dealt(spark, fx.switches(spark, sf), 2), "90 days", fallback="null", slots=2)
+    _finish(sinks.start_files(found, f"{place}/found", f"{place}/progress"))
+    return spark.read.schema(found.schema).parquet(f"{place}/found").select("event_id", "room_id", "cate")
+
+
+@query
+def outbox_receipts(spark, sf):
+    """Sign-in messages sent by a sender that refuses every third at first: each has one receipt, of its first or second attempt."""
+    place = work_dir(spark, "outbox")
+    beats = _beats(spark, sf)
+    days = watch.signin_days(watch.minutes_per_day(beats), fx.SIGN_IN_THRESHOLD)
+    messages = watch.signin_events(days).withColumn("day", day_key(F.col("day")))
+
+    def sender(refuse: int):
+        def deliver(frame: pd.DataFrame) -> list:
+            third = (frame["uid"].astype(int) % refuse == 0) if refuse else [False] * len(frame)
+            return [None if no else f"{u}:{d}" for no, u, d in zip(third, frame["uid"], frame["day"], strict=True)]
+
+        return lambda: deliver
+
+    for attempt, refuse in ((1, 3), (2, 0)):
+        outbox.send(messages, ["uid", "day"], sender(refuse), place, attempt)
+    told = outbox.receipts(spark, place, "uid string, day string, receipt string, sent_u bigint, attempt bigint")
+    return told.select("uid", "day", "receipt", "attempt")
+
+
 @query
 def stream_sketches(spark, sf):
     """Minutes of every user and day as sketches of several micro-batches, merged: the sketches' own numbers."""

@@ -78,6 +78,19 @@ def load_into(rows: DataFrame, name: str) -> DataFrame:
     return spark.table(name)
 
 
+def store_dimension(rows: DataFrame, name: str, key: str, buckets: int, location: str | None = None) -> DataFrame:
+    """A dimension as a catalog table, cut and sorted by its key into ``buckets`` files, and a scan of it.
+
+    Joins on the key read it as it lies, without an exchange, and several such tables of the same number of buckets meet
+    the same exchange of the other side. ``buckets`` is to be at least the session's number of shuffle partitions, or Spark
+    prefers to exchange both sides; the rows of a bucket should fit an executor's share of memory.
+    """
+    spark = rows.sparkSession
+    writer = rows.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key).format("parquet").mode("overwrite")
+    (writer.option("path", location) if location else writer).saveAsTable(name)
+    return spark.table(name)
+
+
 def read_key_values(spark: SparkSession, path: str, separator: str = "\u0001") -> DataFrame:
     """Delimited ``key, value`` text (key INT, value STRING)."""
     return spark.read.schema("key INT, value STRING").option("sep", separator).csv(path)

@@ -38,7 +38,7 @@ def stream(spark, folder):
 
 
 def rows(df):
-    return sorted(tuple(r) for r in df.collect())
+    return sorted((tuple(r) for r in df.collect()), key=lambda r: [(v is None, v) if not isinstance(v, (list, dict)) else (False, str(v)) for v in r])
 
 
 def test_boards_equal_batch_over_many_batches_and_a_restart(spark, tmp_path):
@@ -366,3 +366,122 @@ def test_raw_records_to_top_lists_popularity_and_tables(spark, tmp_path):
     source = in_files(lines, tmp_path / "switches", 2)
     jobs.start_switches(stream(spark, source), f"{log}-s", str(tmp_path / "progress-s")).awaitTermination()
     assert rows(asof.latest_switch(jobs.read_switches(spark, f"{log}-s"))) == [("r", "a", 1704067209)]
+
+
+@pytest.mark.parametrize("fallback, slots", [("earliest", 3), ("null", 1)])
+def test_asof_of_two_streams_in_any_order(spark, tmp_path, fallback, slots):
+    """Switches behind and ahead of the beats that they count for, ties of a second, rooms without switches, several batches,
+    a restart: the batch operator's rows, and nothing is told before its time is complete."""
+    from encore.operators import asof
+    from encore.streaming import ordered
+
+    beats = spark.range(400).selectExpr("id", "concat('r', id % 4) AS room_id", f"{T0} + (id * 7919) % 5000 AS time_u", "IF(id % 7 = 0, NULL, 'x') AS note")
+    turns = spark.range(60).selectExpr("concat('r', id % 3) AS room_id", "concat('c', id % 5) AS cate", f"{T0} + 300 + (id % 40) * 100 AS time_u")
+    end = spark.createDataFrame([(None, "none", T0 + 100_000, None)], "id bigint, room_id string, time_u bigint, note string")
+    place, found = str(tmp_path), None
+
+    def run():
+        joined = ordered.asof_stream(stream(spark, f"{place}/beats"), stream(spark, f"{place}/turns"), "10000 seconds", fallback, slots)
+        sinks.start_files(joined, f"{place}/out", f"{place}/progress").awaitTermination()
+        return spark.read.schema(joined.schema).parquet(f"{place}/out")
+
+    in_files(beats.where("id % 2 = 0"), f"{place}/beats", 2)
+    in_files(turns.where("time_u % 200 = 0"), f"{place}/turns", 2)
+    assert run().count() == 0
+    in_files(turns.where("time_u % 200 <> 0"), f"{place}/turns", 1)
+    in_files(beats.where("id % 2 = 1"), f"{place}/beats", 1)
+    assert run().count() == 0
+    in_files(end, f"{place}/beats", 1)
+    found = run()
+    expected = asof.asof_category(beats, turns, history="full", fallback=fallback)
+    assert sorted(map(repr, found.select(expected.columns).collect())) == sorted(map(repr, expected.collect()))
+
+
+def test_asof_tells_as_the_watermark_goes(spark, tmp_path):
+    """In the order of time each batch tells what the one before completed, and only valid switches are kept."""
+    from encore.streaming import ordered
+
+    place = str(tmp_path)
+    for i in range(3):
+        rows = spark.createDataFrame([(i * 10 + j, "r", T0 + i * 1000 + j) for j in (1, 5)], "id bigint, room_id string, time_u bigint")
+        rows.coalesce(1).write.mode("append").parquet(f"{place}/beats")
+        spark.createDataFrame([("r", f"c{i}", T0 + i * 1000 + 3)], "room_id string, cate string, time_u bigint").coalesce(1).write.mode("append").parquet(f"{place}/turns")
+        joined = ordered.asof_stream(stream(spark, f"{place}/beats"), stream(spark, f"{place}/turns"), "0 seconds")
+        sinks.start_files(joined, f"{place}/out", f"{place}/progress").awaitTermination()
+    got = {r.id: r.cate for r in spark.read.schema(joined.schema).parquet(f"{place}/out").collect()}
+    assert got == {1: "c0", 5: "c0", 11: "c0", 15: "c1", 21: "c1", 25: "c2"}
+    kept = state.read_kept(spark, f"{place}/progress", f"room_id string, slot int, {ordered.STATE}").first()
+    assert kept.times == [T0 + 2003] and kept.first == "c0" and kept.waiting == []
+
+
+def test_outbox_sends_again_what_has_no_receipt(spark, tmp_path):
+    """A sender that fails for good in one run and refuses some in the next; a message with a receipt is never sent again."""
+    from encore.streaming import outbox
+
+    path, log = str(tmp_path / "receipts"), tmp_path / "sent.txt"
+    messages = spark.createDataFrame([(f"u{i}", i % 3, f"m{i}") for i in range(30)] * 2, "uid string, day int, value string")
+    schema = "uid string, day int, receipt string, sent_u bigint, attempt bigint"
+
+    def sender(how):
+        where = str(log)
+
+        def deliver(frame):
+            if how == "broken":
+                raise RuntimeError("no connection")
+            taken = [how == "all" or int(u[1:]) % 4 != 0 for u in frame["uid"]]
+            with open(where, "a") as out:
+                out.writelines(f"{u}\n" for u, t in zip(frame["uid"], taken, strict=True) if t)
+            return [f"ok-{v}" if t else None for v, t in zip(frame["value"], taken, strict=True)]
+
+        return lambda: deliver
+
+    with pytest.raises(Exception, match="no connection"):
+        outbox.send(messages, ["uid", "day"], sender("broken"), path, 1)
+    assert outbox.receipts(spark, path, schema).count() == 0
+    assert outbox.send(messages, ["uid", "day"], sender("some"), path, 1).count() == 22
+    assert outbox.pending(messages, ["uid", "day"], path).select("uid", "day").distinct().count() == 8
+    assert outbox.send(messages, ["uid", "day"], sender("all"), path, 2).count() == 8
+    assert outbox.send(messages, ["uid", "day"], sender("all"), path, 3).count() == 0
+    told = outbox.receipts(spark, path, schema).collect()
+    assert sorted((r.uid, r.receipt, r.attempt) for r in told) == sorted((f"u{i}", f"ok-m{i}", 2 if i % 4 == 0 else 1) for i in range(30))
+    assert sorted(log.read_text().split()) == sorted(f"u{i}" for i in range(30))
+
+
+def test_outbox_of_a_stream(spark, tmp_path):
+    from encore.streaming import outbox
+
+    place = str(tmp_path)
+    source = in_files(spark.range(40).selectExpr("concat('u', id) AS uid", "concat('m', id) AS value"), f"{place}/in", 2)
+
+    def sender():
+        calls = []
+
+        def deliver(frame):
+            calls.append(1)
+            return [None if u == "u7" else f"ok-{u}" for u in frame["uid"]]
+
+        return deliver
+
+    outbox.start_sending(stream(spark, source), ["uid"], sender, f"{place}/log", f"{place}/receipts", f"{place}/progress").awaitTermination()
+    schema = "uid string, receipt string, sent_u bigint, attempt bigint"
+    assert sorted(r.uid for r in outbox.receipts(spark, f"{place}/receipts", schema).collect()) == sorted(f"u{i}" for i in range(40) if i != 7)
+
+
+def test_user_aggregates_in_sql_and_on_a_stream(spark, tmp_path):
+    rows_ = spark.range(200).selectExpr("id % 7 AS k", "IF(id % 11 = 0, NULL, id) AS v")
+    rows_.createOrReplaceTempView("numbers")
+    aggregates.register_average(spark, "own_avg")
+    text = "SELECT k, {}(v) AS a FROM (SELECT * FROM numbers UNION ALL SELECT -1, NULL) GROUP BY k"
+    assert rows(spark.sql(text.format("own_avg"))) == rows(spark.sql(text.format("avg")))
+
+    def reduce(frame):
+        return {"total": float(frame["v"].sum()), "n": int(frame["v"].notna().sum())}
+
+    def merge(buffers):
+        return {"total": float(buffers["total"].sum()), "n": int(buffers["n"].sum())}
+
+    source, progress = in_files(rows_, tmp_path / "in", 3), str(tmp_path / "progress")
+    kept = aggregates.stream_user_aggregate(stream(spark, source), ["k"], ["v"], "total double, n bigint", reduce, merge)
+    state.start_kept(kept, progress).awaitTermination()
+    told = state.read_kept(spark, progress, "k bigint, total double, n bigint").selectExpr("k", "total / n AS a")
+    assert rows(told) == rows(rows_.groupBy("k").agg(F.avg("v").alias("a")))

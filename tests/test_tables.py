@@ -274,3 +274,23 @@ def test_panes_equal_windows(spark, size, slide):
         wide = rows.groupBy("s", "id").agg(F.min("ts").alias("a"), F.max("ts").alias("b"), F.sum("v").alias("c"))
         wide = wide.select(F.timestamp_seconds("s").alias("window_start"), F.timestamp_seconds(F.col("s") + size).alias("window_end"), "id", "a", "b", "c")
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, wide.collect()))
+
+
+def test_bucketed_dimensions_stay_where_they_are(spark, tmp_path):
+    """One exchange of the rows serves both dimensions, which have none."""
+    from encore.sources import files
+
+    ids = spark.range(500).selectExpr("cast(id AS string) AS rid")
+    stored = [
+        files.store_dimension(ids.where(f"rid % {n} <> 0").withColumn(name, F.concat(F.lit(name), "rid")), f"dim_{name}", "rid", 8, str(tmp_path / name))
+        for n, name in ((3, "profile"), (5, "level"))
+    ]
+    rows = spark.range(3000).selectExpr("cast(id % 700 AS string) AS member", "id AS score")
+    found = enrich.with_dimensions(rows, stored)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "SortMergeJoin" in plan and "Broadcast" not in plan
+    expected = sorted(
+        (str(i % 700), i, f"profile{i % 700}" if i % 700 < 500 and i % 700 % 3 else None, f"level{i % 700}" if i % 700 < 500 and i % 700 % 5 else None)
+        for i in range(3000)
+    )
+    assert sorted(map(tuple, found.select("member", "score", "profile", "level").collect()), key=repr) == sorted(expected, key=repr)
