@@ -7,7 +7,9 @@ if it has none, from its own best one.
 
 from __future__ import annotations
 
+import hashlib
 import re
+from collections import Counter
 from html import unescape
 
 from pyspark.sql import DataFrame
@@ -17,10 +19,14 @@ from encore.llm.common import fresh, map_rows, saved
 
 #: Bytes of the table of hosts up to which it is sent to every task; a larger one is joined by a shuffle.
 BROADCAST_BYTES = 64 << 20
-#: Containers nested deeper have the path of the one at this depth.
+#: Paths of containers nested deeper are told by a digest, so that they have a bounded size.
 DEPTH = 40
+#: The share of a page's text with which a container counts as its content, though it is a form or its classes name what
+#: stands aside beside what does not ("content has-sidebar").
+MOST = 0.4
 
 # Fixed lists: tags and class words.
+_RAW = frozenset("script style textarea title".split())  # up to their end tag all is theirs
 _SKIPPED = "script|style|noscript|template|svg|math|iframe|object|canvas|audio|video|title|textarea|select|button|datalist"
 _ASIDE_TAGS = frozenset("nav header footer aside form menu dialog head option label input fieldset".split())
 _CONTAINERS = frozenset(
@@ -33,7 +39,7 @@ _BLOCKS = _CONTAINERS | frozenset(
 )
 _VOID = frozenset("br hr img input meta link area base col embed source track wbr".split())
 _ASIDE_WORDS = frozenset(
-    "ad ads adv advert adverts advertisement advertising adsense sponsor sponsored promo promotion banner sidebar side "
+    "ad ads adv advert adverts advertisement advertising adsense sponsor sponsored promo promotion banner sidebar "
     "nav navbar navigation menu breadcrumb breadcrumbs header footer masthead topbar cookie cookies consent notice notices gdpr "
     "popup modal overlay newsletter subscribe subscription signup login share sharing social related recommended "
     "recommendations comment comments disqus replies reply respond discussion widget widgets toolbar pagination pager copyright "
@@ -44,8 +50,11 @@ _SPEECH = frozenset("comment comments disqus replies reply respond discussion".s
 _GOOD_WORDS = frozenset("article content post entry story main body text".split())
 _WEIGHTS = {"article": 2.0, "main": 1.6, "section": 1.1, "body": 0.6, "html": 0.3, "": 0.3}
 
+#: "side" is a word of texts too ("side-effects"): alone, or with a word of layouts.
+_SIDE = re.compile(r"(?:^|[\s_-])(?:side(?=$|\s|[_-]?(?:bar|col|column|left|right|nav|menu|panel|box|rail)\b)|(?:left|right)[_-]?side\b)")
+_CLOSES = {t: re.compile(rf"</{t}\s*>", re.IGNORECASE) for t in _SKIPPED.split("|")}
 _TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<({_SKIPPED})\b(?:[^<>\"']|\"[^\"<]*\"|'[^'<]*')*>.*?(?:</\1\s*>|\Z)"
+    rf"<!--.*?(?:-->|\Z)|<({_SKIPPED})\b((?:[^<>\"']|\"[^\"<]*\"|'[^'<]*')*)>"
     r"|<(/?)([a-zA-Z][\w:-]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*>",
     re.DOTALL | re.IGNORECASE,
 )
@@ -56,7 +65,7 @@ _WORD = re.compile(r"[a-z]+")
 class Node:
     """A container: its path, whether it stands aside, and how much text it holds."""
 
-    __slots__ = ("aside", "depth", "links", "parent", "path", "score", "tag", "text", "weight")
+    __slots__ = ("aside", "depth", "links", "maybe", "parent", "path", "score", "tag", "text", "weight", "whole")
 
     def __init__(self, tag: str, parent: Node | None, names: dict[str, str]) -> None:
         told = f"{names.get('class', '')}".lower()
@@ -64,29 +73,40 @@ class Node:
         step = ".".join([tag, *classes])
         self.tag, self.parent = tag, parent
         self.depth = parent.depth + 1 if parent else 0
-        self.path = step if not parent else f"{parent.path}/{step}" if self.depth <= DEPTH else parent.path
-        words = set(_WORD.findall(told + " " + names.get("id", "").lower()))
+        self.path = f"{parent.path}/{step}" if parent else step
+        if self.depth > DEPTH:
+            self.path = hashlib.blake2b(self.path.encode(), digest_size=16).hexdigest()
+        told += " " + names.get("id", "").lower()
+        words = set(_WORD.findall(told))
         role = names.get("role", "").lower()
+        named = bool(words & _ASIDE_WORDS or _SIDE.search(told))
+        self.maybe = False  # aside, unless it holds most of the page
         if tag in ("html", "body", ""):
             own = False
         elif tag in ("article", "main"):
             own = bool(words & _SPEECH)
         else:
-            own = tag in _ASIDE_TAGS or role in _ASIDE_ROLES or bool(words & _ASIDE_WORDS)
-        self.aside = own or bool(parent and parent.aside)
+            own = tag in _ASIDE_TAGS or role in _ASIDE_ROLES or named
+            whole_form = tag in ("form", "fieldset") and not named
+            self.maybe = not words & _SPEECH and (whole_form or (tag not in _ASIDE_TAGS and role not in _ASIDE_ROLES and bool(words & _GOOD_WORDS)))
+        self.aside = own
         self.weight = _WEIGHTS.get(tag, 1.0) * (1.4 if words & _GOOD_WORDS else 1.0) * (1.6 if role == "main" else 1.0)
         self.score = 0.0
-        self.text = self.links = 0
+        self.text = self.links = self.whole = 0
 
 
 def parse(html: str) -> tuple[list[Node], list[tuple[Node, str | None]]]:
     """The containers in page order, and the page's runs of text, each with its container; None marks a block's edge.
 
-    Ends without a begin are left out; a container that is never closed ends with the one around it.
+    Ends without a begin are left out; a container that is never closed ends with the one around it. What is skipped ends
+    with its end tag, at once if it closes itself, and if it has no end tag it is only the tag (scripts and other raw
+    text: the rest of the page).
     """
     root = Node("", None, {})
     nodes, runs, stack = [root], [], [root]
     at, links = 0, 0
+    opened: Counter[str] = Counter()
+    endless: set[str] = set()
 
     def told(upto: int) -> None:
         if upto > at:
@@ -97,10 +117,19 @@ def parse(html: str) -> tuple[list[Node], list[tuple[Node, str | None]]]:
             if links:
                 stack[-1].links += n
 
-    for m in _TOKEN.finditer(html):
+    while m := _TOKEN.search(html, at):
         told(m.start())
         at = m.end()
-        close, tag = m[2], (m[3] or "").lower()
+        if m[1]:
+            skipped = m[1].lower()
+            if skipped not in _RAW and (m[2].endswith("/") or skipped in endless):
+                continue
+            end = _CLOSES[skipped].search(html, at)
+            if not end:
+                endless.add(skipped)
+            at = end.end() if end else len(html) if skipped in _RAW else at
+            continue
+        close, tag = m[3], (m[4] or "").lower()
         if not tag:
             continue
         if tag == "a":
@@ -110,17 +139,26 @@ def parse(html: str) -> tuple[list[Node], list[tuple[Node, str | None]]]:
             links = 0 if tag in _CONTAINERS else links
         if tag in _CONTAINERS:
             if not close:
-                if m[4].endswith("/") and tag in _VOID:
-                    continue
-                names = {k.lower(): a or b or c for k, a, b, c in _NAMES.findall(m[4])} if m[4] else {}
+                names = {k.lower(): a or b or c for k, a, b, c in _NAMES.findall(m[5])} if m[5] else {}
                 node = Node(tag, stack[-1], names)
                 nodes.append(node)
                 stack.append(node)
-            elif any(n.tag == tag for n in stack):
-                while stack[-1].tag != tag:
-                    stack.pop()
-                stack.pop()
+                opened[tag] += 1
+            elif opened[tag]:
+                while True:
+                    last = stack.pop()
+                    opened[last.tag] -= 1
+                    if last.tag == tag:
+                        break
     told(len(html))
+    for node in reversed(nodes):  # what is in a container comes after it
+        node.whole += node.text
+        if node.parent and (node.maybe or not node.aside):
+            node.parent.whole += node.whole
+    for node in nodes:
+        if node.maybe and node.whole >= MOST * root.whole:
+            node.aside = False
+        node.aside = node.aside or bool(node.parent and node.parent.aside)
     return nodes, runs
 
 

@@ -6,6 +6,8 @@ import re
 import time
 from html import unescape
 
+import pytest
+
 from encore.llm import pages, queries
 
 
@@ -51,6 +53,59 @@ def test_votes_beat_a_page_of_its_own(spark):
 
 def test_odd_markup_takes_linear_time():
     began = time.time()
-    for html in ('<a "' * 50_000, "<div>x" * 10_000, "<p title='" * 30_000, "<!--" * 50_000, "<script>" * 30_000, "</div>" * 50_000, "<" * 100_000):
+    for html in ('<a "' * 50_000, "<div>x" * 10_000, "<p title='" * 30_000, "<!--" * 50_000, "<script>" * 30_000, "</div>" * 50_000, "<" * 100_000,
+                 "<div>" * 100_000, "<div></p>" * 20_000 + "</section>" * 20_000, "<div></section>" * 50_000, "<button>" * 50_000, "<svg/>" * 50_000):
         pages.main_text(html, None)
     assert time.time() - began < 60
+
+
+ARTICLE = "<h1>Title</h1><p>The first paragraph of the text.</p><p>The second one.</p>"
+TEXT = "Title The first paragraph of the text. The second one."
+
+
+@pytest.mark.parametrize("html", [
+    f'<body><svg viewBox="0 0 1 1" /><main>{ARTICLE}</main></body>',
+    f'<body><iframe src="x"/><main>{ARTICLE}</main></body>',
+    f"<body><main><button>{ARTICLE}</main></body>",
+    f'<body><div class="content has-sidebar">{ARTICLE}<div class="sidebar">links</div></div></body>',
+    f'<body><div class="post-content widget-area">{ARTICLE}</div><div class="box"><p>tiny</p></div></body>',
+    f'<body><form action="/x"><div class="top-nav">Menu</div><div class="content">{ARTICLE}</div><footer>foot</footer></form></body>',
+    f'<body><form><fieldset><div class="content has-sidebar">{ARTICLE}</div></fieldset></form></body>',
+])
+def test_articles_in_odd_containers(html):
+    assert pages.main_text(html, None) == TEXT
+
+
+def test_words_of_the_text_are_no_layout():
+    html = '<body><main><p>Before.</p><div class="side-effects"><p>Rare ones.</p></div><div class="side-bar">Links</div><div class="left-side">More</div></main></body>'
+    assert pages.main_text(html, None) == "Before. Rare ones."
+    long = "<p>reader says a lot</p>" * 50
+    assert pages.main_text(f'<body><main>{ARTICLE}</main><div class="post-comments content">{long}</div></body>', None) == TEXT
+    assert pages.main_text("<body><main><p>a</p><select><option>b</select><p>c</p></main></body>", None) == "a c"
+
+
+def test_deep_containers_have_paths_of_their_own():
+    deep = "<div>" * 60
+    html = f'<body>{deep}<section class="a"><p>one text here</p></section><section class="b"><p>other</p></section>'
+    nodes, _ = pages.parse(html)
+    paths = [n.path for n in nodes if n.tag == "section"]
+    assert len(set(paths)) == 2 and max(len(n.path) for n in nodes) < 400
+    assert pages.main_text(html, paths[1]) == "other"
+
+
+def test_winners_are_the_counted_votes(spark, sf):
+    """The votes of all hosts, counted by hand: most pages, then summed scores, then the path."""
+    rows = spark.read.parquet(f"{sf}/pages.parquet").collect()
+    odd = "<body><div class=a><p>some words here</p></div><div class=b><p>other words now</p></div></body>"  # equal votes
+    rows = [(r.page_id, r.url, r.html) for r in rows] + [(9000 + i, "http://tie.example/", odd if i % 2 else odd.replace("some words here", "x")) for i in range(4)]
+    votes: dict = {}
+    for _, url, html in rows:
+        host = re.match(r"[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)", url)
+        path, points = pages.vote(html)
+        n, total = votes.setdefault(host[1].lower() if host else "", {}).get(path, (0, 0.0))
+        votes[host[1].lower() if host else ""][path] = (n + 1, total + points)
+    winner = {h: max((n, round(total), p) for p, (n, total) in of.items())[2] for h, of in votes.items()}
+    got = {r.page_id: r.text for r in pages.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for page_id, url, html in rows:
+        host = re.match(r"[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)", url)
+        assert got[page_id] == pages.main_text(html, winner[host[1].lower() if host else ""])
