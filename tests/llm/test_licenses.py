@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import textwrap
 
+import duckdb
 import pytest
 from compare import difference, oracle_connection
 from helpers import documents
@@ -49,8 +50,9 @@ def test_whole_wrapped_texts(spark):
         "\r\n\r\n".join(["MIT License", mine, *mit]).replace("\r\n", "\n").replace("\n", "\r\n"): ["MIT"],
         "\n".join(["The MIT License (MIT)", mine, *mit]): ["MIT"],
         "\n \n".join(["The MIT License (MIT)\n=====================\n" + mine.replace("Copyright (c)", "\u00a9"), *mit]): ["MIT"],
-        "\n\n".join([mine, *bsd]): ["BSD-3-Clause", "BSD-like"],
-        "\n\n".join([f"{mine}\nAll rights reserved.", *bsd]): ["BSD-3-Clause", "BSD-like", "proprietary"],
+        "\n\n".join([mine, *bsd]): ["BSD-3-Clause"],
+        "\n\n".join([mine, *bsd[:3]]): ["BSD-like"],
+        "\n\n".join([f"{mine}\nAll rights reserved.", *bsd]): ["BSD-3-Clause"],
         "\n\n".join([f"frob - frobs\n{mine}", gpl, "more of it"]): ["GPL-3.0-or-later"],
         hashes("\n\n".join([f"frob - frobs\n{mine}", gpl, "more of it"])): ["GPL-3.0-or-later"],
         # Sentences that are broken before "copyright", and one that goes on behind a blank line.
@@ -58,6 +60,21 @@ def test_whole_wrapped_texts(spark):
         gpl.replace(" ", "\n\n"): ["GPL-3.0-or-later"],
         "\n\n".join([mine, *mit[:2]]): [],
         "\n" * 100_000 + "x": [],
+        # Texts as they are found in files.
+        "\n\n".join(["ISC License", mine, wrap(130), wrap(132, 133).upper()]): ["ISC"],
+        "\n".join(" " * 20 + said[i] for i in (90, 91, 92)) + "\n\n   " + said[93] + "\n\n   1. Definitions.\n": ["Apache-2.0"],
+        f"                    {said[100]}\n                       {said[102]}\n\n Copyright (C) 2007 somebody\n": ["GPL-3.0"],
+        f"   {said[103]}\n   {said[102]}\n\n": ["LGPL-3.0"], f"   {said[103]}\n   {said[104]}\n\n": ["LGPL-2.1"], f"{said[105]}\n{said[106]}\n": ["AGPL-3.0"],
+        "\n\n".join([mine, wrap(110, 117, 112)]): ["LGPL-2.1-or-later"], "\n\n".join([mine, wrap(31, 114)]): ["AGPL-3.0-or-later"],
+        "\n\n".join([mine, wrap(34, 115, 116)]): ["GPL-2.0-or-later"],
+        f"{said[140]}\n==================================\n\n1. Definitions\n": ["MPL-2.0"], f"{said[142]}\n\n{wrap(146)}\n": ["EPL-2.0"],
+        f"{said[151]}\n\nCREATIVE COMMONS IS NOT A LAW FIRM": ["CC0-1.0"], "All rights reserved.": ["proprietary"],
     }
-    rows = sorted(licenses.recognise(documents(spark, list(cases))).collect(), key=lambda r: r.doc_id)
+    df = documents(spark, list(cases))
+    rows = sorted(licenses.recognise(df).collect(), key=lambda r: r.doc_id)
     assert [r.licenses for r in rows] == list(cases.values())
+    assert all(bool(r.sentences) or not r.licenses for r in rows)
+    con = duckdb.connect()
+    con.register("documents", df.select("doc_id", "text").toPandas())
+    expected = con.execute(f"SELECT doc_id, licenses, sentences FROM ({licenses.oracle_sql()}) ORDER BY doc_id").fetchall()
+    assert [(r.doc_id, ",".join(r.licenses), ",".join(map(str, r.sentences))) for r in rows] == expected
