@@ -31,14 +31,14 @@ def words(text: str | None) -> list[bytes]:
     return text.encode().translate(_TABLE).split() if text else []
 
 
-def automaton(items: list[tuple[str, list[bytes]]], window: int) -> tuple[dict, ahocorasick.Automaton, list]:
+def automaton(items: list[tuple[str | None, list[bytes]]], window: int) -> tuple[dict, ahocorasick.Automaton, list]:
     """Numbers of the items' words, the automaton over their windows, and (words, items) of each window."""
     numbers: dict[bytes, int] = {}
     places: dict[tuple[int, ...], set[str]] = {}
     for item, told in items:
         ids = [numbers.setdefault(w, len(numbers) + 1) for w in told]
         for at in range(max(1, len(ids) - window + 1)) if ids else ():
-            places.setdefault(tuple(ids[at : at + window]), set()).add(item)
+            places.setdefault(tuple(ids[at : at + window]), set()).update(() if item is None else (item,))
     machine = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
     found = []
     for key, of in places.items():
@@ -53,7 +53,7 @@ def _chunks(benchmark: DataFrame, item: str, text: str, most: int):
     """The items' words, in lists of at most ``most`` words (or of one item). Streams the items to the driver."""
     chunk, size = [], 0
     rows = benchmark.select(F.col(item).cast("string").alias("i"), F.col(text).alias("t"))
-    for row in rows.where("i is not null and t is not null").toLocalIterator():
+    for row in rows.where("t is not null").toLocalIterator():
         told = words(row.t)
         if chunk and size + len(told) > most:
             yield chunk
@@ -73,8 +73,8 @@ def decontaminate(
     window (``window`` consecutive item words, or a whole shorter item); ``items``, the sorted ids with occurring
     windows; ``spans``, hit passages as [start, end) code points of the original text; ``contaminated``.
 
-    Null and empty texts have no words and no hits. Items with null id or text, or without words, match nothing;
-    repeated items count once. Rows, copies too, are judged one by one and all are kept. An empty benchmark marks
+    Null and empty texts have no words and no hits. Items with null text, or without words, match nothing; what
+    matches an item without an id is hit, but no id is told. Repeated items count once. Rows, copies too, are judged one by one and all are kept. An empty benchmark marks
     nothing. Benchmarks of more than ``item_words`` words are scanned for in rounds that add up exactly.
     """
     for round_, chunk in enumerate(_chunks(benchmark, item, item_text, item_words)):

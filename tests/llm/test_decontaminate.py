@@ -27,7 +27,7 @@ def brute(text, items):
         for i in range(len(words) - width + 1) if own else ():
             if tuple(words[i : i + width]) in windows:
                 hit |= set(range(i, i + width))
-                found.add(str(item))
+                found.update(() if item is None else (str(item),))
     return len(words), len(hit), sorted(found)
 
 
@@ -45,7 +45,7 @@ def test_query(spark, sf):
 def test_random_texts_in_one_and_in_several_rounds(spark):
     random.seed(1)
     some = lambda n: " ".join(random.choice(["a", "B", "c,", "É"]) for _ in range(n))
-    items = [(i, some(random.choice([1, 3, 9, 10, 11, 14]))) for i in range(12)] + [(50, None), (51, ""), (52, "!!"), (1, "a a")]
+    items = [(i, some(random.choice([1, 3, 9, 10, 11, 14]))) for i in range(12)] + [(50, None), (51, ""), (52, "!!"), (1, "a a"), (None, "É É É a"), (None, "a B c É É B B B B B c")]
     texts = [some(random.randint(0, 60)) for _ in range(150)] + [None, "", "a" * 100_000, "A-B_c  " * 5_000]
     df = documents(spark, texts, "items spans n_hit")
     bench = spark.createDataFrame(items, "item_id long, text string").selectExpr("*", "1 AS doc_id")
