@@ -224,28 +224,32 @@ def near_duplicates(
     Two rows are linked if the cosine of their vectors, in double precision, is at least ``cosine``; vectors of different
     lengths never are. Null, empty and zero vectors and such with null or non-finite components are linked with nothing.
     ``n_links`` counts the other rows linked directly; ``component_id`` is the smallest id that links reach; ``kept`` marks
-    the row of that id. Equal vectors are one class throughout. The index is fitted on at most 32 vectors a list (and
+    the row of that id. Equal vectors are one class throughout, which has a number of its own, as rows of different vectors may share
+    an id. The index is fitted on at most 32 vectors a list (and
     ``SAMPLE`` at least); all are indexed and searched. Ids are whole numbers.
     """
     rows = saved(_vectors(vectors.select(F.col(vec_id).cast("long").alias("id"), F.col(embedding).cast("array<float>").alias("v"))), "vectors")
     whole = rows.where("key is not null and id is not null")
-    classes = whole.groupBy("key", "d").agg(F.min("id").alias("id"), F.count("*").alias("w"), F.first("v").alias("v"))
-    classes = saved(classes, "classes")
+    classes = whole.groupBy("key", "d").agg(F.min("id").alias("least"), F.count("*").alias("w"), F.first("v").alias("v"))
+    # Numbers in the order of the classes' least ids, so the least number that links reach has the least id.
+    placed = classes.repartitionByRange("least", "key").sortWithinPartitions("least", "key")
+    classes = saved(placed.withColumn("id", F.monotonically_increasing_id()), "classes")
     sizes = classes.groupBy("d").agg(F.count("*").alias("n")).collect()  # one row for each length of vectors
     met = None
     for size in sizes:
         one = _meet(classes.where(F.col("d") == size.d), size.n, cosine, margin, per_list, block)
         met = one if met is None else met.unionAll(one)
-    own = classes.select("key", F.col("id").alias("class"), "w")
+    own = classes.select("key", F.col("id").alias("class"), "w", "least")
     if met is None:
-        found = own.select("key", F.lit(0).cast("long").alias("n_links"), F.col("class").alias("component_id"))
+        found = own.select("key", F.lit(0).cast("long").alias("n_links"), F.col("least").alias("component_id"))
     else:
         met = saved(met, "met")
         count = met.groupBy("id").agg(F.sum("links").alias("links"))
         roots = components(met.where("id <> b"), "id", "b")
         found = own.join(count, own["class"] == count["id"], "left").join(roots, F.col("class") == F.col("node"), "left")
-        found = found.select(
-            "key", (F.col("w") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("root", "class").alias("component_id")
+        names = classes.select(F.col("id").alias("named"), F.col("least").alias("first"))
+        found = found.join(names, F.col("root") == F.col("named"), "left").select(
+            "key", (F.col("w") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("first", "least").alias("component_id")
         )
     out = rows.select("id", "key").join(found, "key", "left")
     out = out.select(

@@ -84,3 +84,11 @@ def test_query(spark, sf, columns):
     assert df.columns == columns
     rows = [(r.vec_id, r.embedding) for r in spark.read.parquet(f"{sf}/embeddings.parquet").collect()]
     assert {r.vec_id: (r.n_links, r.component_id, r.kept) for r in df.collect()} == brute(rows)
+
+
+def test_ids_that_different_vectors_share(spark):
+    """Rows of one id are judged each by its own vector; the id is in the component of each."""
+    rows = [(5, [1.0, 0.0]), (5, [0.0, 1.0]), (6, [1.0, 0.01]), (7, [0.01, 1.0]), (3, [-1.0, 0.0]), (5, [-1.0, 0.01]), (9, [0.0, -1.0])]
+    df = spark.createDataFrame([(i, v, 0) for i, v in rows], SCHEMA)
+    got = sorted((r.vec_id, r.n_links, r.component_id, r.kept) for r in embeddings.near_duplicates(df).collect())
+    assert got == sorted([(5, 1, 5, True), (6, 1, 5, False), (5, 1, 5, True), (7, 1, 5, False), (3, 1, 3, True), (5, 1, 3, False), (9, 0, 9, True)])
