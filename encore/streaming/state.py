@@ -18,12 +18,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
-from encore.session import importable
+from encore.session import ROCKS, importable
 
 
 def start_kept(rows: DataFrame, checkpoint: str, every: str | None = None, mode: str = "update") -> StreamingQuery:
-    """Run a stateful stream for its state alone. ``every`` is the batch interval; without it the query works off what is
-    there and ends."""
+    """Run a stateful stream for its state alone, in RocksDB. ``every`` is the batch interval; without it the query works off
+    what is there and ends."""
+    rows.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKS)  # timers need it
     writer = rows.writeStream.format("noop").option("checkpointLocation", checkpoint).outputMode(mode)
     return (writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)).start()
 
