@@ -934,7 +934,7 @@ def _stream(spark, sf, name, max_files=None) -> DataFrame:
     return files.stream_parquet(spark, sf, f"{name}.parquet", max_files)
 
 
-def _dealt(spark, rows, batches: int = 3, by: str | None = None) -> DataFrame:
+def _dealt(spark, rows, batches: int = 2, by: str | None = None) -> DataFrame:
     """Rows as a stream that comes in several micro-batches: as files of which each batch takes one (the ingest cap).
 
     With ``by`` one file after the other is written, in the order of that column.
@@ -981,7 +981,7 @@ def stream_top_lists(spark, sf):
         _gift_stream(spark, sf), fx.gift_campaigns(spark), fx.host_group(spark, sf), periods=("all", "month"), roles=RANKED
     )
     _finish(sinks.start_log(sums, f"{place}/changes", f"{place}/progress", "update"))
-    _finish(jobs.start_top_lists(spark, f"{place}/changes", f"{place}/touched", f"{place}/lists", slots=4, max_files=8))
+    _finish(jobs.start_top_lists(spark, f"{place}/changes", f"{place}/touched", f"{place}/lists", slots=2, max_files=8))
     return jobs.read_top_lists(spark, f"{place}/lists")
 
 

@@ -21,10 +21,19 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, St
 from encore.session import ROCKS, importable
 
 
+#: State outside the heap, which timers need; a batch uploads what it changed, and does not count all rows anew.
+KEPT = {
+    "spark.sql.streaming.stateStore.providerClass": ROCKS,
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false",
+}
+
+
 def start_kept(rows: DataFrame, checkpoint: str, every: str | None = None, mode: str = "update") -> StreamingQuery:
     """Run a stateful stream for its state alone, in RocksDB. ``every`` is the batch interval; without it the query works off
     what is there and ends."""
-    rows.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKS)  # timers need it
+    for key, value in KEPT.items():
+        rows.sparkSession.conf.set(key, value)
     writer = rows.writeStream.format("noop").option("checkpointLocation", checkpoint).outputMode(mode)
     return (writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)).start()
 
