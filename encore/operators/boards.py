@@ -202,6 +202,34 @@ def _finest(mask: Column, date: Column) -> Column:
     )
 
 
+def _at_host() -> Column:
+    """The host of a row that has one: of a grouped campaign, or of a donor board, where both are the gift's."""
+    return F.when(F.col("grouped"), F.col("host")).otherwise(F.col("owner"))
+
+
+def _packed() -> Column:
+    """Mask, role, flags and date as one number."""
+    flags = (
+        F.col("board_mask").cast("bigint")
+        + F.col("role") * 256
+        + F.col("special").cast("int") * 1024
+        + F.col("grouped").cast("int") * 2048
+    )
+    return F.unix_date("date").cast("bigint") * 4096 + flags
+
+
+def _unpacked(rows: DataFrame) -> DataFrame:
+    def bits(at: int, n: int) -> Column:
+        return F.shiftright("code", at).bitwiseAND(F.lit((1 << n) - 1)).cast("int")
+
+    role, grouped = bits(8, 2), bits(11, 1) == 1
+    return rows.select(
+        "project", bits(0, 8).alias("board_mask"), grouped.alias("grouped"), F.when(grouped, F.col("at")).otherwise("").alias("host"),
+        role.alias("role"), F.when(role == ROLES.index("donor"), F.col("at")).otherwise("").alias("owner"), "member",
+        (bits(10, 1) == 1).alias("special"), F.date_from_unix_date(F.shiftright("code", 12).cast("int")).alias("date"), "score",
+    )
+
+
 def board_scores(
     gifts: DataFrame,
     campaigns: DataFrame,
@@ -215,33 +243,53 @@ def board_scores(
     top: int | None = None,
     members: DataFrame | None = None,
     owners: DataFrame | None = None,
+    host_pool: DataFrame | None = None,
+    combine: bool = False,
 ) -> DataFrame:
     """Leaderboard scores: sum per board and member; with ``top`` only each board's top list, ranked.
 
     ``members`` (project, member) and ``owners`` (project, owner) restrict the boards to such rows, below the
-    first sum.
+    first sum. With ``host_pool`` the sign-up copies are among them: of boards of scope all, the members in the pool, in sign-up
+    campaigns; a project has one configuration.
 
     Sums compose, so gifts are first added up per (role, owner, member, date) at the
     finest date the campaign's boards need, and only those sums fan out to week, month
-    and campaign boards. A gift is thus expanded 3 times before the first (map-side
-    combined) shuffle, not 40 times. Names are spelled out last, so the shuffles and the
-    ranking handle small codes.
+    and campaign boards. All of a member's rows of a campaign are brought together by one
+    shuffle, of 3 narrow rows for a gift and not 40, so both sums and the copies need no
+    other. A member with very many gifts is added up by one task, which holds a number for
+    each of its dates; ``combine`` adds up before that shuffle, by another one. Names are
+    spelled out last, so the ranking handles small codes.
     """
     rows = _weighted(gifts, campaigns, tz, periods, classes, span)
     rows = _by_role(rows.withColumn("date", _finest(F.col("board_mask"), F.col("date"))), roles)
     for wanted, keys in ((members, ["project", "member"]), (owners, ["project", "owner"])):
         rows = rows if wanted is None else rows.join(wanted.select(*keys).distinct(), keys, "left_semi")
-    daily = rows.groupBy("project", "board_mask", "grouped", "host", "role", "owner", "member", "special", "date").agg(
-        F.sum("score").alias("score")
-    )
+    keys = ["project", "member", "at", "code"]
+    coded = rows.select("project", "member", _at_host().alias("at"), _packed().alias("code"), "score")
+    if combine:
+        coded = coded.groupBy(*keys).agg(F.sum("score").alias("score"))
+    daily = coded.repartition("project", "member").groupBy(*keys).agg(F.sum("score").alias("score"))
     # Groups meet the sums of grouped campaigns' hosts, not their gifts.
-    placed = _by_board(assign_groups(daily, host_group), periods, classes, scopes)
+    placed = _by_board(assign_groups(_unpacked(daily), host_group), periods, classes, scopes)
     # The most telling column first: sorts compare its 8-byte prefix before anything else.
     board = ["date", "board", "role", "project", "grp", "owner"]
     scores = placed.groupBy(*board, "member").agg(F.sum("score").alias("score"))
+    if host_pool is not None:
+        scores = _with_copies(scores, host_pool, campaigns)
     return named(scores if top is None else top_k(scores, board, top))
 
 
+def _with_copies(scores: DataFrame, host_pool: DataFrame, campaigns: DataFrame) -> DataFrame:
+    """Coded scores and, under the code of scope ``signUp``, those of scope all whose member is in the pool of a sign-up campaign."""
+    asked = campaigns.where(F.col("flag") == 1).select("project")
+    pool = host_pool.select("project", F.col("qid").alias("member")).distinct().join(asked, "project", "left_semi")
+    found = scores.join(pool.withColumn("pooled", F.lit(True)), ["project", "member"], "left")
+    signed = F.col("pooled") & (F.col("role") != ROLES.index("donor")) & (F.col("board") < len(BOARD_KEYS))
+    both = F.array(F.col("board"), F.col("board") + SIGN_UP * len(BOARD_KEYS))
+    copied = F.when(signed, both).otherwise(F.array("board"))
+    return found.withColumn("board", F.explode(copied)).drop("pooled")
+
+
 def restrict_to_pool(scores: DataFrame, host_pool: DataFrame, campaigns: DataFrame | None = None) -> DataFrame:
     """Rows whose member signed up, as scope ``signUp``, of the boards of sign-up campaigns (flag 1)."""
     rows = scores.where(F.col("role") != "donor") if "role" in scores.columns else scores

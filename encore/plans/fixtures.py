@@ -15,6 +15,7 @@ from pyspark.sql.types import StructType
 
 from encore.functions.calendar import epoch_seconds, ntz_literal
 from encore.operators.campaigns import Span, campaign_span, parse_campaigns
+from encore.session import roomy
 from encore.sources.files import dealt
 
 
@@ -116,6 +117,7 @@ LINE_COLUMNS = ["l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_shipdat
 
 def gifts(spark: SparkSession, sf: str, span: Span | None = None) -> DataFrame:
     """Gifts; with a span only those that running campaigns can match."""
+    roomy(spark, read(spark, sf, "lineitem").count())
     lines = read_spread(spark, sf, "lineitem", *LINE_COLUMNS, span=span, time="l_shipdate")
     return as_gifts(lines, spark, sf)
 

@@ -290,3 +290,31 @@ def test_sums_do_not_depend_on_the_order(spark):
     rows = [("u", "q", "g", 3, "c", NOW + i) for i in range(1000)]
     scores = {r.score for n in (1, 7) for r in boards.board_scores(gifts(spark, *rows).repartition(n), running).collect()}
     assert scores == {3300.0}
+
+
+def _many(spark):
+    run = config(spark, text("p", allRank="true", weekAllRank="true", u2q="true"), text("s", flag=1, allRank="true", dayAllRank="true"),
+                 text("t", flag=2, giftIds="g1", specificRank="true", monthAllRank="true"))
+    rows = [(f"u{i % 7}", f"h{i % 5}" if i % 3 else "u1", f"g{i % 2}", 1 + i % 9, "c", NOW + i * 7_000) for i in range(300)]
+    groups = spark.createDataFrame([("t", "h1", "a"), ("t", "h2", "b"), ("t", "h3", "")], "project string, qid string, grp string")
+    pool = spark.createDataFrame([("s", "h1"), ("s", "u1"), ("s", "u1"), ("p", "h2")], "project string, qid string")
+    return gifts(spark, *rows), run, groups, pool
+
+
+def test_copies_and_combined_sums_in_one_pass(spark):
+    given, run, groups, pool = _many(spark)
+    apart = boards.board_scores(given, run, groups).unionByName(boards.signed_up_scores(given, run, pool))
+    rows = boards.board_rows(given, run, groups).groupBy(*boards.BOARD, "member").agg(F.sum("score").alias("score"))
+    for combine in (False, True):
+        scores = boards.board_scores(given, run, groups, combine=combine)
+        assert scores.exceptAll(rows).isEmpty() and rows.exceptAll(scores).isEmpty()
+        once = boards.board_scores(given, run, groups, host_pool=pool, combine=combine)
+        assert once.exceptAll(apart).isEmpty() and apart.exceptAll(once).isEmpty()
+        assert once.where("scope = 'signUp'").count() > 10
+
+
+def test_board_sums_need_one_shuffle(spark):
+    given, run, _, _ = _many(spark)
+    plan = boards.board_scores(given, run)._jdf.queryExecution().executedPlan().toString()
+    exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert len(exchanges) == 1 and "REPARTITION_BY_COL" in exchanges[0]
