@@ -113,7 +113,7 @@ def pairs_within(
     Points lie in cells of a grid: bands of latitude as high as ``km``, cut into cells that get wider towards the poles
     and wrap at the date line. A centre asks for the cells that its circle can reach, a handful whatever its place, and
     only points of those cells meet it for the exact distance. Rows without a place are in no pair; ``km`` is less than
-    a quarter of the way round.
+    a quarter of the way round. Points are dealt out evenly first, as the pairs are many times the bytes of either side.
     """
     height = max(km / EARTH_KM * 180 / math.pi * 1.000001, 1e-4)
     if height > 90:
@@ -131,6 +131,6 @@ def pairs_within(
     first, end = (F.floor((F.col("_clon") + way * F.col("_reach") + 180) / 360 * F.col("_n")) for way in (-1, 1))
     steps = F.sequence(first, F.least(end, first + F.col("_n") - 1))
     asked = asked.withColumn("_cell", F.explode(steps)).withColumn("_cell", F.pmod("_cell", F.col("_n")).cast("int")).drop("_n", "_reach")
-    met = here.join(asked, ["_band", "_cell"])
+    met = here.hint("rebalance").join(asked, ["_band", "_cell"])
     found = met.withColumn("distance", distance_km(F.col("_clat"), F.col("_clon"), F.col("_lat"), F.col("_lon")))
     return found.where(F.col("distance") <= km).select(centre, member, "distance")

@@ -294,3 +294,11 @@ def test_bucketed_dimensions_stay_where_they_are(spark, tmp_path):
         for i in range(3000)
     )
     assert sorted(map(tuple, found.select("member", "score", "profile", "level").collect()), key=repr) == sorted(expected, key=repr)
+
+
+def test_points_of_pairs_are_dealt_out_evenly(spark):
+    points = spark.range(500).selectExpr("id AS p", "0.0 AS lat", "id / 1000.0 AS lon")
+    centres = spark.range(3).selectExpr("id AS c", "0.0 AS lat", "0.1D * id AS lon")
+    near = tables.pairs_within(points, centres, "p", "c", 400.0)
+    assert near.count() == 1500
+    assert "REBALANCE_PARTITIONS_BY_NONE" in near._jdf.queryExecution().executedPlan().toString()
