@@ -485,3 +485,27 @@ def test_user_aggregates_in_sql_and_on_a_stream(spark, tmp_path):
     state.start_kept(kept, progress).awaitTermination()
     told = state.read_kept(spark, progress, "k bigint, total double, n bigint").selectExpr("k", "total / n AS a")
     assert rows(told) == rows(rows_.groupBy("k").agg(F.avg("v").alias("a")))
+
+
+def test_a_batch_of_a_large_table_is_many_files(spark, monkeypatch, tmp_path):
+    from encore.plans import queries
+
+    monkeypatch.setattr(queries, "PART_ROWS", 10)
+    stream = queries._dealt(spark, spark.range(95))
+    seen = []
+    running = sinks.start(stream, lambda df, i: seen.append((df.count(), df.select(F.input_file_name()).distinct().count())), str(tmp_path / "seen"))
+    running.awaitTermination()
+    assert len(seen) == 2 and sum(n for n, _ in seen) == 95
+    assert [files for _, files in seen] == [5, 5]
+
+
+def test_batches_stay_few_however_many_files_a_log_has(spark, tmp_path):
+    from encore.plans import queries
+
+    place = str(tmp_path / "log")
+    for files_of in (37, 6):
+        spark.range(100).repartition(files_of).write.mode("overwrite").parquet(place)
+        stream = spark.readStream.schema("id bigint").option("maxFilesPerTrigger", queries._half(spark, place)).parquet(place)
+        seen = []
+        sinks.start(stream, lambda df, i: seen.append(df.count()), str(tmp_path / f"seen{files_of}")).awaitTermination()
+        assert len(seen) == 2 and sum(seen) == 100
