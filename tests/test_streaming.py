@@ -230,6 +230,18 @@ def test_sign_in_state_goes_with_its_retention(spark, tmp_path):
     assert sorted(r.days for r in got.collect()) == [1, 2]
 
 
+def test_sign_in_timers_wake_nobody_without_days_to_drop(spark, tmp_path):
+    """The batch that moves the watermark calls no user again, as all days are still kept."""
+    beats = spark.range(30).selectExpr("cast(id % 10 AS string) AS uid", "id AS stream", "'p' AS flag", f"{T0} + id * 60 AS time_u")
+    watch.minute_words(watch.expand_minutes(beats)).write.parquet(str(tmp_path / "words"))
+    told = jobs.sign_ins(spark.readStream.schema(jobs.WORD_LOG).parquet(str(tmp_path / "words")), threshold=3)
+    query = sinks.start_files(told, str(tmp_path / "out"), str(tmp_path / "progress"))
+    query.awaitTermination()
+    empty = [p for p in query.recentProgress if not p["numInputRows"]]
+    assert empty and sum(p["stateOperators"][0]["numRowsUpdated"] for p in empty) == 0
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 10
+
+
 def test_minute_words_as_a_native_stream(spark, tmp_path):
     beats = heartbeats(spark).withColumn("ts", F.timestamp_seconds("time_u"))
     source = in_files(beats, tmp_path / "in")
