@@ -318,3 +318,17 @@ def test_board_sums_need_one_shuffle(spark):
     plan = boards.board_scores(given, run)._jdf.queryExecution().executedPlan().toString()
     exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
     assert len(exchanges) == 1 and "REPARTITION_BY_COL" in exchanges[0]
+
+
+def test_sorts_of_boards_begin_with_a_number(spark):
+    """Of scores with eight text columns, 8 bytes are compared first."""
+    from encore.operators import ranking
+
+    scores = spark.createDataFrame([("a", "x", "u", 1.0), ("a", "x", "v", 2.0), ("b", None, "u", 3.0)], "p string, g string, member string, score double")
+    for got, expected in (
+        (ranking.top_k(scores, ["p", "g"], 1), [("a", None, "v"), ("b", None, "u")]),
+        (ranking.lowest(scores, ["p", "g"]), [("a", None, "u"), ("b", None, "u")]),
+    ):
+        assert "xxhash64(p" in got._jdf.queryExecution().optimizedPlan().toString()
+        assert sorted((r.p, None, r.member) for r in got.collect()) == expected
+        assert "_board" not in got.columns
