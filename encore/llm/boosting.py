@@ -1,8 +1,14 @@
-"""Gradient-boosted regression trees on binned features, for logistic loss; small enough to fit on a bounded sample."""
+"""Gradient-boosted regression trees on binned features, for logistic loss: of rows in memory, or of any number of rows by sums."""
 
 from __future__ import annotations
 
+from operator import add
+
 import numpy as np
+from pyspark import RDD, StorageLevel
+
+#: Rounds after which the sums of all trees so far start from the rows again, so that no chain of steps gets long.
+CHAIN = 10
 
 
 class Trees:
@@ -65,3 +71,97 @@ class Trees:
         for t in range(self.rounds):
             f += self._tree(t, x)
         return 1 / (1 + np.exp(-f))
+
+    def fit_parts(self, blocks: RDD, cuts: list[np.ndarray]) -> Trees:
+        """:meth:`fit` on all rows of ``blocks``, of (features as :func:`coded`, label 0 or 1) arrays, wherever they lie.
+
+        Rows stay where they are: for every level of every tree each part tells its sums by node, feature and bin.
+        """
+        self.cuts, d, width = cuts, len(cuts), max(map(len, cuts)) + 1
+        n, ones = blocks.map(lambda b: (len(b[1]), float(b[1].sum()))).treeReduce(lambda a, b: (a[0] + b[0], a[1] + b[1]))
+        p = np.clip(ones / n, 1e-4, 1 - 1e-4)
+        self.base = np.log(p / (1 - p))
+        size = 2 ** (self.depth + 1) - 1
+        self.feature = np.full((self.rounds, size), -1)
+        self.cut = np.zeros((self.rounds, size))
+        self.value = np.zeros((self.rounds, size))
+        places = np.zeros((self.rounds, size), int)  # cuts as bins
+        held = None
+        for t in range(self.rounds):
+            anew = t % CHAIN == 0
+            told = slice(0 if anew else t - 1, t)
+            step = _stepped(self.base if anew else None, self.feature[told], places[told], self.value[told], self.depth)
+            now = (blocks if anew else held).mapPartitions(step).persist(StorageLevel.MEMORY_AND_DISK)
+            sums = {}
+            for level in range(self.depth):
+                low = 2**level - 1
+                found = now.mapPartitions(_counted(self.feature[t], places[t], level, d, width)).treeReduce(add)
+                for k in range(low, 2 * low + 1):
+                    gs, hs, ns = np.cumsum(found[:, k - low], 2)
+                    g, h, m = gs[0, -1], hs[0, -1], ns[0, -1]
+                    if not m:
+                        continue
+                    self.value[t, k] = self.rate * g / (h + self.shrink)
+                    gain = gs**2 / (hs + self.shrink) + (g - gs) ** 2 / (h - hs + self.shrink) - g**2 / (h + self.shrink)
+                    gain[(ns < self.least) | (m - ns < self.least)] = 0
+                    j, i = np.unravel_index(int(gain.argmax()), gain.shape)
+                    if gain[j, i] > 1e-6:
+                        self.feature[t, k], self.cut[t, k], places[t, k] = j, cuts[j][i], i
+                        sums[2 * k + 1], sums[2 * k + 2] = (gs[j, i], hs[j, i]), (g - gs[j, i], h - hs[j, i])
+            for k in range(size // 2, size):
+                if k in sums:
+                    self.value[t, k] = self.rate * sums[k][0] / (sums[k][1] + self.shrink)
+            if held is not None:
+                held.unpersist()
+            held = now
+        held.unpersist()
+        return self
+
+
+def coded(x: np.ndarray, cuts: list[np.ndarray]) -> np.ndarray:
+    """The bin of every row for every feature: a line for each feature, as sums are made line by line."""
+    return np.stack([np.searchsorted(c, x[:, j], "left") for j, c in enumerate(cuts)]).astype(np.uint8)
+
+
+def _walked(code: np.ndarray, feature: np.ndarray, place: np.ndarray, depth: int) -> np.ndarray:
+    """The node of each row after ``depth`` steps."""
+    node, rows = np.zeros(code.shape[1], int), np.arange(code.shape[1])
+    for _ in range(depth):
+        j = feature[node]
+        node = np.where(j < 0, node, 2 * node + 1 + (code[np.maximum(j, 0), rows] > place[node]))
+    return node
+
+
+def _stepped(base, feature, place, value, depth):
+    """Rows with the sum of their trees: these trees on ``base``, or added to what the rows have."""
+
+    def run(blocks):
+        for code, y, *rest in blocks:
+            f = np.full(len(y), base) if base is not None else rest[0].copy()
+            for t in range(len(value)):
+                f += value[t][_walked(code, feature[t], place[t], depth)]
+            yield code, y, f
+
+    return run
+
+
+def _counted(feature, place, level, d, width):
+    """Sums of gradients, of their derivatives, and rows, by node of a level, feature and bin."""
+
+    def run(blocks):
+        nodes, low = 2**level, 2**level - 1
+        out = np.zeros((3, nodes, d, width))
+        for code, y, f in blocks:
+            node = _walked(code, feature, place, level)
+            here = node >= low
+            if not here.all():
+                code, y, f, node = code[:, here], y[here], f[here], node[here]
+            q = 1 / (1 + np.exp(-f))
+            grad, hess, at = y - q, q * (1 - q), (node - low) * width
+            for j in range(d):
+                place_of = at + code[j]
+                for i, weights in enumerate((grad, hess, None)):
+                    out[i, :, j] += np.bincount(place_of, weights, nodes * width).reshape(nodes, width)
+        yield out
+
+    return run

@@ -3,7 +3,7 @@
 Exact rules give the base spans (e-mail and IP addresses, card and telephone numbers). Looser generators propose many
 more spans, which overlap each other and the base ones; trees that see a span's format and context learn to tell
 personal data from what looks alike, and what passes its kind's threshold and overlaps no base span is added. They learn
-from loose forms that no rule matches: base spans of a sample, written in other ways, and look-alikes in their place.
+from loose forms that no rule matches: base spans, written in other ways, and look-alikes in their place.
 """
 
 from __future__ import annotations
@@ -13,17 +13,21 @@ import re
 from bisect import bisect_left
 
 import numpy as np
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from encore.llm.boosting import Trees
-from encore.llm.common import map_rows
+from encore.llm.boosting import Trees, coded
+from encore.llm.common import map_batches, map_rows, saved
 
 KINDS = ("email", "ip", "card", "phone")
-#: Documents that the trees learn from, about, and candidates at most.
-SAMPLE_DOCUMENTS, SAMPLE_CANDIDATES = 20_000, 30_000
+#: Candidates up to which the trees are fitted in one place, and from which on by sums where the rows lie, so many in a task.
+TOGETHER, TASK_ROWS = 30_000, 100_000
+#: Steps in which chances are told apart for the thresholds of many rows.
+STEPS = 10_000
 #: Share of right spans that a threshold must reach on rows held out.
 PRECISION = 0.99
+SHAPE = {"rounds": 120, "depth": 4}
 #: Times that a base span is written in other ways, half of them look-alikes.
 VERSIONS = 16
 
@@ -285,19 +289,16 @@ def _perhaps(text: str, span: tuple[int, int, int]) -> bool:
     return 10 <= digits <= 15 and (s[0] in "+(" or s[:2] == "00" or bool(said & _CUES[3]))
 
 
-def learn(docs: DataFrame, text: str = "text", sample: int = SAMPLE_DOCUMENTS) -> Detector | None:
-    """A detector fitted on the candidates of about ``sample`` documents (all, if there are fewer), chosen by a hash of
-    their text, and of these on the first ``SAMPLE_CANDIDATES`` by hash; None if they show one class only.
+def learn(docs: DataFrame, text: str = "text") -> Detector | None:
+    """A detector fitted on the candidates of all documents; None if they show one class only.
 
     Base spans are written anew, as loose forms that count as personal data and as look-alikes that do not. Half of the
     documents, by hash, set the thresholds: the lowest chance from which on at least ``PRECISION`` of a kind's candidates are
-    right. A kind that has no base spans in the sample is not added.
+    right. A kind that has no base spans is not added.
+
+    Up to ``TOGETHER`` candidates come to the driver. More stay where they are: trees and thresholds are made of their sums.
     """
     part = docs.select(F.col(text).alias("t")).where("t is not null")
-    n = docs.count()
-    share = min(1.0, sample / max(n, 1))
-    if share < 1:
-        part = part.where((F.xxhash64("t") % 1_000_000 + 1_000_000) % 1_000_000 < int(share * 1_000_000))
 
     def make():
         def work(texts):
@@ -306,7 +307,11 @@ def learn(docs: DataFrame, text: str = "text", sample: int = SAMPLE_DOCUMENTS) -
         return work
 
     rows = map_rows(part, ["t"], "x array<array<double>>", make).select(F.xxhash64("t").alias("of"), F.explode("x").alias("x"))
-    rows = rows.select("x", "of", F.xxhash64("x").alias("h")).orderBy("h", "of").limit(SAMPLE_CANDIDATES).toPandas()
+    rows = saved(rows, "candidates")
+    n = rows.count()
+    if n > TOGETHER:
+        return _learn_parts(rows, n)
+    rows = rows.select("x", "of", F.xxhash64("x").alias("h")).orderBy("h", "of").toPandas()
     if not len(rows):
         return None
     x = np.array(rows["x"].tolist(), float)
@@ -314,7 +319,7 @@ def learn(docs: DataFrame, text: str = "text", sample: int = SAMPLE_DOCUMENTS) -
     fits = (rows["of"].to_numpy() & 1) == 0
     if not 0 < y[fits].sum() < fits.sum():
         return None
-    trees = Trees(rounds=120, depth=4).fit(x[fits], y[fits])
+    trees = Trees(**SHAPE).fit(x[fits], y[fits])
     thresholds = []
     for kind in range(len(KINDS)):
         of = ~fits & (x[:, 0] == kind)
@@ -327,6 +332,51 @@ def learn(docs: DataFrame, text: str = "text", sample: int = SAMPLE_DOCUMENTS) -
     return Detector(trees, thresholds)
 
 
+def _learn_parts(rows: DataFrame, n: int) -> Detector | None:
+    """:func:`learn` from any number of candidates."""
+    shape = Trees(**SHAPE)
+    fits = F.col("of").bitwiseAND(F.lit(1)) == 0
+    d = len(rows.first()["x"]) - 1
+    shares = np.linspace(0, 1, shape.bins + 1)[1:-1].tolist()
+    of = rows.where(fits)
+    column = lambda j: F.element_at("x", j + 1)
+    told = of.agg(F.count("*"), F.sum(column(d)), *(F.percentile_approx(column(j), shares, STEPS) for j in range(d))).first()
+    if not told[0] or not 0 < told[1] < told[0]:
+        return None
+    cuts = [np.unique(c) for c in told[2:]]
+
+    def block(batches):
+        for batch in batches:
+            x = batch.column("x").flatten().to_numpy().reshape(batch.num_rows, d + 1)
+            yield {"x": [coded(x, cuts).tobytes()], "y": [x[:, -1].tobytes()]}
+
+    def arrays(row):
+        y = np.frombuffer(row["y"])
+        return np.frombuffer(row["x"], np.uint8).reshape(d, len(y)), y
+
+    tasks = -(-n // TASK_ROWS)
+    blocks = map_batches(of.select("x").coalesce(tasks), "x binary, y binary", block).rdd.map(arrays)
+    blocks.persist(StorageLevel.MEMORY_AND_DISK)
+    trees = shape.fit_parts(blocks, cuts)
+    blocks.unpersist()
+    shared = rows.sparkSession.sparkContext.broadcast(trees)
+
+    def tally(batches):
+        for batch in batches:
+            x = batch.column("x").flatten().to_numpy().reshape(batch.num_rows, d + 1)
+            step = np.floor(shared.value.chance(x[:, :-1]) * STEPS).astype(int)
+            yield {"kind": x[:, 0].astype(int), "step": step, "good": x[:, -1].astype(int)}
+
+    marks = map_batches(rows.where(~fits).select("x"), "kind int, step int, good int", tally)
+    marks = marks.groupBy("kind", "step").agg(F.count("*").alias("n"), F.sum("good").alias("good")).toPandas()
+    thresholds = []
+    for kind in range(len(KINDS)):
+        of = marks[marks["kind"] == kind].sort_values("step", ascending=False)
+        enough = np.flatnonzero((of["good"].cumsum() / of["n"].cumsum()).to_numpy() >= PRECISION)
+        thresholds.append(max(0.5, float(of["step"].to_numpy()[enough[-1]]) / STEPS if len(enough) else 2.0))
+    return Detector(trees, thresholds)
+
+
 def _told(spans: list[tuple[int, int, int]]) -> str:
     return ",".join(f"{KINDS[k]}:{a}:{b}" for a, k, b in spans)
 

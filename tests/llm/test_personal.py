@@ -10,7 +10,7 @@ import time
 import numpy as np
 from helpers import documents
 
-from encore.llm import personal, queries
+from encore.llm import boosting, personal, queries
 from encore.llm.boosting import Trees
 
 
@@ -112,3 +112,28 @@ def test_loose_forms_are_added_and_look_alikes_are_not(spark):
     told = [[(personal.KINDS[k], t[a:b]) for a, k, b in every] for t, (_, every) in zip(texts, personal.spans(texts, detector), strict=True)]
     assert all(not base for base, _ in personal.spans(texts, detector))
     assert told == [*([(kind, s)] for s, kind in loose.items()), *([] for _ in clean)]
+
+
+def test_trees_of_sums_are_the_trees_of_all_rows(spark):
+    rng = np.random.default_rng(5)
+    x = rng.integers(0, 9, (3000, 4)).astype(float)
+    y = ((x[:, 0] > 4) ^ (x[:, 1] > 2) | (rng.random(3000) < 0.05)).astype(float)
+    here = boosting.Trees(rounds=12, depth=3).fit(x, y)
+    blocks = spark.sparkContext.parallelize([(boosting.coded(x[i::7], here.cuts), y[i::7]) for i in range(7)], 3)
+    parts = boosting.Trees(rounds=12, depth=3).fit_parts(blocks, here.cuts)
+    assert np.abs(here.chance(x) - parts.chance(x)).max() < 1e-6
+
+
+def test_all_documents_are_learned_from(spark, monkeypatch):
+    """Look-alikes and loose forms of every document count, also when there are too many for one place."""
+    docs = spark.range(400).selectExpr("concat('write to user', id, '@mail', id % 7, '.example.org or call +4930', 1234567 + id * 13, ' today') AS text")
+    monkeypatch.setattr(personal, "SHAPE", {"rounds": 12, "depth": 3})
+    together = personal.learn(docs)
+    monkeypatch.setattr(personal, "TOGETHER", 100)
+    seen, count = [], boosting.Trees.fit_parts
+    monkeypatch.setattr(boosting.Trees, "fit_parts", lambda self, blocks, cuts: seen.append(blocks.map(lambda b: len(b[1])).sum()) or count(self, blocks, cuts))
+    apart = personal.learn(docs)
+    fits = [t for (t,) in docs.where("xxhash64(text) & 1 = 0").collect()]
+    assert seen == [sum(len(personal._taught(t)) for t in fits)]
+    text = "reach me at someone (at) mail3.example.org please"
+    assert personal.spans([text], apart)[0][1] == personal.spans([text], together)[0][1]
