@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from encore.session import PART_ROWS, roomy
+from encore.session import PART_ROWS, STATE_ROWS, roomy, roomy_state
 
 
 def test_shuffle_partitions_grow_with_the_rows(spark):
@@ -12,3 +12,12 @@ def test_shuffle_partitions_grow_with_the_rows(spark):
     assert spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum") == "7001"
     assert roomy(spark, 10) == few
     assert spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum") == str(few)
+
+
+def test_state_partitions_grow_with_the_rows(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    with roomy_state(spark, 9 * STATE_ROWS + 1) as parts:
+        assert parts == 10 and spark.conf.get("spark.sql.shuffle.partitions") == "10"
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    with roomy_state(spark, 1) as parts:
+        assert parts == int(before)
