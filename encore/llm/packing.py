@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 from struct import pack as pack_ids
 
@@ -43,6 +43,18 @@ _SHOWN = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174
 _BYTES = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _SHOWN)}
 
 
+class _Known(dict):
+    """Ids of chunks; those of a new one are made when they are first asked for, so that a text takes one pass."""
+
+    def __init__(self, make: Callable[[str], bytes]) -> None:
+        super().__init__({"": b""})
+        self.make = make
+
+    def __missing__(self, chunk: str) -> bytes:
+        made = self[chunk] = self.make(chunk)
+        return made
+
+
 class Encoder:
     """Token ids, as little-endian unsigned 32-bit bytes, of a lower-casing tokenizer that never joins over white space.
 
@@ -54,62 +66,61 @@ class Encoder:
     def __init__(self, path: str) -> None:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # between the names of special tokens all is ordinary text
+        self.merge = self.tokenizer.model.tokenize
+        self.bytes_of = [pack_ids("<I", i) for i in range(max(self.tokenizer.get_vocab().values()) + 1)]
         added = self.tokenizer.get_added_tokens_decoder()
-        self.special = {t.content: np.array([i], "<u4").tobytes() for i, t in added.items() if t.special}
+        self.special = {t.content: self.bytes_of[i] for i, t in added.items() if t.special}
         names = sorted(map(re.escape, self.special), key=len, reverse=True)
         self.names = re.compile(f"({'|'.join(names)})") if names else None
+        self.direct = True
         self.forget()
         probes = ["the", "thething,", "ééàñüßöÿ.", "straßen?!", "ñandú***", "$$", "a|", "xin#%&.,"]
-        self.learn(set(probes))
         self.direct = all(self.known[p] == self._whole(p) == self._whole(p.upper().replace("SS", "ß")) for p in probes)
         self.forget()
 
     def forget(self) -> None:
-        self.known: dict[str, bytes] = {"": b""}
+        self.known = _Known(self._chunk)
         self.words: dict[str, bytes] = {"": b""}
-        self.chars, self.direct = 0, getattr(self, "direct", True)
+        self.chars = 0
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def _word(self, word: str) -> bytes:
         shown = word if word.isascii() else word.encode().decode("latin-1").translate(_BYTES)
-        ids = [t.id for t in self.tokenizer.model.tokenize(shown)]
-        made = self.words[word] = pack_ids(f"<{len(ids)}I", *ids)
+        bytes_of = self.bytes_of
+        made = self.words[word] = b"".join([bytes_of[t.id] for t in self.merge(shown)])
         return made
 
-    def learn(self, chunks: set[str]) -> None:
-        known, words, plain = self.known, self.words, _PLAIN.fullmatch
-        for c in chunks:
-            m = self.direct and plain(c)
-            if m:
-                word, marks = m.groups()
-                ids = words.get(word)
-                if ids is None:
-                    ids = self._word(word)
-                if marks:
-                    ids += words[marks] if marks in words else self._word(marks)
-                known[c] = ids
-            else:
-                known[c] = self._whole(c)
-        self.chars += sum(map(len, chunks))
+    def _chunk(self, chunk: str) -> bytes:
+        self.chars += len(chunk)
+        m = self.direct and _PLAIN.fullmatch(chunk)
+        if not m:
+            return self._whole(chunk)
+        word, marks = m.groups()
+        words = self.words
+        ids = words.get(word)
+        if ids is None:
+            ids = self._word(word)
+        if marks:
+            ids += words[marks] if marks in words else self._word(marks)
+        return ids
 
     def encode(self, texts: list[str | None]) -> Iterator[bytes]:
-        """The ids of each text; null has none. Learns the new chunks of a few hundred texts at a time.
+        """The ids of each text; null has none.
 
         The name of a special token in a text, as it is written, is that token, as the tokenizer has it.
         """
-        for at in range(0, len(texts), 256):
-            split = []
-            for t in texts[at : at + 256]:
-                parts = self.names.split(t) if t and self.names and self.names.search(t) else [t or ""]
-                split.append([self._chunks(p) if i % 2 == 0 else p for i, p in enumerate(parts)])
+        special = self.special
+        for t in texts:
             if len(self.known) + len(self.words) > CACHED or self.chars > CACHED_CHARS:
                 self.forget()
-            self.learn({c for parts in split for p in parts[::2] for c in p}.difference(self.known))
             known = self.known.__getitem__
-            for parts in split:
-                yield b"".join(self.special[p] if i % 2 else b"".join(map(known, p)) for i, p in enumerate(parts))
+            if t and any(name in t for name in special):
+                parts = self.names.split(t)
+                yield b"".join(special[p] if i % 2 else b"".join(map(known, self._chunks(p))) for i, p in enumerate(parts))
+            else:
+                yield b"".join(map(known, self._chunks(t or "")))
 
     def _chunks(self, text: str) -> list[str]:
         text = text.lower() if self.direct and "Σ" not in text else text  # its lower case depends on what follows

@@ -85,3 +85,19 @@ def test_the_direct_way_is_the_tokenizers(spark, sf, tokenizer):
     assert encoder.direct
     for t, ids in zip(texts, encoder.encode(texts), strict=True):
         assert np.frombuffer(ids, "<u4").tolist() == tokenizer.encode(t, add_special_tokens=False).ids
+
+
+def test_a_text_is_one_pass_over_chunks_that_are_made_once(spark, sf, tokenizer, monkeypatch):
+    """What is remembered is bounded after each text, and forgetting changes no ids."""
+    texts = [r.text for r in spark.read.parquet(f"{sf}/documents.parquet").limit(40).collect()] + [None, "", "a<|endoftext|>B a a"]
+    encoder = packing.Encoder(packing.tokenizer_path())
+    made = []
+    chunk = encoder.known.make
+    encoder.known.make = lambda c: made.append(c) or chunk(c)
+    first = list(encoder.encode(texts))
+    assert len(made) == len(set(made)) == len(encoder.known) - 1
+    most = max(len(set((t or "").split())) for t in texts)
+    monkeypatch.setattr(packing, "CACHED", 10)
+    for t, ids, again in zip(texts, first, encoder.encode(texts), strict=True):
+        assert ids == again == np.array(tokenizer.encode(t or "", add_special_tokens=False).ids, "<u4").tobytes()
+        assert len(encoder.known) + len(encoder.words) <= 4 * most + 12
