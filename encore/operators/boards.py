@@ -260,6 +260,8 @@ def board_scores(
     each of its dates; ``combine`` adds up before that shuffle, by another one. Names are
     spelled out last, so the ranking handles small codes.
     """
+    if "all" not in scopes:
+        campaigns = campaigns.where(F.col("flag") == 2)  # others have no board with a group
     rows = _weighted(gifts, campaigns, tz, periods, classes, span)
     rows = _by_role(rows.withColumn("date", _finest(F.col("board_mask"), F.col("date"))), roles)
     for wanted, keys in ((members, ["project", "member"]), (owners, ["project", "owner"])):

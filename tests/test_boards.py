@@ -332,3 +332,16 @@ def test_sorts_of_boards_begin_with_a_number(spark):
         assert "xxhash64(p" in got._jdf.queryExecution().optimizedPlan().toString()
         assert sorted((r.p, None, r.member) for r in got.collect()) == expected
         assert "_board" not in got.columns
+
+
+def test_group_boards_take_gifts_of_grouped_campaigns_only(spark):
+    """Others would be summed up and dropped afterwards."""
+    import re
+
+    given, run, groups, _ = _many(spark)
+    scores = boards.board_scores(given, run, groups, scopes=("group",))
+    filters = [x for x in scores._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Filter" in x]
+    assert any(re.search(r"flag#\d+ = 2", x) for x in filters)
+    expected = boards.board_scores(given, run, groups).where("scope = 'group'")
+    assert scores.count() > 10
+    assert scores.exceptAll(expected).isEmpty() and expected.exceptAll(scores).isEmpty()
