@@ -11,6 +11,7 @@ from __future__ import annotations
 import random
 import re
 from bisect import bisect_left
+from itertools import islice, repeat
 
 import numpy as np
 from pyspark import StorageLevel
@@ -34,15 +35,20 @@ VERSIONS = 16
 # Fixed patterns of the base rules.
 _LOCAL_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
-_IP = re.compile(r"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+")
+_IP = re.compile(r"[0-9](?<![0-9]{2})[0-9]*\.[0-9]+\.[0-9]+\.[0-9]+")  # from where a number begins
 _DIGITS = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
+#: Each digit of a card number that counts twice, as what it adds.
+_TWICE = str.maketrans("0123456789", "0246813579")
 
 
 def luhn(digits: str) -> bool:
     """The check of card numbers: from the right, every second digit doubled, digits of all added, divisible by ten."""
-    total = sum(map(int, digits[::-2]))
-    return (total + sum(sum(divmod(2 * int(d), 10)) for d in digits[-2::-2])) % 10 == 0
+    return sum(map(int, digits[::-2] + digits[-2::-2].translate(_TWICE))) % 10 == 0
+
+
+def _numbered(text: str) -> bool:
+    return any(map(text.__contains__, "0123456789"))
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -58,6 +64,8 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
         if m:
             out.append((start, 0, last))
         at = text.find("@", last)
+    if not _numbered(text):
+        return out
     for m in _IP.finditer(text) if "." in text else ():
         if all(len(p) <= 3 and int(p or 0) <= 255 for p in (x.lstrip("0") for x in m.group().split("."))):
             out.append((m.start(), 1, m.end()))
@@ -67,13 +75,14 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
             if 14 <= len(digits) <= 19 and luhn(digits):
                 out.append((m.start(), 2, m.end()))
     for m in _PHONE.finditer(text) if "+" in text else ():
-        if 10 <= sum(c in "0123456789" for c in m.group()) <= 15:
+        if 10 <= sum(map("0123456789".__contains__, m.group())) <= 15:
             out.append((m.start(), 3, m.end()))
     return sorted(out)
 
 
 #: Generators: loose patterns and the kinds that they propose. Addresses are looked for around their sign, numbers in
 #: stretches of digits and what may stand between them.
+_SIGNS = ("@", "(at)", "[at]", "{at}")
 _AT = re.compile(r" ?(?:@|\(at\)|\[at\]|\{at\}) ?")
 _BEFORE = re.compile(r"[\w.%+-]{1,64}\Z")
 _LABEL = re.compile(r"[\w-]{1,63}")
@@ -96,11 +105,14 @@ _WORD = re.compile(r"[^\W\d_]+")
 #: What stands before an address' last label, and an address that goes on.
 _LAST, _GOES_ON = re.compile(r"\.|\(dot\)|\[dot\]|\)|\]"), re.compile(r" \. \w|\.\w| ?[(\[]dot[)\]]")
 
+#: What features tell of a span's signs.
+_NUMBER, _HEX, _BETWEEN, _NEXT = re.compile(r"[0-9]+"), re.compile(r"[0-9A-Fa-f]+"), re.compile(r"[^0-9A-Fa-f]+"), re.compile(r"\w\. \w")
+
 
 def candidates(text: str) -> list[tuple[int, int, int]]:
     """Distinct (start, kind, end) that the generators propose; they overlap."""
     out = set()
-    for m in _AT.finditer(text) if "@" in text or "at" in text else ():
+    for m in _AT.finditer(text) if any(map(text.__contains__, _SIGNS)) else ():
         left = _BEFORE.search(text[max(0, m.start() - 64) : m.start()])
         right = _LABEL.match(text, m.end())
         for _ in range(6 if left and right else 0):  # where the address ends, or the next sentence begins, is for the trees
@@ -108,7 +120,7 @@ def candidates(text: str) -> list[tuple[int, int, int]]:
             if not right:
                 break
             out.add((m.start() - len(left.group()), 0, right.end()))
-    for zone in _STRETCH.finditer(text):
+    for zone in _STRETCH.finditer(text) if _numbered(text) else ():
         for pattern, kinds in _NUMBERS:
             for m in pattern.finditer(text, max(0, zone.start() - 4), zone.end()):
                 out.update((m.start(), k, m.end()) for k in kinds)
@@ -119,8 +131,8 @@ def features(text: str, span: tuple[int, int, int]) -> list[float]:
     """Format of a candidate and context around it."""
     start, kind, end = span
     s = text[start:end]
-    digits = "".join(c for c in s if "0" <= c <= "9")
-    groups = re.findall(r"[0-9]+", s)
+    groups = _NUMBER.findall(s)
+    digits = "".join(groups)
     parts = [int(g[:6]) for g in groups]
     before, after = text[start - 1 : start], text[end : end + 1]
     left, right = text[max(0, start - 40) : start], text[end : end + 40]
@@ -130,17 +142,17 @@ def features(text: str, span: tuple[int, int, int]) -> list[float]:
     return [
         float(kind), len(s), len(digits), len(groups), max(map(len, groups), default=0), min(map(len, groups), default=0),
         max(parts, default=0), s.count("."), s.count("-"), s.count(" "), s.count("@"), s.count(":"), s.count("(") + s.count("["),
-        s.count("/") + s.count("_") + s.count(","), s[0] == "+", s[0] == "(", sum(c.isalpha() for c in s), not s.isascii(),
+        s.count("/") + s.count("_") + s.count(","), s[0] == "+", s[0] == "(", sum(map(str.isalpha, s)), not s.isascii(),
         14 <= len(digits) <= 19 and luhn(digits), digits[:1] in ("3", "4", "5", "6"), len(set(digits)),
         before.isalnum(), after.isalnum(), before in "+.-@/#=$", after in "+.-@/#=%", bool(said & _CUES[kind]),
-        any(said & c for i, c in enumerate(_CUES) if i != kind), sum(c.isdigit() for c in left), sum(c.isdigit() for c in right),
+        any(said & c for i, c in enumerate(_CUES) if i != kind), sum(map(str.isdigit, left)), sum(map(str.isdigit, right)),
         len(s.rsplit(".", 1)[-1]) if "." in s else 0,
-        len(last), last.isalpha(), len(re.findall(r"\w\. \w", s)), bool(_GOES_ON.match(text, end)), s[:2] == "00",
+        len(last), last.isalpha(), len(_NEXT.findall(s)), bool(_GOES_ON.match(text, end)), s[:2] == "00",
         len(groups[0]) if groups else 0, len(groups[-1]) if groups else 0, len(groups[1]) if len(groups) > 1 else 0,
         any(years), s.count(","), s.count("/"), s.count("::"), before == "-" or before.isalpha(),
-        max(map(len, re.findall(r"[0-9A-Fa-f]+", s)), default=0),
+        max(map(len, _HEX.findall(s)), default=0),
         len(groups) == 4 and max(parts) <= 255 and "," not in s, 10 <= len(digits) <= 15,
-        len(set(re.findall(r"[^0-9A-Fa-f]+", s))),
+        len(set(_BETWEEN.findall(s))),
     ]
 
 
@@ -230,9 +242,14 @@ def loosened(rng: random.Random, kind: int, s: str) -> str:
     return rng.choice(near if rng.random() < 0.5 else far)
 
 
+#: Digits by four random bits, as ``random.choice`` takes them; others are drawn anew.
+_DRAWN = (*"0123456789", *[""] * 6)
+
+
 def alike(rng: random.Random) -> str:
     """What the generators propose too, but is nobody's: dates, versions, numbers of orders and books, amounts, prices."""
-    d = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
+    drawn = filter(None, map(_DRAWN.__getitem__, map(rng.getrandbits, repeat(4))))
+    d = lambda n: "".join(islice(drawn, n))
     year, month, day = rng.randrange(1950, 2040), rng.randrange(1, 13), rng.randrange(1, 29)
     time = f"{rng.randrange(24):02}:{rng.randrange(60):02}:{rng.randrange(60):02}"
     card = d(rng.choice([14, 15, 16, 16, 16, 18]))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import random
 import re
@@ -124,6 +125,63 @@ def test_trees_of_sums_are_the_trees_of_all_rows(spark):
     assert np.abs(here.chance(x) - parts.chance(x)).max() < 1e-6
 
 
+class Parts(list):
+    """Rows in parts, as the trees use them, in this process."""
+
+    def map(self, f):
+        return Parts([f(b) for b in part] for part in self)
+
+    def mapPartitions(self, f):
+        return Parts(list(f(iter(part))) for part in self)
+
+    def treeReduce(self, f, depth=2):
+        return functools.reduce(f, [b for part in self for b in part])
+
+    def getNumPartitions(self):
+        return len(self)
+
+    def persist(self, *_):
+        return self
+
+    unpersist = persist
+
+
+def test_trees_sum_up_few_lines_of_few_rows(monkeypatch):
+    """Features of few bins are summed up together, and of two nodes with one parent only the smaller."""
+    rng = np.random.default_rng(6)
+    x = np.concatenate([rng.integers(0, 2, (3000, 8)), rng.integers(0, 9, (3000, 2)), rng.integers(0, 1, (3000, 1))], 1).astype(float)
+    y = ((x[:, 8] > 4) ^ (x[:, 1] > 0) | (rng.random(3000) < 0.05)).astype(float)
+    here = Trees(rounds=12, depth=4).fit(x, y)
+    blocks = Parts([(boosting.coded(x[i::7], here.cuts), y[i::7])] for i in range(7))
+    summed, count = [], np.bincount
+    monkeypatch.setattr(np, "bincount", lambda codes, *a, **b: summed.append(len(codes)) or count(codes, *a, **b))
+    parts = Trees(rounds=12, depth=4).fit_parts(blocks, here.cuts)
+    assert np.abs(here.chance(x) - parts.chance(x)).max() < 1e-6
+    assert sum(summed) <= 3 * 3000 * 12 * 3 * (1 + 3 / 2)  # three sums of three lines, of all rows and then of half of them
+
+
+def test_features_of_shared_lines_come_apart():
+    rng = np.random.default_rng(7)
+    assert boosting.Lines([1, 1]).joined(np.zeros((2, 3), np.uint8)).tolist() == [[0, 0, 0]]
+    bins = [1, 256, 2, 32, 9, 8, 3, 1, 2, 2, 2, 17, 5]
+    code = np.stack([rng.integers(0, b, 500) for b in bins]).astype(np.uint8)
+    lines = boosting.Lines(bins)
+    joined = lines.joined(code)
+    assert len(joined) < len(bins) - 5 and max(lines.size) <= 256
+    sums = lines.apart([np.bincount(line, minlength=size)[None] for line, size in zip(joined, lines.size, strict=True)])
+    for j, b in enumerate(bins):
+        assert sums[0, j].tolist() == np.bincount(code[j], minlength=256).tolist()
+        for place in range(b):
+            assert (lines.above(j, place)[joined[lines.spot[j][0]]] == (code[j] > place)).all()
+
+
+def test_long_numbers_take_linear_time():
+    began = time.time()
+    for t in ("1" * 300_000 + ".", "." + "1" * 300_000, "1.2." + "3" * 300_000 + "." + "4" * 300_000 + ".x"):
+        assert personal.base_spans(t) == []
+    assert time.time() - began < 20
+
+
 def test_all_documents_are_learned_from(spark, monkeypatch):
     """Look-alikes and loose forms of every document count, also when there are too many for one place."""
     docs = spark.range(400).selectExpr("concat('write to user', id, '@mail', id % 7, '.example.org or call +4930', 1234567 + id * 13, ' today') AS text")
