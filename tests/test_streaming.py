@@ -521,3 +521,36 @@ def test_batches_stay_few_however_many_files_a_log_has(spark, tmp_path):
         seen = []
         sinks.start(stream, lambda df, i: seen.append(df.count()), str(tmp_path / f"seen{files_of}")).awaitTermination()
         assert len(seen) == 2 and sum(seen) == 100
+
+
+def gift_tables(spark, folder, lines=400):
+    """Small tables that gifts are made of, over the years of the campaigns."""
+    tables = {
+        "lineitem": spark.range(lines).selectExpr(
+            "id % 90 AS l_orderkey", "id % 11 AS l_partkey", "id % 9 AS l_suppkey", "id AS l_linenumber",
+            "cast(id % 13 + 1 AS double) AS l_quantity", "timestamp_ntz '1997-01-01' + make_dt_interval(id * 7 % 1200) AS l_shipdate",
+        ),
+        "orders": spark.range(90).selectExpr("id AS o_orderkey", "id % 17 AS o_custkey"),
+        "part": spark.range(11).selectExpr("id AS p_partkey", "concat('Brand#', id % 5) AS p_brand", "IF(id % 2 = 0, 'PROMO', 'SMALL') AS p_type"),
+        "supplier": spark.range(9).selectExpr("id AS s_suppkey", "cast(id % 5 AS int) AS s_nationkey"),
+    }
+    for name, table in tables.items():
+        table.coalesce(1).write.parquet(f"{folder}/{name}.parquet")
+    return str(folder)
+
+
+def test_board_scores_are_restarted_after_the_first_batch(spark, monkeypatch, tmp_path):
+    """Two runs of one query: the first ends after a batch, and what comes afterwards adds to the state that it left."""
+    from encore.plans import fixtures as fx
+    from encore.plans import queries
+
+    sf, started, start = gift_tables(spark, tmp_path), [], jobs.start_boards
+    monkeypatch.setattr(jobs, "start_boards", lambda *a, **b: started.append(start(*a, **b)) or started[-1])
+    got = queries.stream_board_scores(spark, sf)
+    assert [q.lastProgress["batchId"] for q in started] == [0, 1] and len({q.id for q in started}) == 1 < len({q.runId for q in started})
+    assert all(q.lastProgress["numInputRows"] > 100 for q in started) and sum(q.lastProgress["numInputRows"] for q in started) == 400
+    expected = boards.board_scores(
+        fx.gifts(spark, sf), fx.gift_campaigns(spark), fx.host_group(spark, sf), periods=("all", "month"), roles=queries.RANKED
+    )
+    assert expected.count() > 100
+    assert rows(got.select(*boards.SCORES)) == rows(expected.select(*boards.SCORES))
