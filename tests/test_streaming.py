@@ -554,3 +554,52 @@ def test_board_scores_are_restarted_after_the_first_batch(spark, monkeypatch, tm
     )
     assert expected.count() > 100
     assert rows(got.select(*boards.SCORES)) == rows(expected.select(*boards.SCORES))
+
+
+def test_boards_are_kept_in_narrow_rows_and_compressed_snapshots(spark, tmp_path):
+    """A job that ends uploads sorted files, not its changes; one with an interval goes on from them, and by its changes."""
+    running, source, progress = config(spark, flag=2, u2q="true"), in_files(gifts(spark), tmp_path / "in", 2), tmp_path / "progress"
+    groups = spark.createDataFrame([("p", "q0", "a"), ("p", "q1", "b"), ("p", "q2", "a"), ("p", "q3", "")], "project string, qid string, grp string")
+    coded = boards.coded_rows(gifts(spark), running, groups)
+    assert coded.select("role").distinct().count() == 3 and coded.select("grp").distinct().count() == 3
+    assert rows(boards.wide(boards.narrow(coded))) == rows(coded.select(*boards.CODES, "score"))
+    jobs.start_boards(stream(spark, source), lambda: running, str(progress), host_group=lambda: groups).awaitTermination()
+    stored = {p.suffix for p in (progress / "state" / "0").rglob("*") if p.is_file() and p.parent.name.isdigit()}
+    assert ".zip" in stored and ".changelog" not in stored
+    assert spark.conf.get("spark.sql.streaming.stateStore.rocksdb.compression") == "zstd"
+    columns = spark.read.format("statestore").load(str(progress)).schema["key"].dataType.names
+    assert columns == boards.NARROW
+    in_files(gifts(spark), source, 1)
+    query = jobs.start_boards(stream(spark, source), lambda: running, str(progress), host_group=lambda: groups, every="1 second")
+    query.processAllAvailable()
+    query.stop()
+    assert [p for p in (progress / "state" / "0").rglob("*.changelog")]
+    expected = boards.board_scores(gifts(spark).unionByName(gifts(spark)), running, groups)
+    assert rows(jobs.read_boards(spark, str(progress)).select(*boards.SCORES)) == rows(expected)
+
+
+def test_shuffle_files_of_a_stream_that_has_ended_go_when_released(spark, tmp_path):
+    import time
+
+    from encore import session
+
+    def kept():
+        return spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().size()
+
+    def settled(most):
+        for _ in range(40):
+            if kept() <= most:
+                break
+            time.sleep(0.25)
+        return kept()
+
+    def run():
+        jobs.start_boards(stream(spark, source), lambda: config(spark), str(tmp_path / "progress")).awaitTermination()
+        return kept()
+
+    source = in_files(gifts(spark), tmp_path / "in", 2)
+    session.release(spark)
+    settled(0)  # what other tests have left
+    held = run()
+    session.release(spark)
+    assert settled(held - 1) < held
