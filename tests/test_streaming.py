@@ -603,3 +603,48 @@ def test_shuffle_files_of_a_stream_that_has_ended_go_when_released(spark, tmp_pa
     held = run()
     session.release(spark)
     assert settled(held - 1) < held
+
+
+def test_changed_scores_are_summed_up_outside_the_heap(spark, tmp_path):
+    """Whatever the session's own store is; the log holds every changed score."""
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before, source = spark.conf.get(name), in_files(gifts(spark), tmp_path / "in", 2)
+    spark.conf.set(name, "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider")
+    try:
+        jobs.start_changes(jobs.board_sums(stream(spark, source), config(spark)), f"{tmp_path}/log", f"{tmp_path}/progress").awaitTermination()
+    finally:
+        spark.conf.set(name, before)
+    stored = {p.suffix for p in (tmp_path / "progress" / "state" / "0").rglob("*") if p.is_file()}
+    assert ".zip" in stored and ".delta" not in stored
+    log = sinks.newest(sinks.read_batches(spark, f"{tmp_path}/log", jobs.BOARD_LOG), boards.CODES)
+    assert rows(boards.named(log).select(*boards.SCORES)) == rows(boards.board_scores(gifts(spark), config(spark)))
+
+
+@pytest.mark.parametrize("k, at_most", [(1, 10), (3, 40), (5, 1000)])
+def test_tasks_send_what_can_be_on_a_list(k, at_most):
+    """Equal scores, members that come twice, nulls; boards with more members than fit are handed on."""
+    import random
+
+    import pyarrow as pa
+
+    by, rng = ["code", "at"], random.Random(k)
+    scores = [
+        {"code": rng.randrange(3), "at": rng.choice(["", "a", None]), "member": rng.choice([None, *(f"m{i}" for i in range(25))]),
+         "score": rng.choice([None, *range(1, 20)])}
+        for _ in range(600)
+    ]
+    table = pa.Table.from_pylist(scores, pa.schema({"code": pa.int64(), "at": pa.string(), "member": pa.string(), "score": pa.int64()}))
+    sent = [r for b in state._foremost_of_parts(by, k, at_most)(iter(table.to_batches(max_chunksize=7))) for r in b.to_pylist()]
+
+    def lists(found):
+        held: dict = {}
+        for r in found:
+            if r["member"] is not None and r["score"] is not None:
+                board = held.setdefault((r["code"], r["at"]), {})
+                board[r["member"]] = max(r["score"], board.get(r["member"], 0))
+        return {b: sorted(((s, m) for m, s in board.items()), reverse=True)[:k] for b, board in held.items()}
+
+    assert lists(sent) == lists(scores) and len(lists(sent)) == 9
+    assert len(sent) < len(scores) - 100
+    empty = [r for r in scores if r["member"] is None or r["score"] is None]
+    assert sorted(map(repr, (r for r in sent if r["member"] is None or r["score"] is None))) == sorted(map(repr, empty))
