@@ -648,3 +648,16 @@ def test_tasks_send_what_can_be_on_a_list(k, at_most):
     assert len(sent) < len(scores) - 100
     empty = [r for r in scores if r["member"] is None or r["score"] is None]
     assert sorted(map(repr, (r for r in sent if r["member"] is None or r["score"] is None))) == sorted(map(repr, empty))
+
+
+def test_state_of_raw_records_grows_with_the_lines(spark, monkeypatch, tmp_path):
+    from encore import session
+    from encore.plans import queries
+
+    sf = gift_tables(spark, tmp_path / "tables")
+    monkeypatch.setattr(session, "STATE_ROWS", 50)
+    monkeypatch.setattr(queries, "work_dir", lambda spark, purpose: str(tmp_path / purpose))
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
+    assert rows(queries.stream_raw_top(spark, sf)) == rows(queries.raw_gift_top(spark, sf))
+    assert len([p for p in (tmp_path / "raw" / "boards" / "state" / "0").iterdir() if p.name.isdigit()]) == 8
+    assert spark.conf.get("spark.sql.shuffle.partitions") == partitions
